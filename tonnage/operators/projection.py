@@ -21,18 +21,18 @@ def per_capita(
     measure: str,
     people: str,
     scale: float,
-    where: Column | None = None,
+    where: Column,
+    out: Sequence[str],
 ) -> DataFrame:
-    """Total per key over population, times `scale`, as distinct rows.
+    """Total per key over population, times `scale`: the distinct rows of `out`.
 
     `where` tests keys only, so it is applied before the aggregation.
     """
-    if where is not None:
-        amounts = amounts.where(where)
-    totals = group_sum(amounts, keys, measure)
-    rows = join_left(totals, keep(rename(population, {people: "__people"}), *on, "__people"), on)
+    totals = group_sum(amounts.where(where), keys, measure)
+    heads = keep(rename(population, {people: "__people"}), *on, "__people")
+    rows = join_left(totals, heads, on)
     ratio = r_divide(quoted(measure), "__people") * scale
-    return rows.withColumn(measure, ratio).drop("__people").distinct()
+    return keep(rows.withColumn(measure, ratio), *out).distinct()
 
 
 def loglog_project(

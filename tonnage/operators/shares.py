@@ -44,7 +44,7 @@ def tidy_measures(
 def share_of_total(
     df: DataFrame, group: Sequence[str], measure: str, out: str = "share"
 ) -> DataFrame:
-    """Each row's share of its group's total, in place of nothing: all rows stay."""
+    """Each row's share of its group's total, as a new column."""
     total = group_sum(df, group, measure, "__total")
     rows = with_group_value(df, group, total)
     return rows.withColumn(out, r_divide(quoted(measure), "__total")).drop("__total")
