@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,15 +15,18 @@ SQL: dict[str, str] = {}
 
 @dataclass(frozen=True)
 class Tables:
-    """The tables of one folder, read when an attribute is asked for."""
+    """The tables of one folder; a file's schema is read once, when it is first asked for."""
 
     spark: SparkSession
     folder: str
+    opened: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
 
 def query(sql: str) -> Callable[[QueryFunction], QueryFunction]:

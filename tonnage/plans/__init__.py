@@ -15,6 +15,7 @@ from tonnage.plans.inputs import Inputs, read_inputs
 from tonnage.plans.regional import (
     base_year,
     coefficients,
+    country_intensity,
     driver,
     material_cost,
     mt_per_ej,
@@ -29,6 +30,7 @@ __all__ = [
     "base_year",
     "capacity_total",
     "coefficients",
+    "country_intensity",
     "driver",
     "equipment_by_region",
     "intensity_from_regions",

@@ -19,7 +19,6 @@ from tonnage.operators import (
     derive_units,
     discard,
     group_sum,
-    join_left,
     keep,
     ratio_to,
     recode_and_sum,
@@ -33,6 +32,7 @@ from tonnage.operators import (
     sum_components,
     tidy_measures,
 )
+from tonnage.sources import stage
 from tonnage.sources.schemas import STOCK_MEASURES
 
 # Row label of the grand total and the names of the two systems.
@@ -127,13 +127,15 @@ def intensity_from_stock(
     stock: DataFrame,
     line_mix: DataFrame,
     k_intensity: DataFrame,
-    capacity: DataFrame,
+    gw: DataFrame,
     hierarchy: DataFrame,
     underground: DataFrame,
 ) -> DataFrame:
-    """Data set K: kg per kW by country and mineral."""
-    tidy = tidy_stock(stock, hierarchy)
-    gw = capacity_total(capacity)
+    """Data set K: kg per kW by country and mineral; `gw` is the capacity total.
+
+    The tidy stock is read by lines and transformers alike, so it is staged.
+    """
+    tidy = stage(tidy_stock(stock, hierarchy))
     materials = [
         line_material(line_stock(tidy, line_mix, underground), k_intensity),
         transformer_material(tidy, k_intensity),
@@ -198,13 +200,12 @@ def intensity_from_regions(
     underground: DataFrame,
     equipment: DataFrame,
     d_intensity: DataFrame,
-    capacity: DataFrame,
+    gw: DataFrame,
     hierarchy: DataFrame,
 ) -> DataFrame:
-    """Data set D: kg per kW by country and mineral, allocated by capacity."""
+    """Data set D: kg per kW by country and mineral, allocated by the capacity total `gw`."""
     material = region_material(line_length, underground, equipment, d_intensity)
     totals = group_sum(material, ["d_region", "mineral", "unit"], "value")
-    gw = capacity_total(capacity)
     shares = child_shares(gw, hierarchy, ["country", "k_region"], "d_region", "gw")
     by_country = allocate(totals, shares, ["d_region"], "value")
     # A country without capacity must come out as NaN, so its capacity is joined again
@@ -230,8 +231,3 @@ def country_income(income: DataFrame) -> DataFrame:
     return discard(rename(income, {"income_pc": "value"}), "scenario").withColumn(
         "unit", F.lit("thous90US$/p")
     )
-
-
-def with_parents(capacity: DataFrame, hierarchy: DataFrame) -> DataFrame:
-    """Capacity with the country's parents."""
-    return join_left(capacity, hierarchy, ["country", "k_region"])

@@ -61,13 +61,9 @@ SECTORS = ("elect_td_bld", "elect_td_ind", "elect_td_trn")
 AREA = ["region_id", "region"]
 
 
-def region_intensity(
-    countries: DataFrame, capacity: DataFrame, hierarchy: DataFrame
-) -> DataFrame:
+def region_intensity(countries: DataFrame, gw: DataFrame, hierarchy: DataFrame) -> DataFrame:
     """Capacity-weighted kg per kW by model region, mineral and source."""
-    shares = child_shares(
-        capacity_total(capacity), hierarchy, ["country", "k_region"], "region_id", "gw"
-    )
+    shares = child_shares(gw, hierarchy, ["country", "k_region"], "region_id", "gw")
     keys = ["region_id", "mineral", "unit", "source"]
     return weighted_rollup(countries, shares, ["country"], keys, "value")
 
@@ -146,21 +142,26 @@ def nonmaterial_cost(mineral_cost: DataFrame, costs: DataFrame) -> DataFrame:
     return residual(total, mineral_cost, [*AREA, "year"], "cost", "mineral_cost")
 
 
+def country_intensity(tables: Inputs, gw: DataFrame) -> DataFrame:
+    """kg per kW by country and mineral from both data sets."""
+    t = tables
+    return bind_rows(
+        intensity_from_stock(t.stock, t.line_mix, t.k_intensity, gw, t.hierarchy, t.underground),
+        intensity_from_regions(
+            t.line_length, t.underground, t.equipment, t.d_intensity, gw, t.hierarchy
+        ),
+    )
+
+
 def run(tables: Inputs) -> tuple[DataFrame, DataFrame]:
     """Both results of the plan: material coefficients and non-material costs.
 
-    The two tables that several later steps read are staged once.
+    The tables that several later steps read are staged once.
     """
     t = tables
-    countries = bind_rows(
-        intensity_from_stock(
-            t.stock, t.line_mix, t.k_intensity, t.capacity, t.hierarchy, t.underground
-        ),
-        intensity_from_regions(
-            t.line_length, t.underground, t.equipment, t.d_intensity, t.capacity, t.hierarchy
-        ),
-    )
-    base = base_year(mt_per_ej(region_intensity(countries, t.capacity, t.hierarchy)))
+    gw = stage(capacity_total(t.capacity))
+    countries = country_intensity(t, gw)
+    base = base_year(mt_per_ej(region_intensity(countries, gw, t.hierarchy)))
     coefs = stage(coefficients(driver(t.generation, t.population), base, t.regions))
     cost = stage(material_cost(coefs, t.prices))
     return (
