@@ -75,7 +75,7 @@ long AS (
 SELECT nation, measure, value, r_name AS region
 FROM long JOIN region ON n_regionkey = r_regionkey
 WHERE nation <> 'NATION_24' AND NOT (nation = 'NATION_20' AND measure = 'tax')
-""")
+""", name="tidy_measures")
 def tidy_line_measures(t: Tables) -> DataFrame:
     """A wide text table with a total row and a dash for a missing number."""
     measures = {
@@ -108,7 +108,7 @@ def tidy_line_measures(t: Tables) -> DataFrame:
 WITH sales AS ({order_totals_sql("region", "nation")})
 SELECT region, nation, sales, round(sales / SUM(sales) OVER (PARTITION BY region), 8) AS share
 FROM sales
-""")
+""", name="share_of_total")
 def share_of_region(t: Tables) -> DataFrame:
     sales = order_totals(t, "region", "nation")
     return rounded(share_of_total(sales, ["region"], "sales"), 8, "share")
@@ -119,7 +119,7 @@ SELECT o_orderkey, o_orderpriority,
        round(1e6 * o_totalprice / CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2)))
              OVER (PARTITION BY o_orderpriority) AS DOUBLE), 6) AS ppm
 FROM orders
-""")
+""", name="share_of_total_rows")
 def share_of_priority(t: Tables) -> DataFrame:
     """Row-level shares of a few very large groups."""
     orders = t.orders.select(
@@ -142,7 +142,7 @@ shares AS (SELECT * FROM ({TYPE_SHARES}) WHERE region > 0)
 SELECT coalesce(sales.region, shares.region) AS region, nation, type,
        round(sales * share, 2) AS sales
 FROM sales FULL JOIN shares ON sales.region = shares.region
-""")
+""", name="split_by_share")
 def split_by_type_share(t: Tables) -> DataFrame:
     sales = order_totals(t, "region", "nation").where(F.col("region") < 4)
     totals = line_totals(t, "region", "type").where(F.col("region") > 0)
@@ -156,7 +156,7 @@ rates AS (SELECT *, CASE WHEN region <> 3 THEN region * 7.5 ELSE 0 END * 0.01 AS
 SELECT region, nation, 'low' AS part, round(sales * 0.63, 2) AS sales FROM rates
 UNION ALL SELECT region, nation, 'cable', round(sales * (1 - 0.63::DOUBLE) * p, 2) FROM rates
 UNION ALL SELECT region, nation, 'overhead', round(sales * (1 - 0.63::DOUBLE) * (1 - p), 2) FROM rates
-""")
+""", name="split_by_fractions")
 def split_by_fixed_fraction(t: Tables) -> DataFrame:
     key = F.col("r_regionkey")
     rates = t.region.select(key.alias("region"), F.when(key != 3, key * 7.5).alias("percent"))
@@ -185,7 +185,7 @@ percents AS (
   FROM amounts)
 SELECT nation, flag || ' overhead' AS part, round(value * (1 - p / 100), 4) AS value FROM percents
 UNION ALL SELECT nation, flag || ' underground', round(value * (p / 100), 4) FROM percents
-""")
+""", name="split_by_percent")
 def split_by_class_percent(t: Tables) -> DataFrame:
     key = F.col("n_nationkey")
     percents = t.nation.select(
@@ -206,7 +206,7 @@ def split_by_class_percent(t: Tables) -> DataFrame:
 @query("""
 SELECT p_type AS type, CAST(SUM(p_size) AS BIGINT) AS size
 FROM part WHERE p_brand <> 'Brand#7' GROUP BY ALL
-""")
+""", name="sum_components")
 def sum_brand_components(t: Tables) -> DataFrame:
     parts = t.part.select(
         F.col("p_type").alias("type"),
@@ -238,7 +238,7 @@ def brand_rates(t: Tables) -> DataFrame:
 WITH stock AS ({line_totals_sql("nation", "type", measure="l_quantity")}), rates AS ({RATES})
 SELECT nation, stock.type, mineral, 'tons' AS unit, round(value * rate, 6) AS value
 FROM stock JOIN rates ON stock.type = rates.type
-""")
+""", name="apply_coefficients")
 def apply_type_coefficients(t: Tables) -> DataFrame:
     stock = line_totals(t, "nation", "type", measure="l_quantity")
     rows = apply_coefficients(stock, brand_rates(t), ["type"], "value", "rate", "tons")
@@ -255,7 +255,7 @@ SELECT region, CASE km.flag WHEN 'A' THEN 'HV' WHEN 'N' THEN 'MV' WHEN 'R' THEN
          AS component,
        round(rate * value, 4) AS value
 FROM km JOIN rates ON km.flag = rates.flag
-""")
+""", name="derive_units")
 def derive_unit_counts(t: Tables) -> DataFrame:
     totals = t.lineitem.groupBy(
         F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("unit")
@@ -279,7 +279,7 @@ def derive_unit_counts(t: Tables) -> DataFrame:
 SELECT nation, CASE WHEN flag = 'A' THEN 'distribution' ELSE 'transmission' END AS flag,
        round(SUM(value), 2) AS value
 FROM ({line_totals_sql("nation", "flag")}) GROUP BY ALL
-""")
+""", name="recode_and_sum")
 def recode_flags(t: Tables) -> DataFrame:
     coarse = if_else(F.col("flag") == "A", F.lit("distribution"), F.lit("transmission"))
     rows = recode_and_sum(line_totals(t, "nation", "flag"), "flag", coarse, ["nation", "flag"], "value")
@@ -291,7 +291,7 @@ WITH stock AS ({line_totals_sql("nation", "type")}),
 capacity AS (SELECT * FROM ({order_totals_sql("nation")}) WHERE nation <> 7)
 SELECT nation, type, 't/GW' AS unit, round(value / sales, 8) AS value
 FROM stock JOIN capacity USING (nation)
-""")
+""", name="ratio_to")
 def ratio_to_capacity(t: Tables) -> DataFrame:
     capacity = order_totals(t, "nation").where(F.col("nation") != 7)
     rows = ratio_to(line_totals(t, "nation", "type"), capacity, ["nation"], "value", "sales", "t/GW")
@@ -324,7 +324,7 @@ def ratio_to_own_capacity(t: Tables) -> DataFrame:
 @query(f"""
 WITH parts AS ({line_totals_sql("nation", "flag", "status")})
 SELECT nation, round(SUM(value), 2) AS value FROM parts GROUP BY ALL
-""")
+""", name="rollup_sum")
 def roll_up_parts(t: Tables) -> DataFrame:
     parts = line_totals(t, "nation", "flag", "status")
     halves = [parts.where(F.col("status") == s) for s in ("F", "O")]
@@ -337,7 +337,7 @@ shares AS (SELECT region, nation, sales / SUM(sales) OVER (PARTITION BY region)
 totals AS ({line_totals_sql("region", "type")})
 SELECT shares.region, nation, type, round(value * share, 2) AS value
 FROM shares LEFT JOIN totals ON shares.region = totals.region
-""")
+""", name="allocate")
 def allocate_to_nations(t: Tables) -> DataFrame:
     capacity = order_totals(t, "region", "nation")
     shares = discard(share_of_total(capacity, ["region"], "sales"), "sales")
@@ -372,7 +372,7 @@ def intensity_by_region(t: Tables) -> DataFrame:
     )
 
 
-@query(f"SELECT region, type, status, round(value, 8) AS value FROM ({REGION_INTENSITY_SQL})")
+@query(f"SELECT region, type, status, round(value, 8) AS value FROM ({REGION_INTENSITY_SQL})", name="weighted_rollup")
 def weighted_region_intensity(t: Tables) -> DataFrame:
     return rounded(intensity_by_region(t), 8, "value")
 
@@ -381,7 +381,7 @@ def weighted_region_intensity(t: Tables) -> DataFrame:
 SELECT region, type, round(MAX(value) FILTER (status = 'F'), 8) AS "F",
        round(MAX(value) FILTER (status = 'O'), 8) AS "O"
 FROM ({REGION_INTENSITY_SQL}) GROUP BY ALL
-""")
+""", name="compare_sources")
 def compare_statuses(t: Tables) -> DataFrame:
     rows = compare_sources(intensity_by_region(t), "status", ["F", "O"], "value")
     return rounded(rows, 8, "F", "O")
@@ -390,7 +390,7 @@ def compare_statuses(t: Tables) -> DataFrame:
 @query(f"""
 SELECT region, type, round(AVG(value), 8) AS value, 2015 AS year
 FROM ({REGION_INTENSITY_SQL}) WHERE NOT (status = 'O' AND type = 'PROMO') GROUP BY ALL
-""")
+""", name="blend")
 def blend_statuses(t: Tables) -> DataFrame:
     exclude = {"status": "O", "type": "PROMO"}
     rows = blend(intensity_by_region(t), exclude, ["region", "type"], "value", 2015)
@@ -439,7 +439,7 @@ def sales_per_head(t: Tables) -> DataFrame:
     return rename(rows, {"sales": "per_head"})
 
 
-@query(f"SELECT region, round(per_head, 8) AS per_head FROM ({PER_HEAD_SQL})")
+@query(f"SELECT region, round(per_head, 8) AS per_head FROM ({PER_HEAD_SQL})", name="per_capita")
 def sales_per_customer(t: Tables) -> DataFrame:
     return rounded(sales_per_head(t), 8, "per_head")
 
@@ -457,7 +457,7 @@ def projected_by_type(t: Tables) -> DataFrame:
     return keep(rows, "region", "type", "value")
 
 
-@query(f"SELECT region, type, round(value, 8) AS value FROM ({PROJECTED_SQL})")
+@query(f"SELECT region, type, round(value, 8) AS value FROM ({PROJECTED_SQL})", name="loglog_project")
 def loglog_projection(t: Tables) -> DataFrame:
     return rounded(projected_by_type(t), 8, "value")
 
@@ -484,7 +484,7 @@ def capped_by_type(t: Tables) -> DataFrame:
     )
 
 
-@query(f"SELECT region, type, year, round(value, 8) AS value FROM ({CAPPED_SQL})")
+@query(f"SELECT region, type, year, round(value, 8) AS value FROM ({CAPPED_SQL})", name="cap_and_hold")
 def capped_projection(t: Tables) -> DataFrame:
     return rounded(capped_by_type(t), 8, "value")
 
@@ -506,7 +506,7 @@ SELECT grid.nation, grid.type, grid.year,
 FROM grid LEFT JOIN knots
   ON grid.nation = knots.nation AND grid.type = knots.type
  AND grid.year >= knots.year AND (grid.year < next_year OR (next_year IS NULL AND grid.year = knots.year))
-""")
+""", name="interpolate")
 def interpolate_years(t: Tables) -> DataFrame:
     known = line_totals(t, "nation", "type", "year").where(F.col("year").isin(1995, 1998, 2001))
     rows = interpolate(known, ["nation", "type"], "year", "value", range(1994, 2003))
@@ -566,7 +566,7 @@ FROM ({line_totals_sql("nation", "type", "year", measure="l_quantity")}) s
 LEFT JOIN ({PRICE_SQL}) p ON type = resource AND s.year = p.year"""
 
 
-@query(f"SELECT nation, type, year, round(cost, 4) AS cost FROM ({PRICED_SQL})")
+@query(f"SELECT nation, type, year, round(cost, 4) AS cost FROM ({PRICED_SQL})", name="price")
 def price_quantities(t: Tables) -> DataFrame:
     stock = line_totals(t, "nation", "type", "year", measure="l_quantity")
     rows = price(
@@ -591,7 +591,7 @@ def nation_scalars(t: Tables) -> DataFrame:
 SELECT nation, year, sales, round(avg_sales, 2) AS avg_sales, round(median_sales, 2) AS median_sales,
        round(scalar, 8) AS scalar
 FROM ({SCALAR_SQL})
-""")
+""", name="median_scalar")
 def scalar_to_median(t: Tables) -> DataFrame:
     rows = rounded(nation_scalars(t), 2, "avg_sales", "median_sales")
     return rounded(rows, 8, "scalar")
@@ -609,7 +609,7 @@ def scaled_costs(t: Tables) -> DataFrame:
     return keep(rows, "nation", "year", "flag", "cost")
 
 
-@query(f"SELECT nation, year, flag, round(cost, 4) AS cost FROM ({SCALED_SQL})")
+@query(f"SELECT nation, year, flag, round(cost, 4) AS cost FROM ({SCALED_SQL})", name="scale_by")
 def scale_by_scalar(t: Tables) -> DataFrame:
     return rounded(scaled_costs(t), 4, "cost")
 
@@ -618,7 +618,7 @@ def scale_by_scalar(t: Tables) -> DataFrame:
 SELECT c.nation, c.year, c.flag, round(cost - sales / 10000, 4) AS cost
 FROM ({SCALED_SQL}) c JOIN ({order_totals_sql("nation", "year")}) p
   ON c.nation = p.nation AND c.year = p.year
-""")
+""", name="residual")
 def residual_cost(t: Tables) -> DataFrame:
     part = convert(order_totals(t, "nation", "year"), "sales", [("/", 10000.0)])
     rows = residual(scaled_costs(t), part, ["nation", "year"], "cost", "sales")

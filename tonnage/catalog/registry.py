@@ -29,15 +29,15 @@ class Tables:
         return self.opened[name]
 
 
-def query(sql: str) -> Callable[[QueryFunction], QueryFunction]:
-    """Register a function under its own name."""
+def query(sql: str, name: str | None = None) -> Callable[[QueryFunction], QueryFunction]:
+    """Register a function under a name, by default its own."""
 
     def register(function: QueryFunction) -> QueryFunction:
-        name = function.__name__
-        if name in FUNCTIONS:
-            raise ValueError(f"{name} is registered twice")
-        FUNCTIONS[name] = function
-        SQL[name] = sql
+        key = name or function.__name__
+        if key in FUNCTIONS:
+            raise ValueError(f"{key} is registered twice")
+        FUNCTIONS[key] = function
+        SQL[key] = sql
         return function
 
     return register

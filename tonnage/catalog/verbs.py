@@ -343,7 +343,7 @@ def join_m2m(t: Tables) -> DataFrame:
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderpriority, o_totalprice
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-""")
+""", name="join_checked")
 def checked_join(t: Tables) -> DataFrame:
     lines = keep(t.lineitem, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     orders = keep(t.orders, "o_orderkey", "o_orderpriority", "o_totalprice")
@@ -356,7 +356,7 @@ WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 1000) G
 UNION ALL
 SELECT c_custkey, 'right', COUNT(*) FROM customer
 WHERE c_acctbal > 1000 AND c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY ALL
-""")
+""", name="unmatched_keys")
 def unmatched_key_report(t: Tables) -> DataFrame:
     orders = t.orders.select(F.col("o_custkey").alias("customer"))
     rich = t.customer.where(F.col("c_acctbal") > 1000).select(F.col("c_custkey").alias("customer"))
@@ -403,7 +403,7 @@ def nulled_balance(t: Tables) -> DataFrame:
 SELECT c_nationkey, c_mktsegment,
        CAST(CASE WHEN COUNT({NULLED}) = COUNT(*) THEN SUM({NULLED}) END AS DOUBLE) AS total
 FROM customer GROUP BY ALL
-""")
+""", name="strict_sum")
 def strict_sums(t: Tables) -> DataFrame:
     groups = nulled_balance(t).groupBy("c_nationkey", "c_mktsegment")
     return to_double(groups.agg(strict_sum("balance").alias("total")), "total")
@@ -413,7 +413,7 @@ def strict_sums(t: Tables) -> DataFrame:
 SELECT c_nationkey, c_mktsegment,
        round(CASE WHEN bool_and(c_acctbal > -980) THEN AVG(c_acctbal) END, 6) AS mean
 FROM customer GROUP BY ALL
-""")
+""", name="strict_mean")
 def strict_means(t: Tables) -> DataFrame:
     rows = t.customer.select(
         "c_nationkey",
@@ -428,7 +428,7 @@ def strict_means(t: Tables) -> DataFrame:
 SELECT DISTINCT l_returnflag AS flag, l_linestatus AS status,
        CAST(year(l_shipdate) AS INTEGER) AS year
 FROM lineitem
-""")
+""", name="distinct_rows")
 def distinct_combinations(t: Tables) -> DataFrame:
     rows = t.lineitem.select(
         F.col("l_returnflag").alias("flag"),
