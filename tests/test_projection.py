@@ -1,0 +1,120 @@
+"""Per-capita drivers, projection, capping and interpolation."""
+
+import math
+
+import numpy as np
+import pytest
+from helpers import as_dict, plan, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tonnage.operators import cap_and_hold, interpolate, loglog_project, per_capita
+
+NAN = float("nan")
+
+
+def test_per_capita(frame):
+    amounts = frame(
+        [("EJ", "Ref", "X", 2050, 3.0), ("EJ", "Ref", "X", 2050, 1.0), ("EJ", "Ref", "X", 2020, 9.0),
+         ("EJ", "Ref", "Y", 2050, 1.0)],
+        "units string, scenario string, region string, year int, value double",
+    )
+    people = frame([("Ref", "X", 2050, 2000.0), ("Ref", "X", 2020, 1.0)],
+                   "scenario string, region string, year int, value double")
+    got = per_capita(
+        amounts, people, ["units", "scenario", "region", "year"], ["scenario", "region", "year"],
+        "value", "value", 1000.0, F.col("year") == 2050, ["scenario", "region", "value"],
+    )
+    assert rows(got) == [("Ref", "X", 2.0), ("Ref", "Y", None)]
+
+
+def test_loglog(frame):
+    df = frame([("X", 10.0), ("Z", 0.0), ("N", None), ("M", -1.0)], "r string, x double")
+    pairs = {"steel": (-1.3, -0.41), "copper": (-1.9, -0.47)}
+    got = as_dict(loglog_project(df, "x", pairs, "m", "y"), "y", "r", "m")
+    assert got["X", "steel"] == pytest.approx(math.exp(-1.3 - 0.41 * math.log(10)))
+    assert got["X", "copper"] == pytest.approx(math.exp(-1.9 - 0.47 * math.log(10)))
+    assert got["Z", "steel"] == math.inf
+    assert got["N", "steel"] is None
+    assert math.isnan(got["M", "steel"])
+    assert "Join" not in plan(loglog_project(df, "x", pairs, "m", "y"))
+
+
+def test_cap_and_hold_is_strict(frame):
+    proj = frame([("a", 5.0), ("b", 1.0), ("c", 2.0), ("d", None)], "k string, v double")
+    base = frame([("a", 3.0, 2015), ("b", 4.0, 2015), ("d", 1.0, 2015)], "k string, b double, year int")
+    got = cap_and_hold(proj, base, ["k"], "v", "b", (2015, 2050, 2100))
+    assert as_dict(got, "v", "k", "year") == {
+        ("a", 2015): 3.0, ("a", 2050): 3.0, ("a", 2100): 3.0,
+        ("b", 2015): 4.0, ("b", 2050): 1.0, ("b", 2100): 1.0,
+        ("c", 2015): None, ("c", 2050): None, ("c", 2100): None,
+        ("d", 2015): 1.0, ("d", 2050): None, ("d", 2100): None,
+    }
+
+
+def test_interpolate_rules(frame):
+    df = frame(
+        [("two", 2000, 1.0), ("two", 2010, 3.0), ("one", 2005, 4.0), ("none", 2000, None),
+         ("gap", 2000, 0.0), ("gap", 2005, None), ("gap", 2010, 10.0), ("nan", 2000, NAN),
+         ("nan", 2005, 1.0), ("nan", 2010, 2.0), ("tie", 2000, 1.0), ("tie", 2000, 3.0),
+         ("tie", 2020, 4.0), ("same", 2000, 1.0), ("same", 2000, 2.0)],
+        "k string, year int, v double",
+    )
+    got = interpolate(df, ["k"], "year", "v", [1995, 2000, 2005, 2010, 2015])
+    by_group = {}
+    for r in got.orderBy("k", "year").collect():
+        by_group.setdefault(r.k, []).append(r.v)
+    assert by_group == {
+        "two": [None, 1.0, 2.0, 3.0, None],
+        "one": [None] * 5,
+        "none": [None] * 5,
+        "gap": [None, 0.0, 5.0, 10.0, None],
+        "nan": [None, None, 1.0, 2.0, None],
+        "tie": [None, 2.0, 2.5, 3.0, 3.5],
+        "same": [None] * 5,
+    }
+    assert got.schema["year"].dataType == df.schema["year"].dataType
+
+
+KNOTS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b"]),
+        st.integers(-2, 14).map(lambda x: x / 2),
+        st.one_of(st.none(), st.integers(-5, 5).map(float)),
+    ),
+    min_size=1,
+    max_size=14,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(KNOTS, st.lists(st.integers(-1, 8), min_size=1, max_size=6, unique=True))
+def test_interpolate_against_brute_force(spark, knots, grid):
+    df = spark.createDataFrame(knots, "k string, x double, y double")
+    got = as_dict(interpolate(df, ["k"], "x", "y", grid), "y", "k", "x")
+    want = {}
+    for k in {k for k, _, _ in knots}:
+        at = {}
+        for g, x, y in knots:
+            if g == k and y is not None:
+                at.setdefault(x, []).append(y)
+        xs = sorted(at)
+        ys = [sum(at[x]) / len(at[x]) for x in xs]
+        for p in grid:
+            inside = len(xs) >= 2 and xs[0] <= p <= xs[-1]
+            want[k, float(p)] = pytest.approx(float(np.interp(p, xs, ys))) if inside else None
+    assert got == want
+
+
+def test_interpolate_shrinks_a_hot_group_before_it_meets_in_one_task(spark):
+    """A group of any number of knots reaches the window as one row per grid interval."""
+    df = spark.range(30_000).select(
+        F.lit("hot").alias("k"), (F.col("id") / 1000).alias("x"), F.sqrt("id").alias("y")
+    )
+    out = interpolate(df, ["k"], "x", "y", range(0, 31, 3))
+    text = plan(out)
+    assert text.index("Window") < text.index("HashAggregate")
+    got = as_dict(out, "y", "x")
+    assert got[15.0] == pytest.approx(math.sqrt(15_000))
+    assert got[30.0] is None

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.operators.relational import missing_test, quoted, require
+from tonnage.operators.relational import missing_test, quoted, rename, require
 
 Keys = Sequence[str] | Mapping[str, str] | None
 
@@ -41,7 +41,7 @@ def _same_keys(pairs: Mapping[str, str]) -> Column:
 
 
 def _right_keys(right: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
-    return right.withColumnsRenamed({r: f"{_RIGHT_KEY}{i}" for i, r in enumerate(pairs.values())})
+    return rename(right, {r: f"{_RIGHT_KEY}{i}" for i, r in enumerate(pairs.values())})
 
 
 def _add_suffixes(
@@ -50,8 +50,8 @@ def _add_suffixes(
     rest = [c for c in right.columns if c not in pairs.values()]
     clash = [c for c in rest if c in left.columns and c not in pairs]
     return (
-        left.withColumnsRenamed({c: c + suffixes[0] for c in clash}),
-        right.withColumnsRenamed({c: c + suffixes[1] for c in clash}),
+        rename(left, {c: c + suffixes[0] for c in clash}),
+        rename(right, {c: c + suffixes[1] for c in clash}),
     )
 
 
@@ -137,7 +137,7 @@ def join_full(
     pairs = _key_pairs(left, right, on)
     unused = rows_without_match(right, left, {r: k for k, r in pairs.items()})
     _, unused = _add_suffixes(left, unused, pairs, suffixes)
-    unused = unused.withColumnsRenamed({r: k for k, r in pairs.items()})
+    unused = rename(unused, {r: k for k, r in pairs.items()})
     return join_left(left, right, on, "m:m", suffixes).unionByName(unused, allowMissingColumns=True)
 
 

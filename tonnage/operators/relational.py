@@ -40,7 +40,7 @@ def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     after = [names.get(c, c) for c in df.columns]
     if len(set(after)) != len(after):
         raise ValueError(f"renaming {dict(names)} leaves two columns of one name: {after}")
-    return df.withColumnsRenamed(dict(names))
+    return df.select(*[quoted(old).alias(new) for old, new in zip(df.columns, after, strict=True)])
 
 
 def mutate(df: DataFrame, **columns: Column) -> DataFrame:

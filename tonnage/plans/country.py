@@ -154,7 +154,7 @@ def intensity_from_stock(
 def lines_by_region(line_length: DataFrame, underground: DataFrame) -> DataFrame:
     """Overhead and underground length per region and voltage class."""
     return split_by_percent(
-        keep(line_length, "d_region", "voltage", "km").withColumnRenamed("km", "value"),
+        rename(keep(line_length, "d_region", "voltage", "km"), {"km": "value"}),
         ["d_region"],
         LINE_CLASSES,
         "voltage",
@@ -167,7 +167,7 @@ def lines_by_region(line_length: DataFrame, underground: DataFrame) -> DataFrame
 def equipment_by_region(line_length: DataFrame, equipment: DataFrame) -> DataFrame:
     """Transformers and substations per region and voltage class."""
     units = derive_units(
-        keep(line_length, "d_region", "voltage", "km").withColumnRenamed("km", "value"),
+        rename(keep(line_length, "d_region", "voltage", "km"), {"km": "value"}),
         equipment,
         ["voltage"],
         "value",

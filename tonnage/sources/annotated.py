@@ -24,10 +24,13 @@ def _head(spark: SparkSession, path: str, n: int) -> list[str]:
     return [r.value for r in _lines(spark, one).limit(n).collect()]
 
 
+def _names(header: str) -> list[str]:
+    return [name.strip() for name in next(csv.reader([header.removeprefix(BOM)]))]
+
+
 def read_header(spark: SparkSession, path: str, skip: int = 0) -> list[str]:
     """Column names as the file spells them, trimmed."""
-    line = _head(spark, path, skip + 1)[skip].removeprefix(BOM)
-    return [name.strip() for name in next(csv.reader([line]))]
+    return _names(_head(spark, path, skip + 1)[skip])
 
 
 def read_annotated(
@@ -41,10 +44,12 @@ def read_annotated(
     Fields are matched by position, trimmed, and parsed to the declared type; text
     that is no number is null, and commas inside quoted numbers are grouping marks.
     Note lines and the header are removed by content, not by position, so files stay
-    splittable and a folder of files with one layout reads as one table. A quoted
-    field may not hold a line break.
+    splittable and a folder of files with one layout reads as one table. A line with
+    another number of fields is an error, and a quoted field may not hold a line break.
     """
     head = _head(spark, path, skip + 1)
+    if len(_names(head[skip])) != len(schema):
+        raise ValueError(f"{len(schema)} columns are declared, the header reads {head[skip]}")
     known = sorted({*head, *(line.removeprefix(BOM) for line in head)})
     body = _lines(spark, path).where(
         (F.col("value") != "")
