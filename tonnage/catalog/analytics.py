@@ -24,7 +24,6 @@ from tonnage.operators import (
     across,
     allocate,
     apply_coefficients,
-    bind_rows,
     blend,
     cap_and_hold,
     compare_sources,
@@ -32,7 +31,6 @@ from tonnage.operators import (
     derive_units,
     discard,
     interpolate,
-    join_left,
     keep,
     loglog_project,
     median_scalar,
@@ -52,6 +50,7 @@ from tonnage.operators import (
     tidy_measures,
     weighted_rollup,
 )
+from tonnage.sources import stage
 
 # Reshaping and shares
 
@@ -110,7 +109,7 @@ SELECT region, nation, sales, round(sales / SUM(sales) OVER (PARTITION BY region
 FROM sales
 """, name="share_of_total")
 def share_of_region(t: Tables) -> DataFrame:
-    sales = order_totals(t, "region", "nation")
+    sales = stage(order_totals(t, "region", "nation"))
     return rounded(share_of_total(sales, ["region"], "sales"), 8, "share")
 
 
@@ -144,8 +143,8 @@ SELECT coalesce(sales.region, shares.region) AS region, nation, type,
 FROM sales FULL JOIN shares ON sales.region = shares.region
 """, name="split_by_share")
 def split_by_type_share(t: Tables) -> DataFrame:
-    sales = order_totals(t, "region", "nation").where(F.col("region") < 4)
-    totals = line_totals(t, "region", "type").where(F.col("region") > 0)
+    sales = stage(order_totals(t, "region", "nation").where(F.col("region") < 4))
+    totals = stage(line_totals(t, "region", "type").where(F.col("region") > 0))
     shares = discard(share_of_total(totals, ["region"], "value"), "value")
     return rounded(split_by_share(sales, shares, ["region"], "sales"), 2, "sales")
 
@@ -200,6 +199,11 @@ def split_by_class_percent(t: Tables) -> DataFrame:
     return rounded(rows, 4, "value")
 
 
+def nation_capacity(t: Tables) -> DataFrame:
+    """Sales by region and nation, staged since a share reads its input twice."""
+    return stage(order_totals(t, "region", "nation"))
+
+
 # Stocks and coefficients
 
 
@@ -339,8 +343,7 @@ SELECT shares.region, nation, type, round(value * share, 2) AS value
 FROM shares LEFT JOIN totals ON shares.region = totals.region
 """, name="allocate")
 def allocate_to_nations(t: Tables) -> DataFrame:
-    capacity = order_totals(t, "region", "nation")
-    shares = discard(share_of_total(capacity, ["region"], "sales"), "sales")
+    shares = discard(share_of_total(nation_capacity(t), ["region"], "sales"), "sales")
     rows = allocate(line_totals(t, "region", "type"), shares, ["region"], "value")
     return rounded(discard(rows, "share"), 2, "value")
 
@@ -350,12 +353,6 @@ SELECT nation, type, status, value / sales AS value
 FROM ({line_totals_sql("nation", "type", "status")}) JOIN ({order_totals_sql("nation")}) USING (nation)"""
 
 
-def nation_intensity(t: Tables) -> DataFrame:
-    stock = line_totals(t, "nation", "type", "status")
-    rows = ratio_to(stock, order_totals(t, "nation"), ["nation"], "value", "sales", "t/GW")
-    return keep(rows, "nation", "type", "status", "value")
-
-
 REGION_INTENSITY_SQL = f"""
 SELECT region, type, status, SUM(value * share) AS value
 FROM ({INTENSITY_SQL}) JOIN (
@@ -365,10 +362,16 @@ GROUP BY ALL"""
 
 
 def intensity_by_region(t: Tables) -> DataFrame:
-    capacity = order_totals(t, "region", "nation")
+    capacity = nation_capacity(t)
+    stock = line_totals(t, "nation", "type", "status")
+    intensity = ratio_to(stock, keep(capacity, "nation", "sales"), ["nation"], "value", "sales", "t/GW")
     shares = discard(share_of_total(capacity, ["region"], "sales"), "sales")
     return weighted_rollup(
-        nation_intensity(t), shares, ["nation"], ["region", "type", "status"], "value"
+        keep(intensity, "nation", "type", "status", "value"),
+        shares,
+        ["nation"],
+        ["region", "type", "status"],
+        "value",
     )
 
 
@@ -476,7 +479,8 @@ UNION ALL SELECT region, type, 2100, capped FROM rows"""
 
 
 def capped_by_type(t: Tables) -> DataFrame:
-    shares = share_of_total(line_totals(t, "region", "type"), ["region"], "value")
+    totals = stage(line_totals(t, "region", "type"))
+    shares = share_of_total(totals, ["region"], "value")
     known = ~((F.col("region") == 2) & (F.col("type") == "PROMO"))
     base = shares.select("region", "type", F.when(known, F.col("share")).alias("base"))
     return cap_and_hold(
@@ -583,8 +587,9 @@ SELECT nation, year, sales, AVG(sales) OVER (PARTITION BY year) AS avg_sales,
 FROM ({order_totals_sql("nation", "year")})"""
 
 
-def nation_scalars(t: Tables) -> DataFrame:
-    return median_scalar(order_totals(t, "nation", "year"), ["year"], "sales")
+def yearly_sales(t: Tables) -> DataFrame:
+    """Sales by nation and year, staged since mean, median and rows each read them."""
+    return stage(order_totals(t, "nation", "year"))
 
 
 @query(f"""
@@ -593,7 +598,8 @@ SELECT nation, year, sales, round(avg_sales, 2) AS avg_sales, round(median_sales
 FROM ({SCALAR_SQL})
 """, name="median_scalar")
 def scalar_to_median(t: Tables) -> DataFrame:
-    rows = rounded(nation_scalars(t), 2, "avg_sales", "median_sales")
+    scalars = median_scalar(yearly_sales(t), ["year"], "sales")
+    rows = rounded(scalars, 2, "avg_sales", "median_sales")
     return rounded(rows, 8, "scalar")
 
 
@@ -602,16 +608,16 @@ SELECT nation, s.year, flag, value / 1000 * scalar AS cost
 FROM ({SCALAR_SQL}) s LEFT JOIN ({line_totals_sql("flag", "year")}) b ON s.year = b.year"""
 
 
-def scaled_costs(t: Tables) -> DataFrame:
+def scaled_costs(t: Tables, sales: DataFrame) -> DataFrame:
     base = convert(line_totals(t, "flag", "year"), "value", [("/", 1000.0)], "cost")
-    scalars = keep(nation_scalars(t), "nation", "year", "scalar")
+    scalars = keep(median_scalar(sales, ["year"], "sales"), "nation", "year", "scalar")
     rows = scale_by(scalars, keep(base, "flag", "year", "cost"), ["year"], "cost")
     return keep(rows, "nation", "year", "flag", "cost")
 
 
 @query(f"SELECT nation, year, flag, round(cost, 4) AS cost FROM ({SCALED_SQL})", name="scale_by")
 def scale_by_scalar(t: Tables) -> DataFrame:
-    return rounded(scaled_costs(t), 4, "cost")
+    return rounded(scaled_costs(t, yearly_sales(t)), 4, "cost")
 
 
 @query(f"""
@@ -620,6 +626,7 @@ FROM ({SCALED_SQL}) c JOIN ({order_totals_sql("nation", "year")}) p
   ON c.nation = p.nation AND c.year = p.year
 """, name="residual")
 def residual_cost(t: Tables) -> DataFrame:
-    part = convert(order_totals(t, "nation", "year"), "sales", [("/", 10000.0)])
-    rows = residual(scaled_costs(t), part, ["nation", "year"], "cost", "sales")
+    sales = yearly_sales(t)
+    part = convert(sales, "sales", [("/", 10000.0)])
+    rows = residual(scaled_costs(t, sales), part, ["nation", "year"], "cost", "sales")
     return rounded(rows, 4, "cost")

@@ -17,7 +17,7 @@ from tonnage.catalog.registry import Tables, query
 from tonnage.catalog.totals import line_totals, order_totals, rounded
 from tonnage.functions import r_divide, recode
 from tonnage.functions.units import MODEL_YEARS
-from tonnage.operators import across
+from tonnage.operators import across, keep
 from tonnage.plans import (
     Inputs,
     base_year,
@@ -25,6 +25,7 @@ from tonnage.plans import (
     country_intensity,
     intensity_from_regions,
     intensity_from_stock,
+    material_coefficients,
     mt_per_ej,
     region_intensity,
     run,
@@ -463,8 +464,8 @@ SELECT r_name AS region, mineral, year, round(value, 8) AS value
 FROM coefs JOIN region ON coefs.region = r_regionkey
 """)
 def region_coefficients(t: Tables) -> DataFrame:
-    coefs, _ = run(inputs(t))
-    return rounded(coefs, 8, "value")
+    coefs = material_coefficients(inputs(t))
+    return rounded(keep(coefs, "region", "mineral", "year", "value"), 8, "value")
 
 
 @query(f"""

@@ -52,6 +52,7 @@ from tonnage.operators import (
     with_group_median,
     year_table,
 )
+from tonnage.sources import stage
 
 MONEY = "decimal(18,2)"
 
@@ -334,7 +335,7 @@ FROM nation JOIN (
 ) ON n_regionkey = region
 """)
 def join_m2m(t: Tables) -> DataFrame:
-    shares = share_of_total(line_totals(t, "region", "type"), ["region"], "value")
+    shares = share_of_total(stage(line_totals(t, "region", "type")), ["region"], "value")
     nation = t.nation.select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("region"))
     rows = join_inner(nation, discard(shares, "value"), ["region"], expect="m:m")
     return rounded(rows, 8, "share")
@@ -454,7 +455,7 @@ SELECT region, nation, year, sales,
 FROM sales
 """)
 def group_mean_median(t: Tables) -> DataFrame:
-    sales = order_totals(t, "region", "nation", "year")
+    sales = stage(order_totals(t, "region", "nation", "year"))
     rows = with_group_mean(sales, ["year"], "sales", "mean")
     rows = with_group_median(rows, ["year"], "sales", "median")
     return rounded(rows, 2, "mean", "median")

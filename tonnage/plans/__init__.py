@@ -17,6 +17,7 @@ from tonnage.plans.regional import (
     coefficients,
     country_intensity,
     driver,
+    material_coefficients,
     material_cost,
     mt_per_ej,
     nonmaterial_cost,
@@ -38,6 +39,7 @@ __all__ = [
     "line_material",
     "line_stock",
     "lines_by_region",
+    "material_coefficients",
     "material_cost",
     "mt_per_ej",
     "nonmaterial_cost",

@@ -153,22 +153,27 @@ def country_intensity(tables: Inputs, gw: DataFrame) -> DataFrame:
     )
 
 
-def run(tables: Inputs) -> tuple[DataFrame, DataFrame]:
-    """Both results of the plan: material coefficients and non-material costs.
+def material_coefficients(tables: Inputs) -> DataFrame:
+    """Mt per EJ by region, mineral and model year, from the input tables.
 
-    The tables that several later steps read are staged once.
+    The capacity and the country table are read by several steps, so they are staged.
     """
     t = tables
     gw = stage(capacity_total(t.capacity))
-    countries = country_intensity(t, gw)
+    countries = stage(country_intensity(t, gw))
     base = base_year(mt_per_ej(region_intensity(countries, gw, t.hierarchy)))
-    coefs = stage(coefficients(driver(t.generation, t.population), base, t.regions))
-    cost = stage(material_cost(coefs, t.prices))
+    return coefficients(driver(t.generation, t.population), base, t.regions)
+
+
+def run(tables: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Both results of the plan: material coefficients and non-material costs."""
+    coefs = stage(material_coefficients(tables))
+    cost = stage(material_cost(coefs, tables.prices))
     return (
         keep(coefs, "region", "mineral", "year", "value"),
         rename(
             keep(
-                nonmaterial_cost(cost, t.costs),
+                nonmaterial_cost(cost, tables.costs),
                 "region", "sector", "subsector", "technology", "year", "cost_input", "cost",
             ),
             {"sector": "supplysector", "technology": "stub_technology"},
