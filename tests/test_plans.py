@@ -33,6 +33,7 @@ from tonnage.plans import (
     tidy_stock,
     transformer_material,
 )
+from tonnage.plans.export import COEFFICIENTS, COSTS, export
 from tonnage.plans.inputs import PREAMBLE, read_table
 
 NOTES = ["# note one", '"# note, two"']
@@ -309,6 +310,19 @@ def test_both_results(tables):
     assert "Python" not in plan(costs)
 
 
+def test_export_writes_both_tables(spark, paths, tmp_path):
+    export(spark, paths, str(tmp_path / "out"))
+    coefs = spark.read.csv(str(tmp_path / "out" / COEFFICIENTS), header=True)
+    costs = spark.read.csv(str(tmp_path / "out" / COSTS), header=True)
+    assert coefs.columns == ["region", "mineral", "year", "value"]
+    assert costs.columns == [
+        "region", "supplysector", "subsector", "stub.technology", "year", "input", "cost",
+    ]
+    got = {(r.region, r.mineral, int(r.year)): float(r.value) for r in coefs.collect()}
+    assert got == close(expected_coefficients())
+    assert costs.count() == 2 * 3 * 18
+
+
 def test_own_capacity_variant(spark, tables):
     t = tables
     material = region_material(t.line_length, t.underground, t.equipment, t.d_intensity)
