@@ -56,6 +56,12 @@ def test_no_shared_name_is_an_error(left, frame):
         join_left(left, frame([(1,)], "other int"))
 
 
+def test_keys_of_different_kinds_are_an_error(left, frame):
+    with pytest.raises(TypeError, match="cannot join"):
+        join_left(left, frame([("1", 2.0)], "k string, w double"), ["k"])
+    assert join_left(left, frame([(1, 2.0)], "k bigint, w double"), ["k"]).count() == 3
+
+
 def test_cardinality(left, right, frame):
     doubled = right.unionByName(right)
     assert join_left(left, doubled, ["k"]).count() == 5
@@ -66,6 +72,10 @@ def test_cardinality(left, right, frame):
     assert len(join_left(twice, right, ["k"], expect="m:1").collect()) == 6
     with pytest.raises(Exception, match="more than once"):
         join_left(twice, right, ["k"], expect="1:1").collect()
+    keys_only = keep(doubled, "k")
+    with pytest.raises(Exception, match="more than once"):
+        join_left(left, keys_only, ["k"], expect="m:1").collect()
+    assert join_left(left, keep(right, "k"), ["k"], expect="m:1").count() == 3
     with pytest.raises(ValueError, match="expect is"):
         join_left(left, right, ["k"], expect="1:m")
 

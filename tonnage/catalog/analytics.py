@@ -552,16 +552,14 @@ SELECT p_type AS resource, CAST(year(l_shipdate) AS INTEGER) AS year,
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'SMALL' GROUP BY ALL"""
 
 
-def type_prices(t: Tables) -> DataFrame:
+def type_prices(lines: DataFrame) -> DataFrame:
+    """Average price per type and year, from staged totals of price and quantity."""
     rows = (
-        t.lineitem.join(t.part.where(F.col("p_type") != "SMALL"), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("p_type").alias("resource"), F.year("l_shipdate").alias("year"))
-        .agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("paid"),
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("amount"),
-        )
+        lines.where(F.col("type") != "SMALL")
+        .groupBy(F.col("type").alias("resource"), "year")
+        .agg(F.sum("paid").alias("paid"), F.sum("value").alias("value"))
     )
-    return rows.select("resource", "year", r_divide("paid", "amount").alias("price"))
+    return rows.select("resource", "year", r_divide("paid", "value").alias("price"))
 
 
 PRICED_SQL = f"""
@@ -572,10 +570,12 @@ LEFT JOIN ({PRICE_SQL}) p ON type = resource AND s.year = p.year"""
 
 @query(f"SELECT nation, type, year, round(cost, 4) AS cost FROM ({PRICED_SQL})", name="price")
 def price_quantities(t: Tables) -> DataFrame:
-    stock = line_totals(t, "nation", "type", "year", measure="l_quantity")
+    lines = stage(
+        line_totals(t, "nation", "type", "year", measure="l_quantity", paid="l_extendedprice")
+    )
     rows = price(
-        stock, type_prices(t), {"type": "resource", "year": "year"}, "value", "price",
-        0.13, 1000.0, "cost",
+        discard(lines, "paid"), type_prices(lines), {"type": "resource", "year": "year"},
+        "value", "price", 0.13, 1000.0, "cost",
     )
     return rounded(keep(rows, "nation", "type", "year", "cost"), 4, "cost")
 

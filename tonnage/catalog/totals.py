@@ -26,8 +26,14 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 
-def line_totals(t: Tables, *by: str, measure: str = "l_extendedprice") -> DataFrame:
-    """Sum of a line measure as `value`; `by` is any of region, nation, type, flag, status, year."""
+def line_totals(
+    t: Tables, *by: str, measure: str = "l_extendedprice", **more: str
+) -> DataFrame:
+    """Sum of a line measure as `value`, and of further measures under their own names.
+
+    `by` is any of region, nation, type, flag, status, year.
+    """
+    measures = {"value": measure} | more
     columns = {
         "flag": F.col("l_returnflag"),
         "status": F.col("l_linestatus"),
@@ -36,21 +42,23 @@ def line_totals(t: Tables, *by: str, measure: str = "l_extendedprice") -> DataFr
     }
     inner = [c for c in by if c in columns]
     own = [columns[c].alias(c) for c in inner]
+    sums = [money(c).alias(name) for name, c in measures.items()]
+    again = [F.sum(name).alias(name) for name in measures]
     lines = t.lineitem
     if "type" in by:
         lines = lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     if not {"region", "nation"} & set(by):
-        return to_double(lines.groupBy(*own).agg(money(measure).alias("value")), "value")
-    per_supplier = lines.groupBy("l_suppkey", *own).agg(money(measure).alias("value"))
+        return to_double(lines.groupBy(*own).agg(*sums), *measures)
+    per_supplier = lines.groupBy("l_suppkey", *own).agg(*sums)
     per_nation = (
         per_supplier.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", *inner)
-        .agg(F.sum("value").alias("value"))
+        .agg(*again)
     )
     placed = per_nation.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     places = {"region": F.col("n_regionkey"), "nation": F.col("n_nationkey")}
     outer = [places.get(c, F.col(c)).alias(c) for c in by]
-    return to_double(placed.groupBy(*outer).agg(F.sum("value").alias("value")), "value")
+    return to_double(placed.groupBy(*outer).agg(*again), *measures)
 
 
 _LINE_SQL = {

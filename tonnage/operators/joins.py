@@ -32,6 +32,10 @@ def _key_pairs(left: DataFrame, right: DataFrame, on: Keys) -> dict[str, str]:
         pairs = {k: k for k in on}
     require(left, pairs.keys())
     require(right, pairs.values())
+    for k, r in pairs.items():
+        kinds = [df.schema[c].dataType.simpleString() for df, c in ((left, k), (right, r))]
+        if kinds[0] != kinds[1] and "string" in kinds:
+            raise TypeError(f"cannot join {k} ({kinds[0]}) to {r} ({kinds[1]})")
     return pairs
 
 
@@ -56,16 +60,21 @@ def _add_suffixes(
 
 
 def _one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """df itself, with values that raise where a key occurs twice."""
+    """df itself, with values that raise where a key occurs twice.
+
+    Without a column besides the keys, the first key raises.
+    """
     message = F.lit(f"a key of {list(keys)} occurs more than once")
-    guarded = [
+    guarded = [f for f in df.schema.fields if f.name not in keys] or [df.schema[keys[0]]]
+    values = [
         F.when(F.count(F.lit(1)) == 1, F.first(quoted(f.name)))
         .otherwise(F.raise_error(message).cast(f.dataType))
-        .alias(f.name)
-        for f in df.schema.fields
-        if f.name not in keys
+        .alias(f"__value_{i}")
+        for i, f in enumerate(guarded)
     ]
-    return df.groupBy(*[quoted(k) for k in keys]).agg(*guarded)
+    grouped = df.groupBy(*[quoted(k) for k in keys]).agg(*values)
+    names = {f.name: f"__value_{i}" for i, f in enumerate(guarded)}
+    return grouped.select(*[quoted(names.get(c, c)).alias(c) for c in df.columns])
 
 
 def _check_expectation(
@@ -73,9 +82,9 @@ def _check_expectation(
 ) -> tuple[DataFrame, DataFrame]:
     if expect not in ("m:m", "m:1", "1:1"):
         raise ValueError(f"expect is m:m, m:1 or 1:1, not {expect}")
-    if expect in ("m:1", "1:1") and len(right.columns) > len(pairs):
+    if expect in ("m:1", "1:1"):
         right = _one_row_per_key(right, list(pairs.values()))
-    if expect == "1:1" and len(left.columns) > len(pairs):
+    if expect == "1:1":
         left = _one_row_per_key(left, list(pairs))
     return left, right
 
