@@ -261,21 +261,19 @@ SELECT region, CASE km.flag WHEN 'A' THEN 'HV' WHEN 'N' THEN 'MV' WHEN 'R' THEN
 FROM km JOIN rates ON km.flag = rates.flag
 """, name="derive_units")
 def derive_unit_counts(t: Tables) -> DataFrame:
-    totals = t.lineitem.groupBy(
-        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("unit")
-    ).agg(F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("d"), F.count(F.lit(1)).alias("n"))
-    rates = totals.select("flag", "unit", r_divide("d", "n").alias("rate"))
-    rows = derive_units(
-        line_totals(t, "region", "flag", measure="l_quantity"),
-        rates,
-        ["flag"],
-        "value",
-        "rate",
-        "flag",
-        {"A": "HV", "N": "MV", "R": "LV"},
-        "unit",
-        "component",
+    lines = stage(
+        line_totals(
+            t, "region", "flag", "status", measure="l_quantity", discount="l_discount", n=F.lit(1)
+        )
+    )
+    km = lines.groupBy("region", "flag").agg(F.sum("value").alias("value"))
+    rates = (
+        lines.groupBy("flag", F.col("status").alias("unit"))
+        .agg(F.sum("discount").alias("discount"), F.sum("n").alias("n"))
+        .select("flag", "unit", r_divide("discount", "n").alias("rate"))
     )
+    classes = {"A": "HV", "N": "MV", "R": "LV"}
+    rows = derive_units(km, rates, ["flag"], "value", "rate", "flag", classes, "unit", "component")
     return rounded(keep(rows, "region", "component", "value"), 4, "value")
 
 

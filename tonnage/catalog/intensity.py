@@ -162,14 +162,14 @@ def _underground(t: Tables) -> DataFrame:
     )
 
 
-def _equipment(t: Tables) -> DataFrame:
-    totals = t.lineitem.groupBy("l_linestatus", "l_returnflag").agg(
-        F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("d"), F.count(F.lit(1)).alias("n")
+def _equipment(lines: DataFrame) -> DataFrame:
+    totals = lines.groupBy("status", "flag").agg(
+        F.sum("discount").alias("discount"), F.sum("n").alias("n")
     )
     return totals.select(
-        recode("l_linestatus", UNITS).alias("unit"),
-        recode("l_returnflag", VOLTAGES).alias("voltage"),
-        r_divide("d", "n").alias("units_per_km"),
+        recode("status", UNITS).alias("unit"),
+        recode("flag", VOLTAGES).alias("voltage"),
+        r_divide("discount", "n").alias("units_per_km"),
     )
 
 
@@ -234,7 +234,11 @@ def _costs(t: Tables) -> DataFrame:
 
 def inputs(t: Tables) -> Inputs:
     """All input tables; the fact tables are reduced and staged once, then shared."""
-    lines = stage(line_totals(t, "nation", "flag", "status", measure="l_quantity"))
+    lines = stage(
+        line_totals(
+            t, "nation", "flag", "status", measure="l_quantity", discount="l_discount", n=F.lit(1)
+        )
+    )
     sales = stage(order_totals(t, "region", "nation", "status", "year", "priority"))
     parts = stage(_parts(t))
     region = (F.col("r_regionkey") + 1).alias("region_id")
@@ -250,7 +254,7 @@ def inputs(t: Tables) -> Inputs:
         k_intensity=_k_intensity(parts),
         underground=_underground(t),
         line_length=_line_length(lines),
-        equipment=_equipment(t),
+        equipment=_equipment(lines),
         d_intensity=_d_intensity(parts),
         generation=_generation(t, sales),
         population=_population(t),

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from tonnage.catalog.registry import Tables
 
 
-def money(column: str) -> Column:
-    return F.sum(F.col(column).cast("decimal(18,2)"))
+def money(column: str | Column) -> Column:
+    value = F.col(column) if isinstance(column, str) else column
+    return F.sum(value.cast("decimal(18,2)"))
 
 
 def to_double(df: DataFrame, *columns: str) -> DataFrame:
@@ -27,7 +28,7 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def line_totals(
-    t: Tables, *by: str, measure: str = "l_extendedprice", **more: str
+    t: Tables, *by: str, measure: str = "l_extendedprice", **more: str | Column
 ) -> DataFrame:
     """Sum of a line measure as `value`, and of further measures under their own names.
 
