@@ -52,6 +52,16 @@ def test_median_against_brute_force(spark, values):
     assert as_dict(group_median(df, ["k"], "x"), "median", "k") == want
 
 
+@pytest.mark.parametrize("reach", [0.0, -0.4, 0.5])
+def test_median_does_not_depend_on_the_bracket(spark, reach):
+    """Also when the bracket misses the median, or holds all values."""
+    df = spark.range(5001).select(
+        (F.col("id") % 4).alias("k"), ((F.col("id") * 37) % 1009).cast("double").alias("x")
+    )
+    got = as_dict(group_median(df, ["k"], "x", reach=reach), "median", "k")
+    assert got == as_dict(df.groupBy("k").agg(F.median("x").alias("m")), "m", "k")
+
+
 def test_median_of_a_group_that_spans_many_chunks(spark, conf):
     """One group holds most rows and its values lie in many range partitions."""
     conf(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonnage.functions import strict_mean, strict_sum
-from tonnage.operators.joins import join_inner, join_left
+from tonnage.operators.joins import join_inner, join_left, rows_without_match
 from tonnage.operators.relational import missing_test, quoted, require
 from tonnage.sources.staging import stage
 
@@ -27,53 +27,84 @@ def group_mean(df: DataFrame, keys: Sequence[str], measure: str, out: str | None
     return df.groupBy(*[quoted(k) for k in keys]).agg(mean)
 
 
-def group_median(df: DataFrame, keys: Sequence[str], measure: str, out: str = "median") -> DataFrame:
+# Spark keeps an approximate percentile within 1 / ACCURACY of the wanted rank. The
+# bracket around the median reaches ten times as far to either side.
+ACCURACY = 10_000
+REACH = 10 / ACCURACY
+
+
+def group_median(
+    df: DataFrame, keys: Sequence[str], measure: str, out: str = "median", reach: float = REACH
+) -> DataFrame:
     """Exact median per group, null as soon as one value in the group is missing.
 
-    Equal values are counted before the first shuffle. The counts are then
-    range-partitioned on (keys, value), which cuts a large group into ordered chunks;
-    the chunk totals give the rank at which each chunk starts, and only the chunks
-    that hold a middle rank are read again. A group of any size is thus spread over
-    as many tasks as its data needs.
+    One pass takes the size of each group and a narrow bracket around its median from
+    a sketch of bounded size. A second pass counts what lies below the bracket and
+    selects within it, so only a small part of a group of any size is ever shuffled.
+    A group whose bracket should miss its median is done again over all its values.
     """
     require(df, [*keys, measure])
     keys = list(keys)
     by = [quoted(k) for k in keys]
-    rows = df.select(
-        *by, quoted(measure).cast("double").alias("__v"), missing_test(df, measure).alias("__na")
+    value = quoted(measure).cast("double").alias("__v")
+    rows = df.select(*by, value, missing_test(df, measure).alias("__na"))
+    known = F.when(~F.col("__na"), F.col("__v"))
+    bracket = F.percentile_approx(known, [0.5 - reach, 0.5 + reach], ACCURACY)
+    groups = stage(
+        rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("__total"),
+            F.max("__na").alias("__any_na"),
+            F.min(known).alias("__min"),
+            F.max(known).alias("__max"),
+            bracket.alias("__q"),
+        )
     )
-    counts = rows.groupBy(*by, "__v", "__na").agg(F.count(F.lit(1)).alias("__n"))
+    complete = groups.where(~F.col("__any_na"))
+    low, high = F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi")
+    found = stage(_select_middle(rows, keys, complete.select(*by, "__total", low, high), out))
+    missed = rows_without_match(complete, found, keys)
+    if not missed.isEmpty():
+        low, high = F.col("__min").alias("__lo"), F.col("__max").alias("__hi")
+        rest = _select_middle(rows, keys, missed.select(*by, "__total", low, high), out)
+        found = found.unionByName(rest)
+    return join_left(groups.select(*by), found, keys)
+
+
+def _select_middle(rows: DataFrame, keys: list[str], bounds: DataFrame, out: str) -> DataFrame:
+    """The median of each group whose middle values lie within the group's bounds.
+
+    Values below the bounds are only counted. Equal values are counted before the
+    first shuffle. The counts are range-partitioned on (keys, value), which cuts a
+    group into ordered chunks; the chunk totals give the rank at which each chunk
+    starts, and only the chunks that hold a middle rank are read again.
+    """
+    by = [quoted(k) for k in keys]
+    near = join_inner(rows, bounds, keys).where(F.col("__v") <= F.col("__hi"))
+    inside = F.when(F.col("__v") >= F.col("__lo"), F.col("__v"))  # null, sorted first, below
+    counts = near.groupBy(*by, "__total", inside.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     chunks = stage(
         counts.repartitionByRange(*by, "__v").withColumn("__chunk", F.spark_partition_id())
     )
 
-    sizes = chunks.groupBy(*by, "__chunk").agg(
-        F.sum("__n").alias("__size"), F.max("__na").alias("__any_na")
-    )
-    group = Window.partitionBy(*by)
-    before = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    spans = sizes.select(
-        *by,
-        "__chunk",
-        "__size",
-        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start"),
-        F.sum("__size").over(group).alias("__total"),
-        F.max("__any_na").over(group).alias("__any_na"),
+    sizes = chunks.groupBy(*by, "__total", "__chunk").agg(F.sum("__n").alias("__size"))
+    before = Window.partitionBy(*by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("__size").over(before), F.lit(0))
+    low, high = F.expr("(__total + 1) div 2"), F.expr("(__total + 2) div 2")
+    middle = sizes.withColumn("__start", start).where(
+        (high > F.col("__start")) & (low <= F.col("__start") + F.col("__size"))
     )
-    low = F.expr("(__total + 1) div 2")
-    high = F.expr("(__total + 2) div 2")
-    middle = spans.where((high > F.col("__start")) & (low <= F.col("__start") + F.col("__size")))
 
-    hits = join_inner(chunks, middle, [*keys, "__chunk"])
+    hits = join_inner(chunks, middle.drop("__total"), [*keys, "__chunk"])
     upto = Window.partitionBy(*by, "__chunk").orderBy("__v")
-    last = F.col("__start") + F.sum("__n").over(
-        upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passed = F.sum("__n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = hits.withColumn("__last", F.col("__start") + passed)
+    ranked = ranked.withColumn("__first", F.col("__last") - F.col("__n") + 1)
+    at_low, at_high = (
+        F.max(F.when((F.col("__first") <= rank) & (rank <= F.col("__last")), F.col("__v")))
+        for rank in (low, high)
     )
-    ranked = hits.withColumn("__last", last).withColumn("__first", F.expr("__last - __n + 1"))
-    at_low = F.max(F.when((F.col("__first") <= low) & (low <= F.col("__last")), F.col("__v")))
-    at_high = F.max(F.when((F.col("__first") <= high) & (high <= F.col("__last")), F.col("__v")))
-    value = F.when(~F.max("__any_na"), (at_low + at_high) / 2)
-    return ranked.groupBy(*by).agg(value.alias(out))
+    medians = ranked.groupBy(*by).agg(((at_low + at_high) / 2).alias(out))
+    return medians.where(F.col(out).isNotNull())
 
 
 def with_group_value(df: DataFrame, keys: Sequence[str], value: DataFrame) -> DataFrame:
