@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_staged: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,14 +30,40 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+@contextmanager
+def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
+    """Let Spark drop the shuffle files of each query run meanwhile as soon as it ends."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back.
 
     The result no longer depends on the upstream lineage, so a lost executor costs
     a re-read. Its size on disk is known, so a later join broadcasts it only when it
-    is under spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise.
+    is under spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise. The shuffle
+    files behind it are dropped once it is written. Staging runs a job when it is called.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffle_files_dropped(spark):
+        df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has staged and return their number.
+
+    To be called once nothing that reads them will run again.
+    """
+    count = len(_staged)
+    while _staged:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return count
