@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonnage.llm.minhash import near_duplicates
+from tonnage.llm.mixing import mixture
 from tonnage.llm.ship import workers_find_library
 from tonnage.llm.substring import remove_repeats
+from tonnage.llm.url_filter import SITE_RULES, WORD_RULES, judge_urls, rule_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,12 +43,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     with texts as (
       select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
     ), windows as (
-      select doc_id, at, array_to_string(words[at:at + 12], ' ') as content
-      from (select doc_id, words, unnest(range(1, len(words) - 11)) as at from texts)
+      select doc_id, place, array_to_string(words[place:place + 12], ' ') as content
+      from (select doc_id, words, unnest(range(1, len(words) - 11)) as place from texts)
     ), first as (
       select content, min(doc_id) as least from windows group by content
     ), gone as (
-      select distinct w.doc_id, unnest(range(w.at, w.at + 13)) as place
+      select distinct w.doc_id, unnest(range(w.place, w.place + 13)) as place
       from windows w join first f on w.content = f.content where f.least < w.doc_id
     ), single as (
       select doc_id, unnest(words) as word, generate_subscripts(words, 1) as place from texts
@@ -64,3 +67,99 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(
+    "op5_minhash_near_dedup",
+    r"""
+    with recursive texts as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as words from documents
+    ), shingles as (
+      select distinct doc_id, array_to_string(words[place:place + 4], ' ') as shingle
+      from (select doc_id, words, unnest(range(1, greatest(len(words) - 3, least(len(words) + 1, 2)))) as place from texts)
+    ), sizes as (
+      select t.doc_id, count(s.shingle) as n from texts t left join shingles s on t.doc_id = s.doc_id group by t.doc_id
+    ), common as (
+      select a.doc_id as a, b.doc_id as b, count(*) as n
+      from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+    ), links as (
+      select c.a, c.b from common c join sizes x on c.a = x.doc_id join sizes y on c.b = y.doc_id
+      where 100 * c.n >= 75 * (x.n + y.n - c.n)
+    ), edges as (
+      select a, b from links union all select b, a from links
+    ), reach as (
+      select doc_id as a, doc_id as b from documents
+      union
+      select r.a, e.b from reach r join edges e on r.b = e.a
+    ), label as (
+      select a as doc_id, min(b) as component_id from reach group by a
+    )
+    select s.doc_id, cast(s.n as bigint) as n_shingles, l.component_id, s.doc_id = l.component_id as kept
+    from sizes s join label l on s.doc_id = l.doc_id
+    """,
+)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+@query(
+    "op1_url_filters",
+    r"""
+    with parts as (
+      select page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) as path
+      from pages
+    ), rules(of_host, of_path, verdict) as (
+      values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+    ), judged as (
+      select p.page_id, p.host, p.path, arg_max(r.of_host || r.of_path, length(r.of_host || r.of_path)) as rule,
+        arg_max(r.verdict, length(r.of_host || r.of_path)) as of_rule
+      from parts p left join rules r
+        on (p.host = r.of_host or ends_with(p.host, '.' || r.of_host)) and starts_with(p.path, r.of_path)
+      group by p.page_id, p.host, p.path
+    )
+    select page_id, host, path, rule, coalesce(of_rule, case when list_has_any(regexp_split_to_array(host, '[^a-z0-9]'),
+      ['bet', 'betting', 'bets', 'casino', 'escort', 'gambling', 'jackpot', 'loan', 'loans', 'lottery', 'pharmacy', 'pill', 'pills', 'poker',
+       'porn', 'sex', 'slots', 'torrent', 'viagra', 'warez', 'xxx']) then 'block' else 'allow' end) as verdict
+    from judged
+    """,
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    rules = rule_table(spark, SITE_RULES + WORD_RULES)
+    judged = judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op10_mixing",
+    r"""
+    with sized as (
+      select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents
+    ), totals as (
+      select source, sum(size) as source_size, row_number() over (order by source nulls last) - 1 as number from sized group by source
+    ), placed as (
+      select *, [5, 2, 1][number % 3 + 1] as weight, 2 * source_size / [5, 2, 1][number % 3 + 1] as per_weight from totals
+    ), levels as (
+      select *, (sum(source_size) over () * 1.5 - coalesce(sum(2 * source_size) over before, 0))
+        / (sum(weight) over () - coalesce(sum(weight) over before, 0)) as level
+      from placed window before as (order by per_weight, number rows between unbounded preceding and 1 preceding)
+    ), goals as (
+      select source, source_size, round(least((max(level) over ()) * weight, 2 * source_size), 6) as target from levels
+    ), lined as (
+      select s.doc_id, s.size, cast(g.source_size as bigint) as source_size, g.target,
+        case when g.source_size > 0 then g.target / g.source_size else 0 end as rate,
+        cast(('0x' || substr(md5('mix-1:' || coalesce(s.source, '')), 1, 8)) as bigint) / 4294967296.0 as start,
+        row_number() over (partition by s.source order by s.size, s.doc_id) as place
+      from sized s join goals g on s.source is not distinct from g.source
+    )
+    select doc_id, cast(size as bigint) as size, source_size, target,
+      cast(size * (floor(place * rate + start) - floor((place - 1) * rate + start)) as bigint) as taken
+    from lined
+    """,
+)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
