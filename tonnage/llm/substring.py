@@ -14,6 +14,7 @@ that sits in a third of all documents is one row on one side, and Spark splits t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonnage.llm import recompress as R
-from tonnage.llm.words import Texts, blocks, sequence_hashes, whole_windows, window_hashes, words_of
+from tonnage.llm.words import Texts, blocks, find_words, sequence_hashes, texts_of, whole_windows, window_hashes, words_of
 from tonnage.sources.staging import stage
 
 WINDOW = 13
-#: Rounds whose symbols are small enough to lie inside a window with all that decided them.
-INNER_ROUNDS = 3
+#: Rounds whose symbols anchor windows. Symbols of one round lie inside any window with all
+#: that decided them, and stand close enough that more rounds only made more keys.
+INNER_ROUNDS = 1
 #: Rounds after which long symbols are reported: about 30 and 130 words, and the whole document.
 OUTER_ROUNDS = 17
 REPORTED = (12, 17)
@@ -36,7 +38,7 @@ class _Lists:
     """A list of 64-bit values for each text, asked for membership."""
 
     def __init__(self, column: pa.Array):
-        lengths = np.asarray(column.value_lengths().fill_null(0), np.int64)
+        lengths = _lengths(column)
         text = np.repeat(np.arange(len(lengths)), lengths)
         self.values, at = np.unique(np.asarray(column.flatten(), np.int64), return_inverse=True)
         self.pairs = np.unique(text * len(self.values) + at)
@@ -138,32 +140,35 @@ def _without(size: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "text"):
-            parsed = _Parsed(texts, size)
-            words = parsed.words
-            text = parsed.text[parsed.at]
-            one = window_hashes(words.hash, size, 1)[parsed.at].view(np.int64)
-            hit = parsed.settled(_Lists(batch.column("later"))) | _Lists(batch.column("matched")).holds(text, one)
-            at = parsed.at[hit]
-            gone = covered(at, at + size, len(words.start))
+            start, end, first = find_words(texts)
+            gone = np.zeros(len(start), bool)
+            later, matched = batch.column("later"), batch.column("matched")
+            some = np.flatnonzero(_lengths(later) + _lengths(matched))
+            if len(some):
+                part = texts_of(batch.column("text").take(pa.array(some)))
+                parsed = _Parsed(part, size)
+                one = window_hashes(parsed.words.hash, size, 1)[parsed.at].view(np.int64)
+                hit = parsed.settled(_Lists(later.take(pa.array(some))))
+                hit |= _Lists(matched.take(pa.array(some))).holds(parsed.text[parsed.at], one)
+                at = parsed.at[hit]
+                inside = np.concatenate([np.arange(first[i], first[i + 1]) for i in some])
+                gone[inside] = covered(at, at + size, len(inside))
             kept, spans = [], []
             for i in range(len(texts)):
-                a, b = words.first[i], words.first[i + 1]
-                keep = np.flatnonzero(~gone[a:b]) + a
+                a, b = first[i], first[i + 1]
                 raw = texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes()
-                if len(keep) == b - a:
-                    kept.append(b" ".join(raw.split()))
-                    spans.append([])
-                    continue
-                base = texts.offsets[i]
-                kept.append(b" ".join([raw[x:y] for x, y in zip((words.start[keep] - base).tolist(), (words.end[keep] - base).tolist(), strict=True)]))
+                words = raw.split()
+                if gone[a:b].any():
+                    words = list(compress(words, (~gone[a:b]).tolist()))
+                kept.append(b" ".join(words))
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8)))
                 spans.append([{"start": x, "end": y} for x, y in edge.reshape(-1, 2).tolist()])
-            removed = np.add.reduceat(np.append(gone, False).astype(np.int64), words.first[:-1]) * (np.diff(words.first) > 0)
+            sums = np.concatenate([[0], np.cumsum(gone)])
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
-                    "n_words": pa.array(np.diff(words.first)),
-                    "n_removed": pa.array(removed),
+                    "n_words": pa.array(np.diff(first)),
+                    "n_removed": pa.array(np.diff(sums[first])),
                     "kept": pa.array(kept, pa.binary()).cast(pa.string()),
                     "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 }
@@ -172,6 +177,10 @@ def _without(size: int):
     return rows
 
 
+def _lengths(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.value_lengths().fill_null(0), np.int64)
+
+
 def shared_names(docs: DataFrame, size: int) -> DataFrame:
     """Per document the names another document shares, and those an earlier document holds."""
     names = stage(docs.mapInArrow(_report(size), "name long, check long, doc_id long"))
