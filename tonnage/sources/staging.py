@@ -57,6 +57,23 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """df as stage() gives it, deleted on leaving: for what only the steps inside read."""
+    table = stage(df)
+    path = _staged[-1]
+    try:
+        yield table
+    finally:
+        _staged.remove(path)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables this process has staged and return their number.
 
@@ -64,6 +81,5 @@ def release(spark: SparkSession) -> int:
     """
     count = len(_staged)
     while _staged:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _staged.pop())
     return count
