@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonnage.llm.minhash import near_duplicates
 from tonnage.llm.mixing import mixture
+from tonnage.llm.quality import judge_quality, train
 from tonnage.llm.ship import workers_find_library
 from tonnage.llm.substring import remove_repeats
+from tonnage.llm.tokens import read_documents, write_tokens
+from tonnage.llm.toxicity import learn, score_toxicity
 from tonnage.llm.url_filter import SITE_RULES, WORD_RULES, judge_urls, rule_table
 
+TOKENIZER = "byte_bpe_50k.json"
+END_OF_TEXT = 2
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -163,3 +170,22 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op3_token_output")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    shards = write_tokens(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), END_OF_TEXT)
+    return read_documents(spark, shards)
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    judged = judge_quality(docs, train(docs, table(spark, folder, "labels")))
+    return judged.drop("text")
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score_toxicity(docs, learn(docs, table(spark, folder, "labels")))
