@@ -205,3 +205,12 @@ def _between_components(shared: DataFrame, found: DataFrame) -> DataFrame:
     left = placed.select("key", F.col("node").alias("a"), F.col("component").alias("of_a"))
     right = placed.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"))
     return left.join(right, "key").where("of_a > of_b").select("a", "b").distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """docs with all its columns, one document of each component of near_duplicates, and no row twice."""
+    gone = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
+    left = docs.join(stage(gone), "doc_id", "left_anti").select(docs.columns)
+    # Rows that repeat a doc_id are few, so only they are compared in full.
+    again = stage(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates())

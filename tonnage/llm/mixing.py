@@ -28,14 +28,20 @@ SEED = "mix-1"
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in blocks(batches, "text"):
         first = find_words(texts)[2]
-        yield pa.record_batch(
-            {"doc_id": batch.column("doc_id"), "source": batch.column("source"), "size": pa.array(np.diff(first).astype(np.int64))}
-        )
+        columns = {c: batch.column(c) for c in ("doc_id", "source", "key")}
+        yield pa.record_batch(columns | {"size": pa.array(np.diff(first).astype(np.int64))})
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A 64-bit hash of a document's id, source and text."""
+    null = F.array(*[F.col(c).isNull() for c in ("doc_id", "source", "text")])
+    return F.xxhash64("doc_id", "source", "text", null)
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and the number of words of each row; a null text has none."""
-    return docs.select("doc_id", "source", "text").mapInArrow(_sizes, "doc_id long, source string, size long")
+    """doc_id, source, key (see row_key) and the number of words of each row; a null text has none."""
+    rows = docs.select("doc_id", "source", row_key(docs).alias("key"), "text")
+    return rows.mapInArrow(_sizes, "doc_id long, source string, key long, size long")
 
 
 def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, most: int = MOST_COPIES) -> DataFrame:
@@ -69,7 +75,7 @@ def offset(source: Column, seed: str) -> Column:
 
 
 def mixture(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
-    """doc_id, source, size, source_size, target and copies of each row of docs.
+    """doc_id, source, key, size, source_size, target and copies of each row of docs.
 
     copies is how often the mix takes the row, 0 to 2 by default. Null counts as a source of its
     own. Rows of a source line up by size and doc_id; equal rows stand next to each other, so
@@ -91,4 +97,15 @@ def mixture(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     start = offset(F.col("source"), seed)
     last = F.col("before") + F.col("at")
     copies = F.floor(last * rate + start) - F.floor((last - 1) * rate + start)
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.cast("int").alias("copies"))
+    return placed.select("doc_id", "source", "key", "size", "source_size", "target", copies.cast("int").alias("copies"))
+
+
+def mix(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
+    """docs with all its columns, each row as often as the mixture takes it.
+
+    Rows equal in doc_id, source and text are all taken equally often, the mean of their copies.
+    """
+    taken = mixture(docs, seed, **how).groupBy("key").agg(F.round(F.avg("copies")).cast("int").alias("copies"))
+    taken = stage(taken.where("copies > 0")).withColumnsRenamed({"key": "__key", "copies": "__copies"})
+    rows = docs.join(taken, row_key(docs) == F.col("__key"))
+    return rows.withColumn("__copies", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)

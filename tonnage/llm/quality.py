@@ -16,7 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.llm.words import Texts, Words, blocks, find_words, hash_ranges, mix, whole_windows, window_hashes, words_of
+from tonnage.llm.words import (
+    Texts,
+    Words,
+    blocks,
+    find_words,
+    hash_ranges,
+    mix,
+    texts_of,
+    whole_windows,
+    window_hashes,
+    words_of,
+)
 
 #: Labelled documents used for fitting and calibration, at most.
 SAMPLE_DOCUMENTS = 3000
@@ -225,3 +236,22 @@ def judge_quality(docs: DataFrame, model: Model, least: float = KEEP) -> DataFra
     repeated rows and null ids change nothing. Other columns are ignored.
     """
     return docs.select("doc_id", "text").mapInArrow(_judge(model, least), f"doc_id long, text string, {ADDED}")
+
+
+def _good(model: Model, least: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in blocks(batches, "text"):
+            words = np.diff(find_words(texts)[2])
+            keep = words >= MIN_WORDS
+            at = np.flatnonzero(keep)
+            part = texts_of(batch.column("text").take(pa.array(at)))
+            repeated = repeated_words(words_of(part))
+            keep[at] = (100 * repeated <= MOST_REPEATED_PERCENT * words[at]) & (model.probability(part) >= least)
+            yield batch.filter(pa.array(keep))
+
+    return rows
+
+
+def keep_good(docs: DataFrame, model: Model, least: float = KEEP) -> DataFrame:
+    """The rows of docs, with all columns, that judge_quality keeps."""
+    return docs.mapInArrow(_good(model, least), docs.schema)

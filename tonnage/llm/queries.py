@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonnage.llm.decontaminate import find_leaks
 from tonnage.llm.minhash import near_duplicates
 from tonnage.llm.mixing import mixture
 from tonnage.llm.quality import judge_quality, train
@@ -189,3 +190,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return score_toxicity(docs, learn(docs, table(spark, folder, "labels")))
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
