@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonnage.llm.decontaminate import find_leaks
+from tonnage.llm.licences import scan_licences
 from tonnage.llm.minhash import near_duplicates
 from tonnage.llm.mixing import mixture
 from tonnage.llm.quality import judge_quality, train
+from tonnage.llm.secret_scan import scan_secrets
 from tonnage.llm.ship import workers_find_library
 from tonnage.llm.substring import remove_repeats
 from tonnage.llm.tokens import read_documents, write_tokens
@@ -195,3 +197,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_license_scans")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licences(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op8_secret_scans")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
