@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tonnage.llm import recompress as R
 from tonnage.llm.words import Texts, blocks, find_words, sequence_hashes, texts_of, whole_windows, window_hashes, words_of
-from tonnage.sources.staging import stage
+from tonnage.sources.staging import stage, staged
 
 WINDOW = 13
 #: Rounds whose symbols anchor windows. Symbols of one round lie inside any window with all
@@ -183,32 +183,32 @@ def _lengths(column: pa.Array) -> np.ndarray:
 
 def shared_names(docs: DataFrame, size: int) -> DataFrame:
     """Per document the names another document shares, and those an earlier document holds."""
-    names = stage(docs.mapInArrow(_report(size), "name long, check long, doc_id long"))
-    first = names.groupBy("name", "check").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    first = first.where("least < most").drop("most")
-    is_later = F.col("doc_id") > F.col("least")
-    return (
-        names.join(first, ["name", "check"])
-        .groupBy("doc_id")
-        .agg(
-            F.collect_list(F.when((F.col("check") != 0) & is_later, F.col("name"))).alias("later"),
-            F.collect_list(F.when(F.col("check") == 0, F.col("name"))).alias("shared"),
+    with staged(docs.mapInArrow(_report(size), "name long, check long, doc_id long")) as names:
+        first = names.groupBy("name", "check").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        first = first.where("least < most").drop("most")
+        is_later = F.col("doc_id") > F.col("least")
+        return stage(
+            names.join(first, ["name", "check"])
+            .groupBy("doc_id")
+            .agg(
+                F.collect_list(F.when((F.col("check") != 0) & is_later, F.col("name"))).alias("later"),
+                F.collect_list(F.when(F.col("check") == 0, F.col("name"))).alias("shared"),
+            )
         )
-    )
 
 
 def matched_windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
     """Per document the fingerprints of the compared windows that an earlier document holds."""
     asked = docs.join(shared, "doc_id").mapInArrow(_open_windows(size), "one long, two long, doc_id long")
-    asked = stage(asked)
-    first = asked.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    first = first.where("least < most").drop("most")
-    return (
-        asked.join(first, ["one", "two"])
-        .where(F.col("doc_id") > F.col("least"))
-        .groupBy("doc_id")
-        .agg(F.collect_list("one").alias("matched"))
-    )
+    with staged(asked) as asked:
+        first = asked.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        first = first.where("least < most").drop("most")
+        return stage(
+            asked.join(first, ["one", "two"])
+            .where(F.col("doc_id") > F.col("least"))
+            .groupBy("doc_id")
+            .agg(F.collect_list("one").alias("matched"))
+        )
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -226,7 +226,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     known = docs.where("doc_id is not null and text is not null")
-    shared = stage(shared_names(known, size))
+    shared = shared_names(known, size)
     matched = matched_windows(known, shared, size)
     found = shared.select("doc_id", "later").join(matched, "doc_id", "left")
     return docs.join(found, "doc_id", "left").mapInArrow(
