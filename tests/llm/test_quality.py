@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from samples import corpus, prose
+
+from tonnage.llm.quality import fit, judge_quality, keep_good, train
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, repeats = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeats += line in seen
+            seen.add(line)
+    triples = Counter(zip(words, words[1:], words[2:], strict=False))
+    marked = set()
+    for i in range(len(words) - 2):
+        if triples[tuple(words[i : i + 3])] > 1:
+            marked |= {i, i + 1, i + 2}
+    failed = len(words) < 50 or 100 * len(marked) > 50 * len(words)
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, repeats, len(marked), failed
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+@pytest.fixture
+def labelled(spark, documents):
+    """Plain prose, good, and prose with a sign after every word, bad."""
+    rows, marks = [], []
+    for i in range(300):
+        good = i % 3 > 0
+        text = prose(i, 80)
+        rows.append((i, text if good else re.sub(r"(\S)(?= |$)", r"\1&&&", text), "a"))
+        marks.append((i, int(good), 0))
+    marks += [(5000, 1, 0), (None, 1, None), (3, None, 1), (4, 7, 0), (7, 1, 0)]
+    return documents(rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def test_counts_against_brute_force(documents):
+    rng = random.Random(2)
+    rows = corpus() + [(900 + i, "".join(rng.choices("ab\n #|é\t", k=rng.randrange(300))), "a") for i in range(80)]
+    found = judge_quality(documents(rows), fit([], np.zeros(0))).select("doc_id", *COUNTS).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(str((i, *brute(t))) for i, t, _ in rows)
+
+
+def test_held_out_accuracy(labelled, documents):
+    docs, labels = labelled
+    model = train(docs.where("doc_id < 200"), labels)
+    found = judge_quality(docs.where("doc_id >= 200"), model).collect()
+    assert all(r.kept == (r.doc_id % 3 > 0) for r in found)
+    assert all(0 <= r.quality <= 1 for r in found)
+    kept = keep_good(docs, model)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judge_quality(docs, model).where("kept").collect()}
+
+
+def test_labels_of_one_kind_or_none(labelled, documents):
+    docs, labels = labelled
+    for some in (labels.where("quality = 1"), labels.where("false")):
+        assert all(r.kept for r in judge_quality(docs, train(docs, some)).where("not base_failed").collect())
+    assert not judge_quality(docs, train(docs, labels.where("quality = 0"))).where("kept").collect()
+    assert judge_quality(documents([]), train(docs, labels)).collect() == []
+    assert keep_good(documents([(None, None, None), (1, "", "a")]), train(docs, labels)).collect() == []
+
+
+def test_training_does_not_depend_on_row_order(labelled):
+    docs, labels = labelled
+    a, b = train(docs, labels), train(docs.repartition(5), labels.repartition(3))
+    assert np.array_equal(a.weights, b.weights) and (a.slope, a.intercept) == (b.slope, b.intercept)
