@@ -160,13 +160,20 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     ), lined as (
       select s.doc_id, s.size, cast(g.source_size as bigint) as source_size, g.target,
         case when g.source_size > 0 then g.target / g.source_size else 0 end as rate,
-        cast(('0x' || substr(md5('mix-1:' || coalesce(s.source, '')), 1, 8)) as bigint) / 4294967296.0 as start,
+        cast(('0x' || substr(md5('mix-1:' || coalesce(s.source, '')), 1, 8)) as bigint) / 4294967296.0 as start, s.source,
         row_number() over (partition by s.source order by s.size, s.doc_id) as place
       from sized s join goals g on s.source is not distinct from g.source
+    ), moved as (
+      select l.*, t.turn, l.start + t.turn / 16.0 - floor(l.start + t.turn / 16.0) as moved
+      from lined l, (select unnest(range(16)) as turn) t
+    ), counted as (
+      select *, cast(size * (floor(place * rate + moved) - floor((place - 1) * rate + moved)) as bigint) as taken from moved
+    ), best as (
+      select source, arg_min(turn, (error, turn)) as turn
+      from (select source, turn, abs(sum(taken) - first(target)) as error from counted group by source, turn) group by source
     )
-    select doc_id, cast(size as bigint) as size, source_size, target,
-      cast(size * (floor(place * rate + start) - floor((place - 1) * rate + start)) as bigint) as taken
-    from lined
+    select doc_id, cast(size as bigint) as size, source_size, target, taken
+    from counted c join best b on c.source is not distinct from b.source and c.turn = b.turn
     """,
 )
 def op10(spark: SparkSession, folder: str) -> DataFrame:
