@@ -3,12 +3,14 @@
 A sketch has 256 registers. A shingle's hash picks a register, which keeps the smallest rest
 of the hashes it sees as a float: the count of leading zeros and ten mantissa bits. Four
 registers make a band. Two documents with Jaccard similarity 0.75 share a band of 64 with a
-probability of 1 - 3e-11.
+probability of 1 - 3e-11. Sets of few shingles leave registers empty; for banding these copy
+others, in an order that is the same for all sets.
 
 Documents with equal shingle sets become one node. In every band each node is paired with
 the band's least node, and of its pairs the most promising is checked. Links make components.
-Pairs that share a band but lie in different components are then checked as well, so a link
-that could join two components is never left out. Only pairs inside a component go unseen.
+Nodes that share a band with a node of another component are then joined exactly, by the
+rarest shingles of their sets (see _between_components), so a link that could join two
+components is never left out. Only pairs inside a component go unseen.
 """
 
 from __future__ import annotations
@@ -48,16 +50,37 @@ def shingle_sets(texts: Texts, size: int) -> list[np.ndarray]:
     ]
 
 
-def sketch_of(shingles: np.ndarray) -> np.ndarray:
-    """Registers of a sorted set of hashes; 0 is an empty register."""
-    out = np.zeros(REGISTERS, np.uint16)
+def sketches_of(sets: list[np.ndarray]) -> np.ndarray:
+    """Registers of sorted sets of hashes, a row for each set; 0 is an empty register."""
+    out = np.zeros((len(sets), REGISTERS), np.uint16)
     bounds = np.arange(REGISTERS, dtype=np.uint64) << np.uint64(56)
-    at = np.searchsorted(shingles, bounds)
-    used = np.flatnonzero(np.diff(np.append(at, len(shingles))))
-    rest = (shingles[at[used]] << np.uint64(8)) >> np.uint64(12)
-    fraction, bits = np.frexp(rest.astype(np.float64))
-    mantissa = np.floor((2 * fraction - 1).clip(0) * (1 << MANTISSA)).astype(np.int64)
-    out[used] = 1 + ((52 - bits.astype(np.int64)) << MANTISSA) + mantissa
+    for row, shingles in zip(out, sets, strict=True):
+        at = np.searchsorted(shingles, bounds)
+        used = np.flatnonzero(np.diff(np.append(at, len(shingles))))
+        rest = (shingles[at[used]] << np.uint64(8)) >> np.uint64(12)
+        fraction, bits = np.frexp(rest.astype(np.float64))
+        mantissa = np.floor((2 * fraction - 1).clip(0) * (1 << MANTISSA)).astype(np.int64)
+        row[used] = 1 + ((52 - bits.astype(np.int64)) << MANTISSA) + mantissa
+    return out
+
+
+_PROBES = np.random.Generator(np.random.PCG64(17)).integers(0, REGISTERS, (4096, REGISTERS), dtype=np.uint8)
+
+
+def filled(sketches: np.ndarray) -> np.ndarray:
+    """Sketches whose empty registers copy the first used one in a probe order of their own.
+
+    The order is the same for all sets, so filled registers agree as often as used ones do,
+    and bands of small sets tell as much as those of large ones.
+    """
+    out = sketches.copy()
+    rows = np.flatnonzero((sketches > 0).any(axis=1))
+    for probe in _PROBES:
+        rows = rows[(out[rows] == 0).any(axis=1)]
+        if not len(rows):
+            break
+        part = out[rows]
+        out[rows] = np.where(part == 0, sketches[rows][:, probe], part)
     return out
 
 
@@ -65,12 +88,15 @@ def _sketches(size: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "text"):
             sets = shingle_sets(texts, size)
+            sketches = sketches_of(sets)
+            full = filled(sketches)
+            used = np.packbits(sketches > 0, axis=1)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
                     "digest": pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
-                    "sketch": pa.array([sketch_of(x).tobytes() for x in sets], pa.binary()),
+                    "sketch": pa.array([a.tobytes() + b.tobytes() for a, b in zip(full, used, strict=True)], pa.binary()),
                 }
             )
 
@@ -109,6 +135,13 @@ def estimates(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tup
     return (equal / np.maximum(used, 1) - chance) / (1 - chance), used
 
 
+def _own_registers(column: pa.Array) -> np.ndarray:
+    """The registers of stored sketches, without the filled ones."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    registers = np.ascontiguousarray(raw[:, : 2 * REGISTERS]).view(np.uint16)
+    return registers * np.unpackbits(raw[:, 2 * REGISTERS :], axis=1)
+
+
 def _promising(percent: int):
     """Pairs that may reach the threshold, by size and by estimate."""
 
@@ -117,10 +150,7 @@ def _promising(percent: int):
             if not batch.num_rows:
                 continue
             n, m = (np.asarray(batch.column(c), np.float64) for c in ("n_a", "n_b"))
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                for c in ("sketch_a", "sketch_b")
-            )
+            a, b = (_own_registers(batch.column(c)) for c in ("sketch_a", "sketch_b"))
             estimate, used = estimates(a, b, n, m)
             least = percent / 100
             keep = estimate >= least - SLACK * np.sqrt(least * (1 - least) / np.maximum(used, 1))
@@ -131,16 +161,23 @@ def _promising(percent: int):
     return rows
 
 
-def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    wide = pairs
+def _likely(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that may reach the threshold by their sketches."""
     for side in "ab":
-        wide = wide.join(
+        pairs = pairs.join(
             nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side
         )
-    pairs = stage(wide.mapInArrow(_promising(percent), "a long, b long"))
-    ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    sets = stage(docs.join(ends, "doc_id").mapInArrow(_sets(size), "node long, shingles array<long>"))
+    return stage(pairs.mapInArrow(_promising(percent), "a long, b long"))
+
+
+def _sets_of(docs: DataFrame, names: DataFrame, size: int) -> DataFrame:
+    """node and its shingles, for the documents named by the column node."""
+    names = stage(names.select(F.col("node").alias("doc_id")).distinct())
+    return stage(docs.join(names, "doc_id").mapInArrow(_sets(size), "node long, shingles array<long>"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold."""
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")), side)
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -171,7 +208,6 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     bands = (
         nodes.select("node", "sketch", numbers.alias("band"))
         .select("node", "band", F.expr(f"substring(sketch, band * {width} + 1, {width})").alias("part"))
-        .where(F.col("part") != F.lit(bytes(width)))
         .select(F.xxhash64("band", "part").alias("key"), "node")
     )
     centre = bands.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("most"))
@@ -184,10 +220,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         .groupBy("node")
         .agg(F.max(F.struct("bands", (-F.col("centre")).alias("centre"))).alias("best"))
     )
-    links = _checked(docs, nodes, best.select(F.col("node").alias("a"), (-F.col("best.centre")).alias("b")), size, percent)
+    pairs = _likely(nodes, best.select(F.col("node").alias("a"), (-F.col("best.centre")).alias("b")), percent)
+    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")), size)
+    links = _linked(pairs, sets, percent)
     found = stage(components(links))
-    others = stage(_between_components(shared, found))
-    links = links.unionByName(_checked(docs, nodes, others, size, percent))
+    links = links.unionByName(_between_components(docs, shared, found, size, percent))
     found = stage(components(links))
     label = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("label"))
     labelled = sketches.select("doc_id", "n_shingles", "digest").join(label, "digest", "left")
@@ -197,14 +234,41 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
 
 
-def _between_components(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a band but not a component."""
+def _between_components(docs: DataFrame, shared: DataFrame, found: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes that share a band, or are near others that do, in different components.
+
+    Two linked sets of n and m shingles have at least t = (n + m) * percent / (100 + percent) in
+    common. With the shingles of all sets in one order, each set's first n - n * percent / 100 + 1
+    then share one. Shingles of one component only come first in the order: they are in no other
+    set and pair nothing. Of the others the rarer come first, so few sets meet at a shingle. A
+    pair also needs t shingles that other components have, and t from the shared one on.
+    """
     placed = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = stage(placed.join(mixed.where("low < high").select("key"), "key"))
-    left = placed.select("key", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    right = placed.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    return left.join(right, "key").where("of_a > of_b").select("a", "b").distinct()
+    open_ = stage(placed.join(mixed.where("low < high").select("key"), "key").select("node", "component").distinct())
+    sets = _sets_of(docs, open_, size)
+    single = sets.join(open_, "node").select("node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    rarity = single.groupBy("shingle").agg(
+        F.count("*").alias("sets"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    rarity = rarity.where("low < high").select("shingle", "sets")
+    ordered = (
+        single.join(rarity, "shingle")
+        .groupBy("node", "component", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("sets", "shingle"))).alias("common"))
+    )
+    # Place of a shingle in its set's order: the n - size(common) others come before it.
+    length = F.expr(f"size(common) - (n * {percent} + 99) div 100 + 1")
+    first = stage(
+        ordered.where(length > 0)
+        .select("node", "component", "n", F.size("common").alias("c"), F.posexplode(F.slice("common", 1, length)))
+        .select("node", "component", "n", "c", (F.col("n") - F.col("c") + F.col("pos")).alias("place"), F.col("col.shingle").alias("shingle"))
+    )
+    left, right = (first.select("shingle", *[F.col(x).alias(f"{x}_{side}") for x in ("node", "component", "n", "c", "place")]) for side in "ab")
+    enough = f"(n_a + n_b) * {percent} <= least(c_a, c_b, n_a - place_a, n_b - place_b) * {100 + percent}"
+    pairs = left.join(right, "shingle").where(f"component_a > component_b and {enough}")
+    pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    return _linked(pairs, sets, percent)
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
