@@ -36,5 +36,10 @@ def test_residual(frame):
     assert rows(residual(total, part, ["r"], "cost", "mineral")) == [("a", "s1", 3.5), ("a", "s2", 5.5)]
     with pytest.raises(Exception, match="no match, or no value"):
         residual(total, frame([("b", 1.0)], "r string, mineral double"), ["r"], "cost", "mineral").collect()
+    unknown = frame([("a", "s1", None)], "r string, s string, cost double")
+    assert rows(residual(unknown, part, ["r"], "cost", "mineral")) == [("a", "s1", None)]
+    for lost in ([("b", 1.0)], [("a", None)], [("a", float("nan"))]):
+        with pytest.raises(Exception, match="no match, or no value"):
+            residual(unknown, frame(lost, "r string, mineral double"), ["r"], "cost", "mineral").collect()
     with pytest.raises(Exception, match="more than once"):
         residual(total, part.unionByName(part), ["r"], "cost", "mineral").collect()

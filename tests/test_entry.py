@@ -8,6 +8,7 @@ from helpers import plan
 from oracle import connect, differences
 
 import __spark_entry__ as driver
+from tonnage.catalog import FUNCTIONS, SQL
 
 FOLDER = os.environ.get("TEST_SF_DIR", driver.SMALL)
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -21,7 +22,7 @@ def sql():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(FUNCTIONS))
 def test_query(spark, sql, name):
     result = driver.queries()[name](spark, FOLDER)
     assert differences(result, sql, driver.oracle_sql()[name]) == []
@@ -30,7 +31,8 @@ def test_query(spark, sql, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(FUNCTIONS) == set(SQL)
+    assert set(FUNCTIONS) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_flagship(spark):

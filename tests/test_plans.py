@@ -56,8 +56,8 @@ FILES = {
     "capacity": ["Country,K,2017", "A,K1,10", "A,K1,10", "B,K1,5", "C,K2,8", "Elsewhere,K9,3"],
     "k_intensity": [
         "System,Component,type,mineral,intensity,unit",
-        "transmission,transformer,,steel,660,t/GVA", "transmission,transformer,,copper,100,t/GVA",
-        "distribution,transformer,,steel,2500,t/GVA", "distribution,transformer,,aluminium,350,t/GVA",
+        "transmission,transformer,,steel,700,t/GVA", "transmission,transformer,,copper,150,t/GVA",
+        "distribution,transformer,,steel,1900,t/GVA", "distribution,transformer,,aluminium,410,t/GVA",
         "transmission,pylon,OH <=220 kV,steel,20,t/km", "transmission,conductor,OH <=220 kV,steel,2,t/km",
         "transmission,conductor,OH <=220 kV,aluminium,6,t/km", "transmission,pylon,OH >750 kV,steel,90,t/km",
         "transmission,conductor,OH > 750 kV,steel,9,t/km", "transmission,,Cable <=220 kV,copper,9,t/km",
@@ -70,8 +70,8 @@ FILES = {
         "D1,High,200," + "," * 8, "D1,Medium,900," + "," * 8, "D1,Low,3000,1" + "," * 8,
     ],
     "equipment": [
-        "unit,Voltage,value", "substation,High,0.02", "transformer,High,0.05",
-        "substation,Medium,0.08", "transformer,Medium,0.1", "substation,Low,1.1", "transformer,Low,1.2",
+        "unit,Voltage,value", "substation,High,0.03", "transformer,High,0.06",
+        "substation,Medium,0.07", "transformer,Medium,0.2", "substation,Low,0.9", "transformer,Low,1.5",
     ],
     "d_intensity": ["Component,mineral ,intensity,unit"] + [
         f"{v} {k},{m},{i * 100 + j * 10 + n},kg"
@@ -310,6 +310,30 @@ def test_both_results(tables):
     assert "Python" not in plan(costs)
 
 
+def test_a_capacity_of_zero_leaves_its_region_without_results(spark, paths, tmp_path):
+    """0 / 0 and x / 0 are never capped to the projection, and a cost without its part is an error."""
+    path = tmp_path / "capacity.csv"
+    lines = [*(NOTES * 4)[: PREAMBLE["capacity"]], *FILES["capacity"], "D,K2,0"]
+    path.write_bytes("\r\n".join(lines).encode("utf-8-sig"))
+    coefs, costs = run(read_inputs(spark, paths | {"capacity": str(path)}))
+    got = as_dict(coefs, "value", "region", "mineral", "year")
+    minerals = {m for _, m, _ in got}
+    assert all(got["North", m, y] is None for m in minerals for y in MODEL_YEARS)
+    want = expected_coefficients()
+    assert all(got["South", m, y] == pytest.approx(want["South", m, y]) for m in minerals for y in MODEL_YEARS)
+    with pytest.raises(Exception, match="no match, or no value"):
+        costs.collect()
+
+
+def test_the_plan_stages_four_tables(tables, monkeypatch):
+    from tonnage.sources import staging
+
+    monkeypatch.setattr(staging, "_staged", [])
+    _, costs = run(tables)
+    costs.collect()
+    assert len(staging._staged) == 4
+
+
 def test_export_writes_both_tables(spark, paths, tmp_path):
     export(spark, paths, str(tmp_path / "out"))
     coefs = spark.read.csv(str(tmp_path / "out" / COEFFICIENTS), header=True)
@@ -333,31 +357,57 @@ def test_own_capacity_variant(spark, tables):
 
 MANIFEST = os.environ.get("TONNAGE_INPUTS")
 
+# Rows of the stages and totals in Mt, computed independently: of the small world above, and of
+# the published tables, which TONNAGE_INPUTS may name as a JSON map of table to file.
+SMALL = (
+    [20, 21, 26, 16, 36],
+    None,
+)
+PUBLISHED = (
+    [885, 2124, 4248, 1062, 936],
+    (
+        {
+            ("transmission", "steel"): 116.0319, ("transmission", "aluminium"): 71.9196,
+            ("transmission", "copper"): 0.0004, ("distribution", "steel"): 189.8958,
+            ("distribution", "aluminium"): 100.2097, ("distribution", "copper"): 239.1429,
+        },
+        {
+            ("transmission", "steel"): 15.8956, ("transmission", "aluminium"): 2.4084,
+            ("transmission", "copper"): 2.4084, ("distribution", "steel"): 41.3244,
+            ("distribution", "aluminium"): 5.7854, ("distribution", "copper"): 5.7854,
+        },
+        {"steel": 251.3415, "aluminium": 146.0157, "copper": 32.5646},
+    ),
+)
+
+
+def small_totals() -> tuple[dict, dict, dict]:
+    sums = ({}, {}, {})
+    for (_, kind, system, mineral), v in expected_k_tons().items():
+        box = sums[kind == "transformer"]
+        box[system, mineral] = box.get((system, mineral), 0) + v / 1e6
+    for (_, mineral), v in expected_d_kg().items():
+        sums[2][mineral] = sums[2].get(mineral, 0) + v / 1e9
+    return tuple({k: round(v, 4) for k, v in s.items()} for s in sums)
 
-@pytest.mark.skipif(not MANIFEST, reason="TONNAGE_INPUTS names no JSON map of table to published file")
-def test_totals_of_the_published_inputs(spark):
-    """Row counts and totals in Mt of the published tables, computed independently."""
-    files = json.loads(open(MANIFEST).read())
-    t = {name: read_table(spark, name, path) for name, path in files.items()}
+
+def test_rows_and_totals_of_the_stages(spark, paths):
+    files, (counts, totals) = (json.loads(open(MANIFEST).read()), PUBLISHED) if MANIFEST else (paths, SMALL)
+    of_lines, of_transformers, of_regions = totals or small_totals()
+    names = ("stock", "hierarchy", "line_mix", "underground", "k_intensity", "line_length", "equipment", "d_intensity")
+    t = {name: read_table(spark, name, files[name]) for name in names}
     tidy = tidy_stock(t["stock"], t["hierarchy"])
     lines = line_stock(tidy, t["line_mix"], t["underground"])
     material = line_material(lines, t["k_intensity"])
     transformers = transformer_material(tidy, t["k_intensity"])
     regions = region_material(t["line_length"], t["underground"], t["equipment"], t["d_intensity"])
-    assert [x.count() for x in (tidy, lines, material, transformers, regions)] == [885, 2124, 4248, 1062, 936]
+    found = [x.count() for x in (tidy, lines, material, transformers, regions)]
+    assert found == counts
 
     def mt(df, *keys, unit):
         sums = df.groupBy(*keys).agg((F.sum("value") / unit).alias("mt"))
         return {k: round(v, 4) for k, v in as_dict(sums, "mt", *keys).items()}
 
-    assert mt(material, "system", "mineral", unit=1e6) == {
-        ("transmission", "steel"): 116.0319, ("transmission", "aluminium"): 71.9196,
-        ("transmission", "copper"): 0.0004, ("distribution", "steel"): 189.8958,
-        ("distribution", "aluminium"): 100.2097, ("distribution", "copper"): 239.1429,
-    }
-    assert mt(transformers, "system", "mineral", unit=1e6) == {
-        ("transmission", "steel"): 15.8956, ("transmission", "aluminium"): 2.4084,
-        ("transmission", "copper"): 2.4084, ("distribution", "steel"): 41.3244,
-        ("distribution", "aluminium"): 5.7854, ("distribution", "copper"): 5.7854,
-    }
-    assert mt(regions, "mineral", unit=1e9) == {"steel": 251.3415, "aluminium": 146.0157, "copper": 32.5646}
+    assert mt(material, "system", "mineral", unit=1e6) == of_lines
+    assert mt(transformers, "system", "mineral", unit=1e6) == of_transformers
+    assert mt(regions, "mineral", unit=1e9) == of_regions

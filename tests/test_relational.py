@@ -116,7 +116,7 @@ def test_year_table(spark):
 
 
 def test_to_numbers_and_quoted(frame):
-    df = to_numbers(frame([("1,000", "-")], "`a b` string, c string"), "a b", "c")
+    df = to_numbers(frame([("1000", "1,000")], "`a b` string, c string"), "a b", "c")
     assert tuple(df.first()) == (1000.0, None)
     assert df.select(quoted("a b")).first()[0] == 1000.0
 

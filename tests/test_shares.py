@@ -23,13 +23,14 @@ from tonnage.operators import (
 
 def test_tidy_measures(frame):
     stock = frame(
-        [("A", "1,000", "2"), ("B", "3", "-"), ("Gone", "-", "-"), ("Total", "9", "9"),
+        [("A", "1000", "2"), ("B", "3", "-"), ("A", "1,234", "1,5"), ("Gone", "-", "-"), ("Total", "9", "9"),
          ("Nowhere", "1", "1")],
         "country string, p string, q string",
     )
     places = frame([("A", "X"), ("B", "X"), ("Gone", "Y")], "country string, region string")
     got = tidy_measures(stock, ["p", "q"], "system", places, {"country": "Total"})
     assert rows(got) == [("A", "p", 1000.0, "X"), ("A", "q", 2.0, "X"), ("B", "p", 3.0, "X")]
+    assert got.columns == ["country", "system", "value", "region"]
 
 
 def test_share_of_total_with_zero_null_and_null_group(frame):

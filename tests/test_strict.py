@@ -15,15 +15,18 @@ from tonnage.functions import (
     is_missing,
     label,
     not_in,
-    parse_number,
+    parse_grouped,
     piece,
     r_divide,
     r_log,
     recode,
+    strict_less,
     strict_mean,
     strict_sum,
+    to_number,
     zero_if_missing,
 )
+from tonnage.functions.units import FULL_LOAD_HOURS
 
 INF, NAN = float("inf"), float("nan")
 
@@ -84,10 +87,17 @@ def test_label_spells_missing(frame):
     assert got == ["HV unit", "NA unit", "HV NA"]
 
 
-def test_parse_number(frame):
-    df = frame([("6,347",), ("-",), ("0.00008",), ("",), (None,), ("1,234,567.5",)], "s string")
-    got = [r[0] for r in df.select(parse_number("s")).collect()]
-    assert got == [6347.0, None, 0.00008, None, None, 1234567.5]
+def test_numbers_from_text(frame):
+    texts = ["6,347", "-", "0.00008", "", None, "1,234,567.5", "1,5", "1d", "2f", " 7 ", "1e3", "-.5", "12,34", "0x1", "Inf", "1_0"]
+    df = frame([(t,) for t in texts], "s string")
+    grouped, plain = zip(*[(cell(a), cell(b)) for a, b in df.select(parse_grouped("s"), to_number("s")).collect()])
+    assert plain == (None, None, 0.00008, None, None, None, None, None, None, 7.0, 1000.0, -0.5, None, None, float("inf"), None)
+    assert grouped == (6347.0, None, 0.00008, None, None, 1234567.5, None, None, None, 7.0, 1000.0, -0.5, None, None, float("inf"), None)
+
+
+def test_strict_less(frame):
+    df = frame([(1.0, 2.0), (2.0, 1.0), (NAN, 1.0), (1.0, NAN), (None, 1.0), (1.0, None)], "x double, y double")
+    assert [r[0] for r in df.select(strict_less("x", "y")).collect()] == [True, False, None, None, None, None]
 
 
 def test_recode_without_default(frame):
@@ -112,8 +122,9 @@ def test_units_and_years():
     assert factor("kWh", "GJ") * factor("GJ", "EJ") == pytest.approx(3.6e-12)
     assert factor("t", "Mt") * factor("kg", "t") * factor("EJ", "GJ") == pytest.approx(1.0)
     for (a, b), f in FACTORS.items():
-        if (b, a) in FACTORS:
-            assert f * FACTORS[(b, a)] == pytest.approx(1.0)
+        assert (b, a) not in FACTORS
+        assert factor(a, b) == f and f * factor(b, a) == pytest.approx(1.0)
+    assert factor("kW", "kWh/year") == FULL_LOAD_HOURS
     assert MODEL_YEARS[:3] == (2015, 2020, 2025)
     assert MODEL_YEARS[-1] == 2100
     assert len(MODEL_YEARS) == 18

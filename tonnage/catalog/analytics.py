@@ -19,7 +19,7 @@ from tonnage.catalog.totals import (
     rounded,
     to_double,
 )
-from tonnage.functions import if_else, r_divide
+from tonnage.functions import factor, if_else, is_in, not_in, r_divide, recode
 from tonnage.operators import (
     across,
     allocate,
@@ -28,6 +28,7 @@ from tonnage.operators import (
     cap_and_hold,
     compare_sources,
     convert,
+    convert_each,
     derive_units,
     discard,
     interpolate,
@@ -74,9 +75,13 @@ long AS (
 SELECT nation, measure, value, r_name AS region
 FROM long JOIN region ON n_regionkey = r_regionkey
 WHERE nation <> 'NATION_24' AND NOT (nation = 'NATION_20' AND measure = 'tax')
+  AND NOT (n_regionkey = 1 AND measure = 'price')
 """, name="tidy_measures")
 def tidy_line_measures(t: Tables) -> DataFrame:
-    """A wide text table with a total row and a dash for a missing number."""
+    """A wide text table with a total row, a dash for a missing number, and grouping commas.
+
+    The commas make a number unreadable; only a file's reader takes them out.
+    """
     measures = {
         "quantity": "l_quantity",
         "price": "l_extendedprice",
@@ -90,10 +95,15 @@ def tidy_line_measures(t: Tables) -> DataFrame:
         .groupBy("s_nationkey")
         .agg(*[F.sum(k).alias(k) for k in measures])
     )
+    grouped = F.format_number(F.col("price").cast("double") + 1000, 2)
     wide = per_nation.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("nation"),
-        *[F.format_number(F.col(k).cast("double"), 2).alias(k) for k in measures],
+        *[F.format_string("%.2f", F.col(k).cast("double")).alias(k) for k in measures],
+        grouped.alias("grouped"),
+        "n_regionkey",
     )
+    price = F.when(F.col("n_regionkey") == 1, F.col("grouped")).otherwise(F.col("price"))
+    wide = wide.withColumn("price", price).drop("grouped", "n_regionkey")
     dash = F.when(F.col("nation") == "NATION_20", F.lit("-")).otherwise(F.col("tax"))
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_name").alias("nation"), F.col("r_name").alias("region")
@@ -223,19 +233,17 @@ def sum_brand_components(t: Tables) -> DataFrame:
 RATES = """
 SELECT p_type AS type, p_brand AS mineral,
        CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS rate
-FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND p_type <> 'PROMO' GROUP BY ALL"""
+FROM part WHERE p_type <> 'PROMO' GROUP BY ALL"""
 
 
 def brand_rates(t: Tables) -> DataFrame:
-    """Average price per type and brand: several coefficients per type, none for one type."""
-    chosen = t.part.where(
-        F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3") & (F.col("p_type") != "PROMO")
-    )
-    totals = chosen.groupBy(F.col("p_type").alias("type"), F.col("p_brand").alias("mineral")).agg(
+    """Average price per type and brand: a coefficient per brand, and no known one for a type."""
+    totals = t.part.groupBy(F.col("p_type").alias("type"), F.col("p_brand").alias("mineral")).agg(
         F.sum(F.col("p_retailprice").cast("decimal(18,2)")).alias("total"),
         F.count(F.lit(1)).alias("n"),
     )
-    return totals.select("type", "mineral", r_divide("total", "n").alias("rate"))
+    rate = F.when(F.col("type") != "PROMO", r_divide("total", "n"))
+    return totals.select("type", "mineral", rate.alias("rate"))
 
 
 @query(f"""
@@ -328,8 +336,9 @@ WITH parts AS ({line_totals_sql("nation", "flag", "status")})
 SELECT nation, round(SUM(value), 2) AS value FROM parts GROUP BY ALL
 """, name="rollup_sum")
 def roll_up_parts(t: Tables) -> DataFrame:
-    parts = line_totals(t, "nation", "flag", "status")
-    halves = [parts.where(F.col("status") == s) for s in ("F", "O")]
+    """Two parts of all lines, read once: those of one status, and those of any other or none."""
+    parts = stage(line_totals(t, "nation", "flag", "status"))
+    halves = [parts.where(is_in("status", ["F"])), parts.where(not_in("status", ["F"]))]
     return rounded(rollup_sum(halves, [["nation", "flag"], ["nation"]], "value"), 2, "value")
 
 
@@ -399,13 +408,28 @@ def blend_statuses(t: Tables) -> DataFrame:
 
 
 @query(f"""
-SELECT nation, flag, round(value * 0.001 * 1e-6 / 8760 / (3.6e-3 * 1e-9), 6) AS value
+SELECT nation, flag, round(value * 0.001 * 1e-6 / 8760 / (3.6e-3 * 1e-9), 6) AS value, 'Mt/EJ' AS unit
 FROM ({line_totals_sql("nation", "flag", measure="l_quantity")})
 """)
 def unit_chain(t: Tables) -> DataFrame:
-    steps = [("*", 0.001), ("*", 1e-6), ("/", 8760.0), ("/", 3.6e-3 * 1e-9)]
+    per_year = [("/", factor("kW", "kWh/year"))]
+    per_ej = [("/", factor("kWh", "GJ")), ("/", factor("GJ", "EJ"))]
+    mass = [("*", factor("kg", "t")), ("*", factor("t", "Mt"))]
     stock = line_totals(t, "nation", "flag", measure="l_quantity")
-    return rounded(convert(stock, "value", steps), 6, "value")
+    return rounded(convert(stock, "value", [*mass, *per_year, *per_ej], unit="Mt/EJ"), 6, "value")
+
+
+@query(f"""
+SELECT nation, flag, CASE flag WHEN 'A' THEN 'kg' WHEN 'R' THEN 'kg' ELSE 'lb' END AS unit,
+       round(CASE flag WHEN 'A' THEN value * 1000 WHEN 'R' THEN value * 1e9 END, 2) AS value
+FROM ({line_totals_sql("nation", "flag", measure="l_quantity")})
+""")
+def unit_per_row(t: Tables) -> DataFrame:
+    """Tonnes and millions of tonnes to kilograms, row by row, and a unit without a factor."""
+    unit = recode("flag", {"A": "t", "N": "lb", "R": "Mt"})
+    stock = line_totals(t, "nation", "flag", measure="l_quantity").withColumn("unit", unit)
+    factors = {"t": ("kg", factor("t", "kg")), "Mt": ("kg", factor("Mt", "t") * factor("t", "kg"))}
+    return rounded(convert_each(stock, "value", factors), 2, "value")
 
 
 # Projection
@@ -464,12 +488,14 @@ def loglog_projection(t: Tables) -> DataFrame:
 
 
 BASE_SQL = f"""
-SELECT region, type, CASE WHEN NOT (region = 2 AND type = 'PROMO') THEN share END AS base
+SELECT region, type, CASE WHEN region = 2 AND type = 'PROMO' THEN NULL
+       WHEN region = 3 AND type = 'LARGE' THEN 'nan'::DOUBLE ELSE share END AS base
 FROM ({TYPE_SHARES})"""
 
 CAPPED_SQL = f"""
 WITH rows AS (
-  SELECT region, type, base, CASE WHEN base < value THEN base WHEN base >= value THEN value END AS capped
+  SELECT region, type, base, CASE WHEN isnan(base) OR isnan(value) THEN NULL
+         WHEN base < value THEN base WHEN base >= value THEN value END AS capped
   FROM ({PROJECTED_SQL}) LEFT JOIN ({BASE_SQL}) USING (region, type))
 SELECT region, type, 2015 AS year, base AS value FROM rows
 UNION ALL SELECT region, type, 2050, capped FROM rows
@@ -480,7 +506,9 @@ def capped_by_type(t: Tables) -> DataFrame:
     totals = stage(line_totals(t, "region", "type"))
     shares = share_of_total(totals, ["region"], "value")
     known = ~((F.col("region") == 2) & (F.col("type") == "PROMO"))
-    base = shares.select("region", "type", F.when(known, F.col("share")).alias("base"))
+    nan = (F.col("region") == 3) & (F.col("type") == "LARGE")
+    value = F.when(nan, F.lit(float("nan"))).otherwise(F.col("share"))
+    base = shares.select("region", "type", F.when(known, value).alias("base"))
     return cap_and_hold(
         projected_by_type(t), base, ["region", "type"], "value", "base", (2015, 2050, 2100)
     )
@@ -496,7 +524,7 @@ WITH knots AS (
   SELECT nation, type, year, value,
          lead(year) OVER w AS next_year, lead(value) OVER w AS next_value,
          COUNT(*) OVER (PARTITION BY nation, type) AS n
-  FROM ({line_totals_sql("nation", "type", "year")}) WHERE year IN (1995, 1998, 2001)
+  FROM ({line_totals_sql("nation", "type", "year")}) WHERE year NOT IN (1996, 1999)
   WINDOW w AS (PARTITION BY nation, type ORDER BY year)),
 grid AS (
   SELECT nation, type, CAST(y AS INTEGER) AS year
@@ -510,7 +538,9 @@ FROM grid LEFT JOIN knots
  AND grid.year >= knots.year AND (grid.year < next_year OR (next_year IS NULL AND grid.year = knots.year))
 """, name="interpolate")
 def interpolate_years(t: Tables) -> DataFrame:
-    known = line_totals(t, "nation", "type", "year").where(F.col("year").isin(1995, 1998, 2001))
+    """All years, two of them without a value."""
+    value = F.when(not_in("year", [1996, 1999]), F.col("value"))
+    known = line_totals(t, "nation", "type", "year").withColumn("value", value)
     rows = interpolate(known, ["nation", "type"], "year", "value", range(1994, 2003))
     return rounded(rows, 4, "value")
 

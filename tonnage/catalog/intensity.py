@@ -4,8 +4,10 @@ Nations are countries and regions the model regions. Line quantities by supplier
 nation make the grid stock and the line lengths, order value by customer nation the
 capacity and the generation, customers the population, and parts the intensities
 and prices. The inputs carry the awkward cases of real files: a total row, a dash
-for missing, line labels that differ by one character, a country without capacity
-and a country whose region has no line lengths.
+for missing, line labels that differ by one character, a country with a capacity of
+zero and a country whose region has no line lengths. A capacity of zero leaves its
+whole region without a coefficient, and the costs of such a region are an error, so
+the cost query takes the true capacity.
 """
 
 from __future__ import annotations
@@ -34,7 +36,14 @@ from tonnage.plans import (
 from tonnage.sources import stage
 from tonnage.sources.schemas import STOCK_MEASURES
 
-MINERALS = {"ECONOMY": "steel", "LARGE": "aluminium", "MEDIUM": "copper"}
+MINERALS = {
+    "ECONOMY": "steel",
+    "STANDARD": "steel",
+    "LARGE": "aluminium",
+    "PROMO": "aluminium",
+    "MEDIUM": "copper",
+    "SMALL": "copper",
+}
 COMPONENTS = [
     f"{voltage} {kind}"
     for voltage in ("HV", "MV", "LV")
@@ -101,21 +110,17 @@ def _stock(t: Tables, lines: DataFrame) -> DataFrame:
 
 def _parts(t: Tables) -> DataFrame:
     """Size of the parts by brand number and mineral, in two halves."""
-    return (
-        t.part.groupBy(
-            F.substring("p_brand", 7, 2).cast("int").alias("brand"),
-            recode("p_type", MINERALS).alias("mineral"),
-            (F.col("p_size") % 2).alias("odd"),
-        )
-        .agg(F.sum("p_size").cast("double").alias("size"))
-        .where(F.col("mineral").isNotNull())
-    )
+    return t.part.groupBy(
+        F.substring("p_brand", 7, 2).cast("int").alias("brand"),
+        recode("p_type", MINERALS).alias("mineral"),
+        (F.col("p_size") % 2).alias("odd"),
+    ).agg(F.sum("p_size").cast("double").alias("size"))
 
 
 def _k_intensity(parts: DataFrame) -> DataFrame:
     kind = F.when(F.col("odd") == 1, "pylon").otherwise("conductor")
     line_type = recode("brand", LINE_TYPES)
-    rows = parts.where(F.col("brand") <= 20).select(
+    rows = parts.select(
         F.when(F.col("brand") <= 10, "transmission").otherwise("distribution").alias("system"),
         F.when(line_type.isNull(), "transformer").otherwise(kind).alias("component"),
         line_type.alias("line_type"),
@@ -131,11 +136,10 @@ def _k_intensity(parts: DataFrame) -> DataFrame:
 
 
 def _d_intensity(parts: DataFrame) -> DataFrame:
-    component = recode("brand", {i + 1: name for i, name in enumerate(COMPONENTS)})
+    component = recode(F.col("brand") % 12, dict(enumerate(COMPONENTS)))
     return (
         parts.groupBy(component.alias("component"), "mineral")
         .agg((F.sum("size") * 10).alias("intensity"))
-        .where(F.col("component").isNotNull())
         .withColumn("unit", F.lit("kg/km"))
     )
 
@@ -173,11 +177,12 @@ def _equipment(lines: DataFrame) -> DataFrame:
     )
 
 
-def _capacity(sales: DataFrame) -> DataFrame:
-    return sales.where(F.col("nation") != 23).select(
+def _capacity(sales: DataFrame, zero: bool) -> DataFrame:
+    gw = F.col("sales") / 1e6
+    return sales.select(
         F.concat(F.lit("NATION_"), "nation").alias("country"),
         F.concat(F.lit("K"), "region").alias("k_region"),
-        (F.col("sales") / 1e6).alias("gw"),
+        (F.when(F.col("nation") == 23, 0.0).otherwise(gw) if zero else gw).alias("gw"),
     )
 
 
@@ -206,7 +211,6 @@ def _prices(t: Tables) -> DataFrame:
     totals = (
         t.part.groupBy(recode("p_type", MINERALS).alias("mineral"))
         .agg(F.sum(F.col("p_retailprice").cast("decimal(18,2)")).alias("paid"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("mineral").isNotNull())
         .select("mineral", r_divide("paid", "n").alias("mean"))
     )
     return across(totals, "year", MODEL_YEARS).select(
@@ -232,8 +236,11 @@ def _costs(t: Tables) -> DataFrame:
     )
 
 
-def inputs(t: Tables) -> Inputs:
-    """All input tables; the fact tables are reduced and staged once, then shared."""
+def inputs(t: Tables, zero: bool = True) -> Inputs:
+    """All input tables; the fact tables are reduced and staged once, then shared.
+
+    With `zero` one nation has a capacity of zero.
+    """
     lines = stage(
         line_totals(
             t, "nation", "flag", "status", measure="l_quantity", discount="l_discount", n=F.lit(1)
@@ -250,7 +257,7 @@ def inputs(t: Tables) -> Inputs:
         regions=t.region.select(region, F.col("r_name").alias("region")),
         stock=_stock(t, lines),
         line_mix=line_mix,
-        capacity=_capacity(sales),
+        capacity=_capacity(sales, zero),
         k_intensity=_k_intensity(parts),
         underground=_underground(t),
         line_length=_line_length(lines),
@@ -268,9 +275,13 @@ def _case(column: str, mapping: dict) -> str:
     return f"CASE {column} {whens} END"
 
 
-COMPONENT_CASE = _case("brand", {i + 1: n for i, n in enumerate(COMPONENTS)})
+COMPONENT_CASE = _case("brand % 12", dict(enumerate(COMPONENTS)))
+
 
-INPUTS_SQL = f"""
+def inputs_sql(zero: bool = True) -> str:
+    """The input tables as common table expressions; see `inputs`."""
+    gw = "CASE WHEN nation = 23 THEN 0 ELSE SUM(value) / 1e6 END" if zero else "SUM(value) / 1e6"
+    return f"""
 hierarchy AS (
   SELECT n_nationkey AS nation, n_name AS country, n_regionkey AS region,
          CASE WHEN n_nationkey = 24 THEN 'D9' ELSE 'D' || (n_nationkey % 7) END AS d_region
@@ -287,12 +298,12 @@ sales AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY ALL),
 capacity AS (
-  SELECT nation, region, d_region, SUM(value) / 1e6 AS gw
-  FROM sales JOIN hierarchy USING (nation, region) WHERE nation <> 23 GROUP BY ALL),
+  SELECT nation, region, d_region, {gw} AS gw
+  FROM sales JOIN hierarchy USING (nation, region) GROUP BY nation, region, d_region),
 sizes AS (
   SELECT CAST(substr(p_brand, 7, 2) AS INTEGER) AS brand, {_case("p_type", MINERALS)} AS mineral,
          CAST(SUM(p_size) AS DOUBLE) AS size
-  FROM part WHERE p_type IN ('ECONOMY', 'LARGE', 'MEDIUM') GROUP BY ALL),
+  FROM part GROUP BY ALL),
 percents AS (
   SELECT DISTINCT d_region, CAST(substr(d_region, 2, 1) AS DOUBLE) AS k FROM hierarchy)"""
 
@@ -321,7 +332,7 @@ km AS (
 rates AS (
   SELECT CASE WHEN brand <= 10 THEN 'transmission' ELSE 'distribution' END AS system,
          {_case("brand", LINE_TYPES)} AS line_type, mineral, SUM(size) AS rate
-  FROM sizes WHERE brand <= 20 GROUP BY ALL),
+  FROM sizes GROUP BY ALL),
 k_tons AS (
   SELECT nation, mineral, SUM(value * rate) AS tons FROM (
     SELECT nation, mineral, value, rate FROM km JOIN rates USING (system, line_type)
@@ -333,7 +344,8 @@ k_tons AS (
     JOIN (SELECT * FROM rates WHERE line_type IS NULL) USING (system))
   GROUP BY ALL),
 k AS (
-  SELECT nation, region, mineral, 'K' AS source, tons / gw / 1000 AS value
+  SELECT nation, region, mineral, 'K' AS source,
+         CASE WHEN gw = 0 THEN 'inf'::DOUBLE ELSE tons / gw / 1000 END AS value
   FROM k_tons JOIN capacity USING (nation))"""
 
 D_SQL = f"""
@@ -359,7 +371,8 @@ d_total AS (
   GROUP BY ALL),
 d AS (
   SELECT nation, region, mineral, 'D' AS source,
-         kg * (gw / SUM(gw) OVER (PARTITION BY d_region, mineral)) / (gw * 1e6) AS value
+         CASE WHEN kg IS NOT NULL AND gw = 0 THEN 'nan'::DOUBLE
+              ELSE kg * (gw / SUM(gw) OVER (PARTITION BY d_region, mineral)) / nullif(gw * 1e6, 0) END AS value
   FROM capacity LEFT JOIN d_total USING (d_region))"""
 
 REGION_SQL = """
@@ -381,7 +394,8 @@ per_head AS (
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL) USING (region)),
 ends AS (
   SELECT region, mineral, value AS v2015,
-         CASE WHEN value < projected THEN value WHEN value >= projected THEN projected END AS v2050
+         CASE WHEN isnan(value) OR isnan(projected) THEN NULL
+              WHEN value < projected THEN value WHEN value >= projected THEN projected END AS v2050
   FROM (SELECT region, mineral, exp(a + b * ln(x)) AS projected
         FROM per_head, (VALUES ('steel', -1.3::DOUBLE, -0.41::DOUBLE),
           ('aluminium', -1.5::DOUBLE, -0.32::DOUBLE), ('copper', -1.9::DOUBLE, -0.47::DOUBLE))
@@ -390,7 +404,7 @@ ends AS (
 years AS (SELECT CAST(unnest([2015] || range(2020, 2101, 5)) AS INTEGER) AS year),
 coefs AS (
   SELECT region, mineral, year,
-         CASE WHEN year = 2015 THEN v2015 WHEN year >= 2050 THEN v2050
+         CASE WHEN v2050 IS NULL THEN NULL WHEN year = 2015 THEN v2015 WHEN year >= 2050 THEN v2050
               ELSE v2015 + (v2050 - v2015) * ((year - 2015) / 35) END AS value
   FROM ends, years),
 prices AS (
@@ -405,17 +419,17 @@ sectors AS (
          CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) / 100 AS cost
   FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') GROUP BY ALL)"""
 
-WITH_INTENSITY = f"WITH {INPUTS_SQL}, {K_SQL}, {D_SQL}, {REGION_SQL}"
+WITH_INTENSITY = f"WITH {inputs_sql()}, {K_SQL}, {D_SQL}, {REGION_SQL}"
 
 
 def _by_region(t: Tables) -> DataFrame:
     i = inputs(t)
-    gw = stage(capacity_total(i.capacity))
+    gw = capacity_total(i.capacity)
     return region_intensity(country_intensity(i, gw), gw, i.hierarchy)
 
 
 @query(f"""
-WITH {INPUTS_SQL}, {K_SQL}
+WITH {inputs_sql()}, {K_SQL}
 SELECT country, mineral, 'kg/kW' AS unit, round(value, 8) AS value, source
 FROM k JOIN hierarchy USING (nation)
 """)
@@ -427,13 +441,13 @@ def country_intensity_from_stock(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {INPUTS_SQL}, {D_SQL}
+WITH {inputs_sql()}, {D_SQL}
 SELECT country, mineral, 'kg/kW' AS unit, round(value, 8) AS value, source
 FROM d JOIN hierarchy USING (nation)
 """)
 def country_intensity_from_regions(t: Tables) -> DataFrame:
     i = inputs(t)
-    gw = stage(capacity_total(i.capacity))
+    gw = capacity_total(i.capacity)
     rows = intensity_from_regions(
         i.line_length, i.underground, i.equipment, i.d_intensity, gw, i.hierarchy
     )
@@ -455,11 +469,10 @@ def region_source_comparison(t: Tables) -> DataFrame:
 {WITH_INTENSITY}
 SELECT region + 1 AS region_id, mineral,
        round(AVG(value * 1e-3 * 1e-6 / 8760 / (3.6e-3 * 1e-9)), 8) AS value, 2015 AS year
-FROM intensity WHERE mineral IS NOT NULL AND NOT (source = 'D' AND mineral = 'copper') GROUP BY ALL
+FROM intensity WHERE NOT (source = 'D' AND mineral = 'copper') GROUP BY ALL
 """)
 def region_base_year(t: Tables) -> DataFrame:
-    rows = base_year(mt_per_ej(_by_region(t))).where(F.col("mineral").isNotNull())
-    return rounded(rows, 8, "value")
+    return rounded(base_year(mt_per_ej(_by_region(t))), 8, "value")
 
 
 @query(f"""
@@ -473,12 +486,12 @@ def region_coefficients(t: Tables) -> DataFrame:
 
 
 @query(f"""
-{WITH_INTENSITY}, {PLAN_SQL}
+WITH {inputs_sql(zero=False)}, {K_SQL}, {D_SQL}, {REGION_SQL}, {PLAN_SQL}
 SELECT r_name AS region, sector AS supplysector, sector AS subsector, sector AS stub_technology,
        year, 'non-energy' AS cost_input,
        round(sectors.cost * (m.cost / median(m.cost) OVER (PARTITION BY year, sector)) - m.cost, 8) AS cost
 FROM mineral_cost m JOIN region ON m.region = r_regionkey, sectors
 """)
 def region_nonmaterial_cost(t: Tables) -> DataFrame:
-    _, costs = run(inputs(t))
+    _, costs = run(inputs(t, zero=False))
     return rounded(costs, 8, "cost")

@@ -1,9 +1,11 @@
 """Totals of the order and line tables by nation, region, type, flag, status and year.
 
 Money is summed as decimals, so the totals do not depend on the order of the rows.
-Each fact table is reduced to one row per customer or supplier before it meets the
+Orders and lines are reduced to one row per customer or supplier before they meet the
 customer or supplier table, which also collapses a customer or supplier that owns a
-large part of the rows.
+large part of the rows. Totals by type join the lines, cut to the columns needed, to the
+part table first: parts and suppliers of a line hardly repeat together, so a sum before
+that join would save nothing.
 """
 
 from __future__ import annotations

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +22,14 @@ from tonnage.functions import (
     is_missing,
     label,
     not_in,
-    parse_number,
+    parse_grouped,
     piece,
     r_divide,
     r_log,
     recode,
     strict_mean,
     strict_sum,
+    to_number,
     zero_if_missing,
 )
 from tonnage.operators import (
@@ -35,6 +38,7 @@ from tonnage.operators import (
     discard,
     distinct_rows,
     drop_incomplete,
+    flag_missing,
     group_median,
     join_checked,
     join_full,
@@ -45,14 +49,15 @@ from tonnage.operators import (
     mutate,
     rename,
     share_of_total,
-    split_missing,
     unmatched_keys,
     wider,
     with_group_mean,
     with_group_median,
     year_table,
 )
-from tonnage.sources import stage
+from tonnage.sources import read_annotated, stage, write_csv
+from tonnage.sources.schemas import schema
+from tonnage.sources.staging import shared_folder
 
 MONEY = "decimal(18,2)"
 
@@ -144,11 +149,8 @@ SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'present' ELSE 'missing' END AS p
 FROM customer
 """)
 def filter_missing(t: Tables) -> DataFrame:
-    present, missing = split_missing(with_missing_balance(t.customer), "c_acctbal")
-    return bind_rows(
-        present.select("c_custkey", F.lit("present").alias("part")),
-        missing.select("c_custkey", F.lit("missing").alias("part")),
-    )
+    rows = flag_missing(with_missing_balance(t.customer), "c_acctbal", "part", "present", "missing")
+    return keep(rows, "c_custkey", "part")
 
 
 @query("""
@@ -164,16 +166,24 @@ def na_omit(t: Tables) -> DataFrame:
 
 @query("""
 SELECT o_orderkey, round(o_totalprice, 2) AS price,
+       CASE WHEN o_totalprice < 1000 THEN round(o_totalprice, 2) END AS plain_price,
        TRY_CAST(o_orderpriority AS DOUBLE) AS unreadable,
-       CAST(left(o_orderpriority, 1) AS DOUBLE) AS rank
+       CAST(left(o_orderpriority, 1) AS DOUBLE) AS rank,
+       CAST(NULL AS DOUBLE) AS suffixed, CAST(NULL AS DOUBLE) AS ungrouped
 FROM orders
 """)
 def numeric_parse(t: Tables) -> DataFrame:
+    """Grouping commas count in a file's column only, and there only between groups of three."""
+    price = F.format_number("o_totalprice", 2)
+    rank = F.left("o_orderpriority", F.lit(1))
     return t.orders.select(
         "o_orderkey",
-        parse_number(F.format_number("o_totalprice", 2)).alias("price"),
-        parse_number("o_orderpriority").alias("unreadable"),
-        parse_number(F.left("o_orderpriority", F.lit(1))).alias("rank"),
+        parse_grouped(price).alias("price"),
+        to_number(price).alias("plain_price"),
+        to_number("o_orderpriority").alias("unreadable"),
+        to_number(rank).alias("rank"),
+        to_number(F.concat(rank, F.lit("d"))).alias("suffixed"),
+        parse_grouped(F.concat(rank, F.lit(",5"))).alias("ungrouped"),
     )
 
 
@@ -214,7 +224,7 @@ def split_label(t: Tables) -> DataFrame:
         "c_custkey",
         piece("c_name", "#", 1).alias("head"),
         piece("c_name", "#", 2).alias("tail"),
-        parse_number(piece("c_name", "#", 2)).alias("number"),
+        to_number(piece("c_name", "#", 2)).alias("number"),
     )
 
 
@@ -314,17 +324,19 @@ def full_join(t: Tables) -> DataFrame:
         .groupBy(F.col("s_nationkey").alias("nation"))
         .agg(F.count(F.lit(1)).alias("suppliers"))
     )
-    return join_full(customers, suppliers, ["nation"])
+    return join_full(customers, suppliers, ["nation"], one_row_per_key=True)
 
 
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_brand, p_size
-FROM lineitem JOIN part ON l_partkey = p_partkey AND p_size > 40
+FROM lineitem JOIN part ON l_partkey = p_partkey AND p_size > 10
 """)
 def join_inner_complete(t: Tables) -> DataFrame:
-    big = keep(t.part.where(F.col("p_size") > 40), "p_partkey", "p_brand", "p_size")
+    """All parts, the smaller ones without a size."""
+    size = F.when(F.col("p_size") > 10, F.col("p_size")).alias("p_size")
+    parts = t.part.select("p_partkey", "p_brand", size)
     lines = keep(t.lineitem, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return drop_incomplete(join_inner(lines, big, {"l_partkey": "p_partkey"}))
+    return drop_incomplete(join_inner(lines, parts, {"l_partkey": "p_partkey"}, nulls="never"))
 
 
 @query(f"""
@@ -510,3 +522,30 @@ FROM orders GROUP BY ALL
 def pivot(t: Tables) -> DataFrame:
     counts = t.orders.groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
     return wider(counts, "o_orderstatus", "n", ["F", "O", "X"])
+
+
+# Files
+
+
+@query("""
+SELECT CAST(p_partkey AS INTEGER) AS key,
+       CASE WHEN p_partkey % 5 = 0 THEN '#' ELSE '' END || p_name || ', "' || p_brand || '"' AS name,
+       CASE WHEN p_size % 7 <> 0 THEN p_type END AS kind,
+       CASE WHEN p_size % 11 <> 0 THEN round(p_retailprice, 2) END AS price
+FROM part
+""")
+def csv_round_trip(t: Tables) -> DataFrame:
+    """A table written as annotated CSV parts to the shared folder, and read back."""
+    name = F.concat(
+        F.when(F.col("p_partkey") % 5 == 0, F.lit("#")).otherwise(F.lit("")),
+        F.col("p_name"), F.lit(', "'), F.col("p_brand"), F.lit('"'),
+    )
+    parts = t.part.select(
+        F.col("p_partkey").cast("int").alias("key"),
+        name.alias("name"),
+        F.when(F.col("p_size") % 7 != 0, F.col("p_type")).alias("kind"),
+        F.when(F.col("p_size") % 11 != 0, F.round("p_retailprice", 2)).alias("price"),
+    )
+    folder = f"{shared_folder(t.spark)}/csv-{uuid.uuid4().hex}"
+    write_csv(parts, folder, {"price": "retail price"}, ["# parts", '"# sizes, types"'])
+    return read_annotated(t.spark, folder, schema("iccn", "key", "name", "kind", "price"), skip=2)

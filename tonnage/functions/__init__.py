@@ -4,13 +4,15 @@ from tonnage.functions.strict import (
     is_missing,
     label,
     not_in,
-    parse_number,
+    parse_grouped,
     piece,
     r_divide,
     r_log,
     recode,
+    strict_less,
     strict_mean,
     strict_sum,
+    to_number,
     zero_if_missing,
 )
 from tonnage.functions.units import FACTORS, MODEL_YEARS, factor
@@ -24,12 +26,14 @@ __all__ = [
     "is_missing",
     "label",
     "not_in",
-    "parse_number",
+    "parse_grouped",
     "piece",
     "r_divide",
     "r_log",
     "recode",
+    "strict_less",
     "strict_mean",
     "strict_sum",
+    "to_number",
     "zero_if_missing",
 ]

@@ -3,7 +3,7 @@
 Spark skips nulls in aggregates, treats an unknown condition as false and raises
 on division by zero. The analytical operators need the opposite: a missing input
 makes the result missing, and arithmetic follows IEEE 754. Every function returns
-a plain built-in expression, so plans stay inside whole-stage code generation.
+a plain built-in expression without a Python function.
 """
 
 from __future__ import annotations
@@ -63,6 +63,15 @@ def is_missing(c: ColumnOrName) -> Column:
     return c.isNull() | F.isnan(c)
 
 
+def strict_less(x: ColumnOrName, y: ColumnOrName) -> Column:
+    """x < y on floating-point columns; null when either side is null or NaN.
+
+    Spark counts NaN as larger than every number.
+    """
+    x, y = _col(x), _col(y)
+    return F.when(~(is_missing(x) | is_missing(y)), x < y)
+
+
 def zero_if_missing(c: ColumnOrName) -> Column:
     """The value, or 0 where it is null or NaN."""
     c = _col(c).cast("double")
@@ -95,10 +104,23 @@ def recode(c: ColumnOrName, mapping: Mapping) -> Column:
     return out
 
 
-def parse_number(c: ColumnOrName) -> Column:
-    """Text to double; grouping commas are removed and unreadable text is null."""
-    bare = F.replace(_col(c).cast("string"), F.lit(","), F.lit(""))
-    return bare.try_cast("double")
+# A decimal number with an optional sign, fraction and exponent, or a special value.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+# Groups of three digits parted by commas.
+GROUPED = r"^\s*[+-]?\d{1,3}(,\d{3})+(\.\d*)?\s*$"
+
+
+def to_number(c: ColumnOrName) -> Column:
+    """Text to double; text that is not one plain number is null, grouping commas included."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+
+
+def parse_grouped(c: ColumnOrName) -> Column:
+    """Text to double as a CSV reader does it: commas may part groups of three digits."""
+    text = _col(c).cast("string")
+    bare = F.when(text.rlike(GROUPED), F.replace(text, F.lit(","), F.lit(""))).otherwise(text)
+    return to_number(bare)
 
 
 def piece(c: ColumnOrName, pattern: str, position: int) -> Column:

@@ -3,67 +3,14 @@
 from __future__ import annotations
 
 # Multiply an amount in the first unit by the factor to get the second.
+# The way back is the reciprocal.
 FACTORS: dict[tuple[str, str], float] = {
-    # counts
-    ("billion", "million"): 1000.0,
-    ("million", "billion"): 1 / 1000.0,
-    ("billion", "thousand"): 1e6,
-    ("thousand", "billion"): 1 / 1e6,
-    ("million", "thousand"): 1000.0,
-    ("one", "thousand"): 0.001,
-    ("person", "million person"): 1000000.0,
-    # mass
-    ("t", "Mt"): 1e-6,
     ("t", "kg"): 1e3,
-    ("kg", "t"): 1 / 1e3,
-    ("t", "short ton"): 1000 / 908,
-    ("t/ha", "kg/m2"): 0.1,
-    ("g", "Tg"): 1e-12,
-    ("Gg", "Tg"): 0.001,
-    ("thousand short ton", "Tg"): 0.000907,
-    ("kg", "Tg"): 1e-9,
-    ("kt", "Mt"): 0.001,
-    ("g", "kg"): 1e-3,
-    ("NH3", "N"): 14 / 17,
-    # oil
-    ("kbbl", "bbl"): 1000.0,
-    ("bbl", "t residual fuel oil"): 1 / 6.66,
-    ("t residual fuel oil", "GJ"): 40.87,
-    ("bbl", "t distillate"): 1 / 7.46,
-    ("t distillate", "GJ"): 42.91,
-    # time
-    ("year", "hour"): 24 * 365.25,
-    ("day", "year"): 1 / 365.25,
-    ("day", "hour"): 24.0,
-    # energy
-    ("MWh", "GJ"): 3.6,
-    ("MWh", "EJ"): 3.6e-9,
-    ("GWh", "EJ"): 3.6e-6,
-    ("TWh", "EJ"): 3.6e-3,
-    ("kWh", "GJ"): 3.6e-3,
-    ("GJ", "EJ"): 1e-9,
-    ("MJ", "EJ"): 1e-12,
-    ("EJ", "GJ"): 1 / 1e-9,
-    ("million bbl/day", "EJ/year"): 6.119 * 365.25 * 1e-3,
-    ("kBtu", "EJ"): 1.0551e-12,
-    ("TBtu", "EJ"): 0.0010551,
-    ("MJ", "Btu"): 947.777,
-    ("Btu", "kJ"): 1.0551,
-    ("MMBtu", "kg H2"): 0.113939965425114,
-    ("GJ", "kg H2"): 0.12021,
-    ("Mcal", "Pcal"): 1e-9,
-    # distance, area, volume
-    ("mile", "km"): 1.60934,
-    ("nautical mile", "km"): 1.852,
-    ("ha", "billion m2"): 1e-5,
-    ("ha", "m2"): 10000.0,
-    ("billion m2", "m2"): 1e9,
-    ("m2", "acre"): 0.0002471058,
-    ("million ft2", "m2"): 92900.0,
-    ("ft2", "m2"): 0.0929,
-    ("m3", "billion m3"): 1e-9,
-    ("million m3", "km3"): 1e-3,
-    ("gallon", "m3"): 0.00378541,
+    ("Mt", "t"): 1e6,
+    ("GW", "kW"): 1e6,
+    ("GJ", "kWh"): 1 / 3.6e-3,
+    ("EJ", "GJ"): 1e9,
+    ("kW", "kWh/year"): 8760.0,
 }
 
 # The base year and the five-year future grid.
@@ -71,11 +18,13 @@ BASE_YEAR = 2015
 FUTURE_YEARS = tuple(range(2020, 2101, 5))
 MODEL_YEARS = (BASE_YEAR, *FUTURE_YEARS)
 
-# Hours at full load, and the charge rate that levelises a capital cost.
+# Hours at full load in a year, and the charge rate that levelises a capital cost.
 FULL_LOAD_HOURS = 8760.0
 FIXED_CHARGE_RATE = 0.13
 
 
 def factor(from_unit: str, to_unit: str) -> float:
     """Multiplier from one unit to another."""
-    return FACTORS[(from_unit, to_unit)]
+    if (from_unit, to_unit) in FACTORS:
+        return FACTORS[(from_unit, to_unit)]
+    return 1 / FACTORS[(to_unit, from_unit)]

@@ -1,5 +1,6 @@
 from tonnage.operators.aggregate import (
     distinct_rows,
+    group_centre,
     group_mean,
     group_median,
     group_sum,
@@ -11,6 +12,7 @@ from tonnage.operators.coefficients import (
     blend,
     compare_sources,
     convert,
+    convert_each,
     derive_units,
     ratio_to,
     recode_and_sum,
@@ -31,6 +33,7 @@ from tonnage.operators.relational import (
     bind_rows,
     discard,
     drop_incomplete,
+    flag_missing,
     keep,
     longer,
     mutate,
@@ -63,10 +66,13 @@ __all__ = [
     "child_shares",
     "compare_sources",
     "convert",
+    "convert_each",
     "derive_units",
     "discard",
     "distinct_rows",
     "drop_incomplete",
+    "flag_missing",
+    "group_centre",
     "group_mean",
     "group_median",
     "group_sum",

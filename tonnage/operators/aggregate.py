@@ -42,12 +42,21 @@ def group_median(
     a sketch of bounded size. A second pass counts what lies below the bracket and
     selects within it, so only a small part of a group of any size is ever shuffled.
     A group whose bracket should miss its median is done again over all its values.
+    Two tables are staged on the way, so jobs run when this is called.
     """
+    return group_centre(df, keys, measure, None, out, reach)
+
+
+def group_centre(
+    df: DataFrame, keys: Sequence[str], measure: str, mean: str | None, median: str, reach: float = REACH
+) -> DataFrame:
+    """Strict mean and exact median (see `group_median`) per group from the same passes."""
     require(df, [*keys, measure])
-    keys = list(keys)
+    keys, out = list(keys), median
     by = [quoted(k) for k in keys]
     value = quoted(measure).cast("double").alias("__v")
     rows = df.select(*by, value, missing_test(df, measure).alias("__na"))
+    means = {} if mean is None else {mean: strict_mean("__v").alias(mean)}
     known = F.when(~F.col("__na"), F.col("__v"))
     bracket = F.percentile_approx(known, [0.5 - reach, 0.5 + reach], ACCURACY)
     groups = stage(
@@ -57,17 +66,18 @@ def group_median(
             F.min(known).alias("__min"),
             F.max(known).alias("__max"),
             bracket.alias("__q"),
+            *means.values(),
         )
     )
     complete = groups.where(~F.col("__any_na"))
     low, high = F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi")
-    found = stage(_select_middle(rows, keys, complete.select(*by, "__total", low, high), out))
+    found = _select_middle(rows, keys, complete.select(*by, "__total", low, high), out)
     missed = rows_without_match(complete, found, keys)
     if not missed.isEmpty():
         low, high = F.col("__min").alias("__lo"), F.col("__max").alias("__hi")
         rest = _select_middle(rows, keys, missed.select(*by, "__total", low, high), out)
         found = found.unionByName(rest)
-    return join_left(groups.select(*by), found, keys)
+    return join_left(groups.select(*by, *map(quoted, means)), found, keys)
 
 
 def _select_middle(rows: DataFrame, keys: list[str], bounds: DataFrame, out: str) -> DataFrame:
@@ -107,14 +117,17 @@ def _select_middle(rows: DataFrame, keys: list[str], bounds: DataFrame, out: str
     return medians.where(F.col(out).isNotNull())
 
 
-def with_group_value(df: DataFrame, keys: Sequence[str], value: DataFrame) -> DataFrame:
-    """Attach one staged row per group to every row of the group.
+def with_group_value(
+    df: DataFrame, keys: Sequence[str], value: DataFrame, staged: bool = True
+) -> DataFrame:
+    """Attach one row per group to every row of the group.
 
     A window over the group would move every row of a large group to one task. The
     per-group table is small and of known size after staging, so df stays in place
-    when the table can be broadcast.
+    when the table can be broadcast. Staging runs a job at once; without it the planner
+    learns the size while it runs, which is enough where df itself is small.
     """
-    return join_left(df, stage(value), list(keys))
+    return join_left(df, stage(value) if staged else value, list(keys))
 
 
 def with_group_mean(df: DataFrame, keys: Sequence[str], measure: str, out: str) -> DataFrame:

@@ -19,6 +19,11 @@ def sum_components(df: DataFrame, keys: Sequence[str], measure: str, named: str)
     return group_sum(present, keys, measure)
 
 
+def _joined(df: DataFrame, other: DataFrame, on: Keys, complete: bool) -> DataFrame:
+    """With `complete` incomplete rows go afterwards, so missing keys need no match."""
+    return join_inner(df, other, on, nulls="never") if complete else join_left(df, other, on)
+
+
 def apply_coefficients(
     stock: DataFrame,
     coefficients: DataFrame,
@@ -33,9 +38,9 @@ def apply_coefficients(
     With `complete`, rows that lack a coefficient or any other value are dropped,
     which is why an inner join is enough.
     """
-    join = join_inner if complete else join_left
+    rows = _joined(stock, coefficients, on, complete)
     rows = (
-        join(stock, coefficients, on)
+        rows
         .withColumn(measure, quoted(measure) * quoted(coefficient))
         .withColumn("unit", F.lit(unit))
     )
@@ -66,9 +71,9 @@ def ratio_to(
     """
     if measure == base_measure:
         raise ValueError("rename the base's measure before dividing by it")
-    join = join_inner if complete else join_left
+    rows = _joined(df, base, on, complete)
     rows = (
-        join(df, base, on)
+        rows
         .withColumn(measure, r_divide(quoted(measure), quoted(base_measure) * scale))
         .withColumn("unit", F.lit(unit))
     )
@@ -100,15 +105,33 @@ def convert(
     measure: str,
     steps: Sequence[tuple[str, float]],
     out: str | None = None,
+    unit: str | None = None,
 ) -> DataFrame:
-    """A chain of ("*", factor) and ("/", factor) steps on one measure."""
+    """A chain of ("*", factor) and ("/", factor) steps on one measure, in the given unit."""
     require(df, [measure])
     value = quoted(measure)
     for sign, amount in steps:
         if sign not in ("*", "/"):
             raise ValueError(f"a step is * or /, not {sign}")
         value = value * F.lit(amount) if sign == "*" else value / F.lit(amount)
-    return df.withColumn(out or measure, value)
+    out = df.withColumn(out or measure, value)
+    return out if unit is None else out.withColumn("unit", F.lit(unit))
+
+
+def convert_each(
+    df: DataFrame, measure: str, factors: Mapping[str, tuple[str, float]], unit_column: str = "unit"
+) -> DataFrame:
+    """Each row by the factor of its own unit, which then reads the unit it was turned into.
+
+    `factors` maps a unit to its new unit and the factor. A row in another unit, or in none,
+    has no value in the new one and keeps its unit.
+    """
+    require(df, [measure, unit_column])
+    by = recode(quoted(unit_column), {u: float(f) for u, (_, f) in factors.items()})
+    to = recode(quoted(unit_column), {u: new for u, (new, _) in factors.items()})
+    return df.withColumn(measure, quoted(measure) * by).withColumn(
+        unit_column, F.coalesce(to, quoted(unit_column))
+    )
 
 
 def compare_sources(

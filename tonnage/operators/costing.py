@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonnage.functions import r_divide
-from tonnage.operators.aggregate import group_mean, group_median, with_group_value
+from tonnage.operators.aggregate import group_centre, with_group_value
 from tonnage.operators.joins import Keys, join_checked, join_left
 from tonnage.operators.relational import quoted, rename
 
@@ -32,13 +32,12 @@ def price(
 def median_scalar(
     df: DataFrame, group: Sequence[str], measure: str, out: str = "scalar"
 ) -> DataFrame:
-    """Group mean, group median, and each row relative to the median."""
-    centre = join_left(
-        group_mean(df, group, measure, f"avg_{measure}"),
-        group_median(df, group, measure, f"median_{measure}"),
-        list(group),
-    )
-    rows = with_group_value(df, group, centre)
+    """Group mean, group median, and each row relative to the median.
+
+    The table of the groups is not staged again: what it is made from is.
+    """
+    centre = group_centre(df, group, measure, f"avg_{measure}", f"median_{measure}")
+    rows = with_group_value(df, group, centre, staged=False)
     return rows.withColumn(out, r_divide(quoted(measure), quoted(f"median_{measure}")))
 
 
@@ -53,6 +52,6 @@ def scale_by(
 def residual(
     total: DataFrame, part: DataFrame, on: Sequence[str], measure: str, part_measure: str
 ) -> DataFrame:
-    """Total minus part; a total without exactly one known part is an error."""
-    rows = join_checked(total, rename(part, {part_measure: "__part"}), on)
+    """Total minus part; a total, known or not, without exactly one known part is an error."""
+    rows = join_checked(total, rename(part, {part_measure: "__part"}), on, guarded=[measure])
     return rows.withColumn(measure, quoted(measure) - F.col("__part")).drop("__part")

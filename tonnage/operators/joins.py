@@ -39,8 +39,12 @@ def _key_pairs(left: DataFrame, right: DataFrame, on: Keys) -> dict[str, str]:
     return pairs
 
 
-def _same_keys(pairs: Mapping[str, str]) -> Column:
-    tests = [quoted(k).eqNullSafe(F.col(f"{_RIGHT_KEY}{i}")) for i, k in enumerate(pairs)]
+def _same_keys(pairs: Mapping[str, str], nulls: str = "match") -> Column:
+    """Equality of all keys. A plain one reuses a partitioning by the keys, a null-safe one cannot."""
+    if nulls not in ("match", "never"):
+        raise ValueError(f"nulls is match or never, not {nulls}")
+    rights = [F.col(f"{_RIGHT_KEY}{i}") for i in range(len(pairs))]
+    tests = [quoted(k) == r if nulls == "never" else quoted(k).eqNullSafe(r) for k, r in zip(pairs, rights, strict=True)]
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -59,34 +63,53 @@ def _add_suffixes(
     )
 
 
-def _one_row_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """df itself, with values that raise where a key occurs twice.
+def _repeated_matches(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys: Sequence[str]) -> Column:
+    """How many rows of other have a key that df holds more than once, as a scalar subquery.
 
-    Without a column besides the keys, the first key raises.
+    Only key columns take part, and only df's repeated keys meet the other side.
     """
-    message = F.lit(f"a key of {list(keys)} occurs more than once")
-    guarded = [f for f in df.schema.fields if f.name not in keys] or [df.schema[keys[0]]]
-    values = [
-        F.when(F.count(F.lit(1)) == 1, F.first(quoted(f.name)))
-        .otherwise(F.raise_error(message).cast(f.dataType))
-        .alias(f"__value_{i}")
-        for i, f in enumerate(guarded)
-    ]
-    grouped = df.groupBy(*[quoted(k) for k in keys]).agg(*values)
-    names = {f.name: f"__value_{i}" for i, f in enumerate(guarded)}
-    return grouped.select(*[quoted(names.get(c, c)).alias(c) for c in df.columns])
+    own = [quoted(k).alias(f"__own_{i}") for i, k in enumerate(keys)]
+    repeated = df.select(*own).groupBy(*[f"__own_{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("__n"))
+    theirs = other.select(*[quoted(k).alias(f"__their_{i}") for i, k in enumerate(other_keys)])
+    same = reduce(lambda a, b: a & b, (F.col(f"__their_{i}").eqNullSafe(F.col(f"__own_{i}")) for i in range(len(keys))))
+    used = theirs.join(repeated.where(F.col("__n") > 1), same, "left_semi")
+    return used.agg(F.count(F.lit(1)).alias("__used")).scalar()
+
+
+def _guarded(df: DataFrame, columns: Sequence[str], fine: Column, message: str) -> DataFrame:
+    """df with columns that raise unless fine is true."""
+    stop = F.raise_error(F.lit(message))
+    return df.withColumns(
+        {c: F.when(fine, quoted(c)).otherwise(stop.cast(df.schema[c].dataType)) for c in columns}
+    )
 
 
 def _check_expectation(
-    left: DataFrame, right: DataFrame, pairs: Mapping[str, str], expect: str
-) -> tuple[DataFrame, DataFrame]:
+    joined: DataFrame, left: DataFrame, right: DataFrame, pairs: Mapping[str, str], expect: str
+) -> DataFrame:
+    """joined, with values that raise if a match breaks the declared cardinality.
+
+    The check sits in the right side's values, or in the left ones if there are none.
+    """
     if expect not in ("m:m", "m:1", "1:1"):
         raise ValueError(f"expect is m:m, m:1 or 1:1, not {expect}")
-    if expect in ("m:1", "1:1"):
-        right = _one_row_per_key(right, list(pairs.values()))
+    if expect == "m:m":
+        return joined
+    fine = _repeated_matches(right, list(pairs.values()), left, list(pairs)) == 0
     if expect == "1:1":
-        left = _one_row_per_key(left, list(pairs))
-    return left, right
+        fine = fine & (_repeated_matches(left, list(pairs), right, list(pairs.values())) == 0)
+    fetched = [c for c in right.columns if c not in pairs.values()]
+    return _guarded(joined, fetched or left.columns, fine, f"a key of {list(pairs)} occurs more than once")
+
+
+def _join(
+    left: DataFrame, right: DataFrame, on: Keys, expect: str, suffixes: tuple[str, str], nulls: str, how: str
+) -> DataFrame:
+    pairs = _key_pairs(left, right, on)
+    left, right = _add_suffixes(left, right, pairs, suffixes)
+    joined = left.join(_right_keys(right, pairs), _same_keys(pairs, nulls), how)
+    joined = joined.drop(*[f"{_RIGHT_KEY}{i}" for i in range(len(pairs))])
+    return _check_expectation(joined, left, right, pairs, expect)
 
 
 def join_left(
@@ -95,18 +118,16 @@ def join_left(
     on: Keys = None,
     expect: str = "m:m",
     suffixes: tuple[str, str] = ("_x", "_y"),
+    nulls: str = "match",
 ) -> DataFrame:
     """Left join; keys default to all shared names, and a mapping is left to right.
 
     The left names of the keys survive. Other names that both sides use get a
-    suffix. With expect "m:1" or "1:1" a value fetched through a repeated key
-    raises when it is read.
+    suffix. With expect "m:1" or "1:1" fetched values raise when they are read and a
+    row of left found a key that occurs more than once; repeated keys that no row
+    asks for are fine. nulls="never" leaves missing keys without a match.
     """
-    pairs = _key_pairs(left, right, on)
-    left, right = _add_suffixes(left, right, pairs, suffixes)
-    left, right = _check_expectation(left, right, pairs, expect)
-    joined = left.join(_right_keys(right, pairs), _same_keys(pairs), "left")
-    return joined.drop(*[f"{_RIGHT_KEY}{i}" for i in range(len(pairs))])
+    return _join(left, right, on, expect, suffixes, nulls, "left")
 
 
 def join_inner(
@@ -115,13 +136,10 @@ def join_inner(
     on: Keys = None,
     expect: str = "m:m",
     suffixes: tuple[str, str] = ("_x", "_y"),
+    nulls: str = "match",
 ) -> DataFrame:
     """The rows of `join_left` that found a match."""
-    pairs = _key_pairs(left, right, on)
-    left, right = _add_suffixes(left, right, pairs, suffixes)
-    left, right = _check_expectation(left, right, pairs, expect)
-    joined = left.join(_right_keys(right, pairs), _same_keys(pairs), "inner")
-    return joined.drop(*[f"{_RIGHT_KEY}{i}" for i in range(len(pairs))])
+    return _join(left, right, on, expect, suffixes, nulls, "inner")
 
 
 def rows_without_match(left: DataFrame, right: DataFrame, on: Keys = None) -> DataFrame:
@@ -136,14 +154,22 @@ def join_full(
     right: DataFrame,
     on: Keys = None,
     suffixes: tuple[str, str] = ("_x", "_y"),
+    one_row_per_key: bool = False,
 ) -> DataFrame:
     """Full join with the keys merged.
 
     Written as the left join plus the right rows that no left row uses. Spark can
     neither broadcast a side of a full join nor split its skewed partitions; it can
-    do both here, and only the distinct left keys take part in the second half.
+    do both here, and only the distinct left keys take part in the second half. Each
+    side is read twice, though. With `one_row_per_key` a key has at most one row on
+    either side, so no partition is skewed, and one plain full join reads each side once.
     """
     pairs = _key_pairs(left, right, on)
+    if one_row_per_key:
+        left, right = _add_suffixes(left, right, pairs, suffixes)
+        joined = left.join(_right_keys(right, pairs), _same_keys(pairs), "full")
+        keys = {k: F.coalesce(quoted(k), F.col(f"{_RIGHT_KEY}{i}")) for i, k in enumerate(pairs)}
+        return joined.withColumns(keys).drop(*[f"{_RIGHT_KEY}{i}" for i in range(len(pairs))])
     unused = rows_without_match(right, left, {r: k for k, r in pairs.items()})
     _, unused = _add_suffixes(left, unused, pairs, suffixes)
     unused = rename(unused, {r: k for k, r in pairs.items()})
@@ -156,27 +182,34 @@ def join_checked(
     on: Keys = None,
     suffixes: tuple[str, str] = ("_x", "_y"),
     may_be_missing: Sequence[str] = (),
+    guarded: Sequence[str] = (),
 ) -> DataFrame:
     """Left join in which every left row must find exactly one right row.
 
-    Each fetched value raises when its row has no match or the key is repeated, and,
-    unless the column is named in `may_be_missing`, when the value is missing. The
-    check sits in the values, since Spark prunes one that nobody reads.
+    Each fetched value raises when its row has no match, when a row found a repeated key,
+    and, unless the column is named in `may_be_missing`, when the value is missing. The
+    check sits in the values, since Spark prunes one that nobody reads; columns of left
+    named in `guarded` carry it as well, for callers that compute with those.
     """
     pairs = _key_pairs(left, right, on)
     left, right = _add_suffixes(left, right, pairs, suffixes)
+    require(left, guarded)
     fetched = [c for c in right.columns if c not in pairs.values()]
     if not fetched:
         raise ValueError("the right side has no column besides its keys")
-    right = _one_row_per_key(right, list(pairs.values())).withColumn(_MATCHED, F.lit(True))
-    joined = left.join(_right_keys(right, pairs), _same_keys(pairs), "left")
+    repeated = _repeated_matches(right, list(pairs.values()), left, list(pairs))
+    marked = _right_keys(right, pairs).withColumn(_MATCHED, F.lit(True))
+    joined = left.join(marked, _same_keys(pairs), "left")
+    matched = F.col(_MATCHED).isNotNull()
+    known = {c: ~missing_test(right, c) for c in fetched if c not in may_be_missing}
+    fine = {c: matched & known[c] if c in known else matched for c in fetched}
+    fine |= dict.fromkeys(guarded, reduce(lambda a, b: a & b, known.values(), matched))
+    again = F.raise_error(F.lit(f"a key of {list(pairs)} occurs more than once"))
+    lost = F.raise_error(F.lit(f"no match, or no value, for {fetched} on {list(pairs)}"))
     guards = {}
-    for c in fetched:
-        fine = F.col(_MATCHED).isNotNull()
-        if c not in may_be_missing:
-            fine = fine & ~missing_test(right, c)
-        stop = F.raise_error(F.lit(f"no match, or no value, for {c} on {list(pairs)}"))
-        guards[c] = F.when(fine, quoted(c)).otherwise(stop.cast(right.schema[c].dataType))
+    for c, test in fine.items():
+        kind = joined.schema[c].dataType
+        guards[c] = F.when(repeated > 0, again.cast(kind)).when(test, quoted(c)).otherwise(lost.cast(kind))
     drops = [f"{_RIGHT_KEY}{i}" for i in range(len(pairs))]
     return joined.withColumns(guards).drop(_MATCHED, *drops)
 
@@ -184,13 +217,14 @@ def join_checked(
 def unmatched_keys(left: DataFrame, right: DataFrame, on: Keys = None) -> DataFrame:
     """Keys that occur on one side only, with their row counts.
 
-    Each side is reduced to its distinct keys before the two meet.
+    The keys of both sides are stacked and counted by side, in one aggregation that
+    shrinks every key, however hot, before it is shuffled.
     """
     pairs = _key_pairs(left, right, on)
-    count = F.count(F.lit(1)).alias("n_rows")
-    lkeys = left.groupBy(*[quoted(k) for k in pairs]).agg(count)
-    rkeys = right.groupBy(*[quoted(r).alias(k) for k, r in pairs.items()]).agg(count)
-    names = list(pairs)
-    left_only = rows_without_match(lkeys, rkeys, names).withColumn("side", F.lit("left"))
-    right_only = rows_without_match(rkeys, lkeys, names).withColumn("side", F.lit("right"))
-    return left_only.unionByName(right_only)
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    keys = left.select(*[quoted(k) for k in pairs], one.alias("__left"), none.alias("__right"))
+    others = right.select(*[quoted(r).alias(k) for k, r in pairs.items()], none.alias("__left"), one.alias("__right"))
+    counts = keys.unionByName(others).groupBy(*map(quoted, pairs)).agg(F.sum("__left").alias("__left"), F.sum("__right").alias("__right"))
+    single = counts.where((F.col("__left") == 0) | (F.col("__right") == 0))
+    side = F.when(F.col("__left") > 0, F.lit("left")).otherwise(F.lit("right"))
+    return single.select(*map(quoted, pairs), (F.col("__left") + F.col("__right")).alias("n_rows"), side.alias("side"))

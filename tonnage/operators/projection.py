@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonnage.functions import if_else, r_divide, r_log
+from tonnage.functions import if_else, r_divide, r_log, strict_less
 from tonnage.operators.aggregate import group_sum
 from tonnage.operators.joins import Keys, join_left
 from tonnage.operators.relational import keep, missing_test, quoted, rename, require
@@ -65,11 +65,11 @@ def cap_and_hold(
 ) -> DataFrame:
     """Base value, projection capped at it, and the capped value held to the last year.
 
-    One row per year. A missing value on either side leaves the cap missing.
+    One row per year. A missing value on either side, null or NaN, leaves the cap missing.
     """
     base_year, capped_year, held_year = years
     rows = join_left(rename(projected, {measure: "__p"}), rename(base, {base_measure: "__b"}), on)
-    capped = if_else(F.col("__b") < F.col("__p"), "__b", "__p")
+    capped = if_else(strict_less("__b", "__p"), "__b", "__p")
     points = [(base_year, F.col("__b")), (capped_year, capped), (held_year, capped)]
     cells = [F.struct(F.lit(y).alias("year"), v.alias(measure)) for y, v in points]
     ids = [quoted(c) for c in rows.columns if c not in ("__p", "__b", "year")]
@@ -100,7 +100,7 @@ def interpolate(
         .agg(F.avg(F.when(F.col("__x").isNotNull(), F.col("__y"))).alias("__y"))
     )
     grid_x = F.array(*[F.lit(float(p)) for p in points])
-    passed = F.size(F.filter(grid_x, lambda p: p < F.col("__x")))
+    passed = sum((F.when(F.lit(float(p)) < F.col("__x"), 1).otherwise(0) for p in points), F.lit(0))
     # Interval i holds the knots after i grid points; -1 marks a group without knots.
     interval = F.when(F.col("__x").isNull(), F.lit(-1)).otherwise(passed)
     ends = knots.groupBy(*by, interval.alias("__i")).agg(

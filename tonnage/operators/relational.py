@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.functions import is_missing, parse_number
+from tonnage.functions import is_missing, to_number
 
 
 def quoted(name: str) -> Column:
@@ -70,6 +70,13 @@ def split_missing(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     return df.where(~missing), df.where(missing)
 
 
+def flag_missing(df: DataFrame, column: str, out: str, present: str, missing: str) -> DataFrame:
+    """A label on each row for whether the column is present: one pass where both parts are wanted."""
+    require(df, [column])
+    test = F.when(missing_test(df, column), F.lit(missing)).otherwise(F.lit(present))
+    return df.withColumn(out, test)
+
+
 def bind_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Stack tables by column name; absent columns are null, types must agree."""
     out = first
@@ -134,6 +141,6 @@ def year_table(spark, years: Sequence[int], column: str = "year") -> DataFrame:
 
 
 def to_numbers(df: DataFrame, *columns: str) -> DataFrame:
-    """Parse text columns to doubles; unreadable text becomes null."""
+    """Parse text columns to doubles; text that is not one plain number becomes null."""
     require(df, columns)
-    return df.withColumns({c: parse_number(quoted(c)) for c in columns})
+    return df.withColumns({c: to_number(quoted(c)) for c in columns})

@@ -32,21 +32,24 @@ def tidy_measures(
     """One complete row per entity and measure, with the entity's parents attached.
 
     Rows whose column equals an excluded label (a total row) are left out, text is
-    parsed to numbers and incomplete rows are dropped.
+    parsed to numbers and incomplete rows are dropped. The parents are attached before the
+    measures become rows.
     """
     for column, unwanted in (exclude or {}).items():
         df = df.where(quoted(column) != unwanted)
-    rows = join_left(longer(df, measures, names_to), hierarchy)
-    rows = to_numbers(rows, "value")
+    ids = [c for c in df.columns if c not in measures]
+    parents = [c for c in hierarchy.columns if c not in ids]
+    rows = longer(join_left(df, hierarchy, [c for c in ids if c in hierarchy.columns]), measures, names_to)
+    rows = to_numbers(keep(rows, *ids, names_to, "value", *parents), "value")
     return rows.na.drop("any")
 
 
 def share_of_total(
-    df: DataFrame, group: Sequence[str], measure: str, out: str = "share"
+    df: DataFrame, group: Sequence[str], measure: str, out: str = "share", staged: bool = True
 ) -> DataFrame:
-    """Each row's share of its group's total, as a new column."""
+    """Each row's share of its group's total, as a new column; see `with_group_value`."""
     total = group_sum(df, group, measure, "__total")
-    rows = with_group_value(df, group, total)
+    rows = with_group_value(df, group, total, staged)
     return rows.withColumn(out, r_divide(quoted(measure), "__total")).drop("__total")
 
 
@@ -159,9 +162,9 @@ def complete_capacity(capacity: DataFrame, hierarchy: DataFrame, on: Keys) -> Da
 
 
 def child_shares(
-    capacity: DataFrame, hierarchy: DataFrame, on: Keys, parent: str, measure: str
+    capacity: DataFrame, hierarchy: DataFrame, on: Keys, parent: str, measure: str, staged: bool = True
 ) -> DataFrame:
     """Each child's share of its parent's capacity."""
     require(hierarchy, [parent])
     rows = complete_capacity(capacity, hierarchy, on)
-    return discard(share_of_total(rows, [parent], measure), measure)
+    return discard(share_of_total(rows, [parent], measure, staged=staged), measure)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.functions import if_else, not_in
+from tonnage.functions import factor, if_else, not_in
 from tonnage.operators import (
     allocate,
     apply_coefficients,
@@ -32,7 +32,6 @@ from tonnage.operators import (
     sum_components,
     tidy_measures,
 )
-from tonnage.sources import stage
 from tonnage.sources.schemas import STOCK_MEASURES
 
 # Row label of the grand total and the names of the two systems.
@@ -66,7 +65,7 @@ def tidy_stock(stock: DataFrame, hierarchy: DataFrame) -> DataFrame:
 def line_stock(tidy: DataFrame, line_mix: DataFrame, underground: DataFrame) -> DataFrame:
     """Line length per country, system and line type."""
     shares = keep(
-        share_of_total(line_mix, ["k_region"], "km"), "k_region", "line_type", "share"
+        share_of_total(line_mix, ["k_region"], "km", staged=False), "k_region", "line_type", "share"
     )
     high = split_by_share(
         discard(tidy.where(F.col("system") == TRANSMISSION), "d_region"),
@@ -131,11 +130,8 @@ def intensity_from_stock(
     hierarchy: DataFrame,
     underground: DataFrame,
 ) -> DataFrame:
-    """Data set K: kg per kW by country and mineral; `gw` is the capacity total.
-
-    The tidy stock is read by lines and transformers alike, so it is staged.
-    """
-    tidy = stage(tidy_stock(stock, hierarchy))
+    """Data set K: kg per kW by country and mineral; `gw` is the capacity total."""
+    tidy = tidy_stock(stock, hierarchy)
     materials = [
         line_material(line_stock(tidy, line_mix, underground), k_intensity),
         transformer_material(tidy, k_intensity),
@@ -145,7 +141,9 @@ def intensity_from_stock(
     ]
     keys = ["country", "k_region", "mineral", "unit"]
     summed = rollup_sum(per_gw, [[*keys, "system"], keys], "value")
-    per_kw = convert(summed, "value", [("/", 10.0**3)]).withColumn("unit", F.lit("kg/kW"))
+    per_kw = convert(
+        summed, "value", [("*", factor("t", "kg")), ("/", factor("GW", "kW"))], unit="kg/kW"
+    )
     return keep(per_kw, "country", "mineral", "unit", "value").withColumn(
         "source", F.lit(SOURCE_K)
     )
@@ -206,12 +204,12 @@ def intensity_from_regions(
     """Data set D: kg per kW by country and mineral, allocated by the capacity total `gw`."""
     material = region_material(line_length, underground, equipment, d_intensity)
     totals = group_sum(material, ["d_region", "mineral", "unit"], "value")
-    shares = child_shares(gw, hierarchy, ["country", "k_region"], "d_region", "gw")
+    shares = child_shares(gw, hierarchy, ["country", "k_region"], "d_region", "gw", staged=False)
     by_country = allocate(totals, shares, ["d_region"], "value")
     # A country without capacity must come out as NaN, so its capacity is joined again
     # although it also made the share.
     per_kw = ratio_to(
-        by_country, gw, ["country", "k_region"], "value", "gw", "kg/kW", 10.0**6, complete=False
+        by_country, gw, ["country", "k_region"], "value", "gw", "kg/kW", factor("GW", "kW"), complete=False
     )
     return keep(per_kw, "country", "mineral", "unit", "value").withColumn(
         "source", F.lit(SOURCE_D)
@@ -224,10 +222,3 @@ def own_capacity_intensity(material: DataFrame, d_capacity: DataFrame) -> DataFr
         material, d_capacity, ["d_region"], "value", "mw", "kg/kW", 1000.0, complete=False
     )
     return group_sum(per_kw, ["d_region", "mineral", "unit"], "value")
-
-
-def country_income(income: DataFrame) -> DataFrame:
-    """Income per head by region in its unit; loaded by the plan but not used on."""
-    return discard(rename(income, {"income_pc": "value"}), "scenario").withColumn(
-        "unit", F.lit("thous90US$/p")
-    )

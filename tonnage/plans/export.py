@@ -1,8 +1,9 @@
 """Run the plan on files and write its two result tables as CSV.
 
-    spark-submit tonnage/plans/export.py inputs.json results/
+    spark-submit tonnage/plans/export.py inputs.json results/ [partitions]
 
-inputs.json maps each table of `tonnage.plans.inputs.Inputs` to a file or folder.
+inputs.json maps each table of `tonnage.plans.inputs.Inputs` to a file or folder; partitions
+is the number that shuffles start with (see `tonnage.session.PARTITIONS`).
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import SparkSession
 
 from tonnage.plans.inputs import PREAMBLE, read_inputs
 from tonnage.plans.regional import run
-from tonnage.session import SETTINGS
+from tonnage.session import PARTITIONS, SETTINGS
 from tonnage.sources import read_header, write_csv
+from tonnage.sources.staging import release
 
 COEFFICIENTS = "material_coefficients"
 COSTS = "nonmaterial_costs"
@@ -37,12 +39,13 @@ def export(spark: SparkSession, paths: Mapping[str, str], folder: str) -> None:
 
 
 def main() -> None:
-    manifest, folder = sys.argv[1:]
+    manifest, folder, *partitions = sys.argv[1:]
     builder = SparkSession.builder.appName("tonnage-export")
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | dict.fromkeys([PARTITIONS] * bool(partitions), *partitions)).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     export(spark, json.loads(Path(manifest).read_text(encoding="utf8")), folder)
+    release(spark)
     spark.stop()
 
 

@@ -9,7 +9,6 @@ from tonnage.functions import factor, is_in
 from tonnage.functions.units import (
     BASE_YEAR,
     FIXED_CHARGE_RATE,
-    FULL_LOAD_HOURS,
     MODEL_YEARS,
 )
 from tonnage.operators import (
@@ -63,7 +62,7 @@ AREA = ["region_id", "region"]
 
 def region_intensity(countries: DataFrame, gw: DataFrame, hierarchy: DataFrame) -> DataFrame:
     """Capacity-weighted kg per kW by model region, mineral and source."""
-    shares = child_shares(gw, hierarchy, ["country", "k_region"], "region_id", "gw")
+    shares = child_shares(gw, hierarchy, ["country", "k_region"], "region_id", "gw", staged=False)
     keys = ["region_id", "mineral", "unit", "source"]
     return weighted_rollup(countries, shares, ["country"], keys, "value")
 
@@ -78,7 +77,7 @@ def mt_per_ej(intensity: DataFrame) -> DataFrame:
     steps = [
         ("*", factor("kg", "t")),
         ("*", factor("t", "Mt")),
-        ("/", FULL_LOAD_HOURS),
+        ("/", factor("kW", "kWh/year")),
         ("/", factor("kWh", "GJ") * factor("GJ", "EJ")),
     ]
     return keep(convert(intensity, "value", steps), "region_id", "mineral", "source", "value")
@@ -156,17 +155,20 @@ def country_intensity(tables: Inputs, gw: DataFrame) -> DataFrame:
 def material_coefficients(tables: Inputs) -> DataFrame:
     """Mt per EJ by region, mineral and model year, from the input tables.
 
-    The capacity and the country table are read by several steps, so they are staged.
+    Tables by country and region are small, so nothing is staged on the way.
     """
     t = tables
-    gw = stage(capacity_total(t.capacity))
-    countries = stage(country_intensity(t, gw))
-    base = base_year(mt_per_ej(region_intensity(countries, gw, t.hierarchy)))
+    gw = capacity_total(t.capacity)
+    base = base_year(mt_per_ej(region_intensity(country_intensity(t, gw), gw, t.hierarchy)))
     return coefficients(driver(t.generation, t.population), base, t.regions)
 
 
 def run(tables: Inputs) -> tuple[DataFrame, DataFrame]:
-    """Both results of the plan: material coefficients and non-material costs."""
+    """Both results of the plan: material coefficients and non-material costs.
+
+    The coefficients make both results and the material cost is read three times, so both
+    are staged; with the median's two tables the plan writes four.
+    """
     coefs = stage(material_coefficients(tables))
     cost = stage(material_cost(coefs, tables.prices))
     return (

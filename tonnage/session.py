@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Adaptive execution merges shuffle partitions but never adds any. On a cluster set
+# spark.sql.adaptive.coalescePartitions.initialPartitionNum to about the shuffled bytes over
+# 128 MB (for 100 TB some 800,000 at most); without it a shuffle starts with 200.
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

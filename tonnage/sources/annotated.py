@@ -3,34 +3,51 @@
 from __future__ import annotations
 
 import csv
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tonnage.functions import parse_number
+from tonnage.functions import parse_grouped
 
-NOTE_LINE = r'^\x{FEFF}?"?#'
 BOM = "\ufeff"
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path).select(F.rtrim("value").alias("value"))
+    text = spark.read.text(path)
+    return text.select(F.rtrim("value").alias("value"), F.col("_metadata.file_path").alias("file"))
 
 
-def _head(spark: SparkSession, path: str, n: int) -> list[str]:
-    """The first n lines of one file; n is the preamble length, never the data."""
-    one = path if isinstance(path, str) else path[0]
-    return [r.value for r in _lines(spark, one).limit(n).collect()]
+def _heads(spark: SparkSession, path: str | list[str], n: int) -> dict[str, list[str]]:
+    """The first n lines of each file: the preamble and the header, never the data."""
+    heads = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        first = _lines(spark, file).limit(n).collect()
+        if first:
+            heads[first[0].file] = [r.value for r in first]
+    return heads
 
 
 def _names(header: str) -> list[str]:
     return [name.strip() for name in next(csv.reader([header.removeprefix(BOM)]))]
 
 
-def read_header(spark: SparkSession, path: str, skip: int = 0) -> list[str]:
+def _headers(heads: dict[str, list[str]], skip: int) -> list[str]:
+    """The column names that all files agree on."""
+    headers = {}
+    for file, lines in heads.items():
+        if len(lines) <= skip:
+            raise ValueError(f"{file} ends before its header")
+        headers.setdefault(tuple(_names(lines[skip])), file)
+    if len(headers) != 1:
+        raise ValueError(f"the files do not share one header: {headers}")
+    return list(next(iter(headers)))
+
+
+def read_header(spark: SparkSession, path: str | list[str], skip: int = 0) -> list[str]:
     """Column names as the file spells them, trimmed."""
-    return _names(_head(spark, path, skip + 1)[skip])
+    return _headers(_heads(spark, path, skip + 1), skip)
 
 
 def read_annotated(
@@ -43,27 +60,50 @@ def read_annotated(
 
     Fields are matched by position, trimmed, and parsed to the declared type; text
     that is no number is null, and commas inside quoted numbers are grouping marks.
-    Note lines and the header are removed by content, not by position, so files stay
-    splittable and a folder of files with one layout reads as one table. A line with
-    another number of fields is an error, and a quoted field may not hold a line break.
+    The notes and the header of each file go, and nothing else: a later line that looks
+    like one of them is data. Files stay splittable, and a folder of files reads as one
+    table; files whose headers differ are an error, and so is a line with another
+    number of fields. A quoted field may not hold a line break.
     """
-    head = _head(spark, path, skip + 1)
-    if len(_names(head[skip])) != len(schema):
-        raise ValueError(f"{len(schema)} columns are declared, the header reads {head[skip]}")
-    known = sorted({*head, *(line.removeprefix(BOM) for line in head)})
-    body = _lines(spark, path).where(
-        (F.col("value") != "")
-        & ~F.col("value").rlike(NOTE_LINE)
-        & ~F.col("value").isin(known)
-    )
+    heads = _heads(spark, path, skip + 1)
+    names = _headers(heads, skip)
+    if len(names) != len(schema):
+        raise ValueError(f"{len(schema)} columns are declared, the header reads {names}")
+    body = _without_heads(_lines(spark, path).where(F.col("value") != ""), heads)
     ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
-    texts = body.select(F.from_csv("value", ddl, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    options = {"mode": "FAILFAST", "escape": '"'}
+    texts = body.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
     return texts.select(*[_typed(f) for f in schema.fields])
 
 
+def _without_heads(lines: DataFrame, heads: dict[str, list[str]]) -> DataFrame:
+    """lines without the first lines of each file, one occurrence for each of them.
+
+    Lines have no numbers once a file is split, so they are told by content: a line that
+    occurs more often than among the first lines stays for each further time. Only lines
+    equal to a first one are counted, in a second pass over the text.
+    """
+    known = [
+        F.struct(F.lit(file).alias("of"), F.lit(line).alias("head"), F.lit(times).alias("times"))
+        for file, first in heads.items()
+        for line, times in Counter(first).items()
+        if line
+    ]
+    heads = lines.sparkSession.range(1).select(F.inline(F.array(*known)))
+    same = (F.col("file") == F.col("of")) & (F.col("value") == F.col("head"))
+    # The text hangs on what drops a first line, lest Spark parse the line before that.
+    found = lines.join(heads, same, "left")
+    body = found.where(F.col("head").isNull()).select(F.when(F.col("head").isNull(), F.col("value")).alias("value"))
+    more = lines.join(heads, same).groupBy("of", "head", "times").agg(F.count(F.lit(1)).alias("n"))
+    oftener = F.col("n") > F.col("times")
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") - F.col("times")))
+    more = more.where(oftener).select(F.when(oftener, F.col("head")).alias("value"), again)
+    return body.unionByName(more.select("value"))
+
+
 def _typed(field: StructField):
     text = F.trim(F.col(f"`{field.name}`"))
     text = F.when(~text.isin("", "NA"), text)
     if isinstance(field.dataType, StringType):
         return text.alias(field.name)
-    return parse_number(text).cast(field.dataType).alias(field.name)
+    return parse_grouped(text).cast(field.dataType).alias(field.name)

@@ -25,6 +25,7 @@ def schema(types: str, *names: str) -> StructType:
     return StructType([StructField(n, _TYPES[t]) for t, n in zip(types, names, strict=True)])
 
 
+# The stock measures, named as the columns of their file.
 STOCK_MEASURES = (
     "transmission",
     "distribution",
@@ -49,7 +50,6 @@ LINE_LENGTH = schema(
     "ccn" + "n" * 9, "d_region", "voltage", "km", *[f"other_{i}" for i in range(1, 10)]
 )
 EQUIPMENT = schema("ccn", "unit", "voltage", "units_per_km")
-D_CAPACITY = schema("cn", "d_region", "mw")
 D_INTENSITY = schema("ccnc", "component", "mineral", "intensity", "unit")
 
 # Model runs, prices and costs.
@@ -57,4 +57,3 @@ GENERATION = schema("cccin", "units", "scenario", "region", "year", "value")
 POPULATION = schema("ccin", "scenario", "region", "year", "value")
 PRICES = schema("ccin", "mineral", "price_unit", "year", "price")
 COSTS = schema("ccccin", "sector", "subsector", "technology", "cost_input", "year", "cost")
-INCOME = schema("ccn", "scenario", "region", "income_pc")
