@@ -9,11 +9,9 @@ offsets is stored. Shards are rows of a Parquet table, as Spark writes to any st
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tonnage.llm.words import blocks
+from tonnage.llm.words import Texts, blocks, hash_ranges, texts_of
 from tonnage.sources.staging import shared_folder, shuffle_files_dropped
 
 SHARD_IDS = 1 << 20
 SHARD_DOCUMENTS = 1 << 16
 SAMPLE = 256
+#: Bytes of text that are encoded together.
+ENCODED_BYTES = 1 << 20
 MAGIC = b"TNG1"
 HEADER = struct.Struct("<4sBBxxQQ")
 SHARD_SCHEMA = "part int, shard int, start long, n_tokens long, doc_ids array<long>, payload binary"
@@ -113,20 +113,84 @@ class Shard:
         return self.ids[start:end]
 
 
+class PieceTable:
+    """Ids of pieces by their 64-bit hash and length, in arrays; emptied when it is full.
+
+    A Python dictionary of as many pieces would take several times the memory and be slower.
+    """
+
+    BITS = 22
+    MOST = 1_500_000
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        size = 1 << self.BITS
+        self.key = np.zeros(size, np.uint64)
+        self.start = np.zeros(size, np.int32)
+        self.count = np.zeros(size, np.int32)
+        self.pool = np.zeros(1 << 16, self.kind)
+        self.used = self.entries = 0
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The slot of each key, or -1."""
+        slot = (key >> np.uint64(64 - self.BITS)).astype(np.int64)
+        out = np.full(len(key), -1, np.int64)
+        rest = np.arange(len(key))
+        while len(rest):
+            there = self.key[slot[rest]]
+            same = there == key[rest]
+            out[rest[same]] = slot[rest[same]]
+            rest = rest[~same & (there != 0)]
+            slot[rest] = (slot[rest] + 1) & ((1 << self.BITS) - 1)
+        return out
+
+    def add(self, key: np.ndarray, ids: list[np.ndarray]) -> None:
+        """Enter distinct keys that are not there yet."""
+        count = np.array([len(x) for x in ids], np.int64)
+        start = self.used + np.cumsum(count) - count
+        end = self.used + int(count.sum())
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(end, len(self.pool)), self.kind)])
+        self.pool[self.used : end] = np.concatenate(ids)
+        self.used, self.entries = end, self.entries + len(key)
+        slot = (key >> np.uint64(64 - self.BITS)).astype(np.int64)
+        rest = np.arange(len(key))
+        while len(rest):
+            free = rest[self.key[slot[rest]] == 0]
+            # Of several keys that want a slot one gets it.
+            self.key[slot[free]] = key[free]
+            got = free[self.key[slot[free]] == key[free]]
+            self.start[slot[got]], self.count[slot[got]] = start[got], count[got]
+            done = np.zeros(len(key), bool)
+            done[got] = True
+            rest = rest[~done[rest]]
+            slot[rest] = (slot[rest] + 1) & ((1 << self.BITS) - 1)
+
+    def gather(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all slots one after another, and the count of each."""
+        count = self.count[slot].astype(np.int64)
+        shift = self.start[slot] - (np.cumsum(count) - count)
+        return self.pool[np.repeat(shift, count) + np.arange(int(count.sum()))], count
+
+
 class Encoder:
-    """Ids of texts, equal to the tokenizer's own, with the ids of frequent words remembered.
+    """Ids of texts, equal to the tokenizer's own, with the ids of pieces remembered.
 
     A byte-level tokenizer first splits a text by a fixed pattern and encodes the pieces one
-    by one. The split is done here and each distinct piece goes to the tokenizer once. Texts
-    with characters other than white space, printable ASCII and Latin letters, texts with a
-    special token, and all texts of other tokenizers are handed over whole.
+    by one. The split is done here on arrays and each new piece goes to the tokenizer once.
+    Texts with characters other than white space, printable ASCII and Latin letters, texts
+    with a special token, and all texts of other tokenizers are handed over whole.
     """
 
-    REMEMBERED = 600_000
-    LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-    SIGNS = r"!-/:-@\[-`{-~"
-    PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[{SIGNS}]+|\s+(?!\S)|\s+")
-    OTHER = re.compile(rf"[^\t\n\r 0-9{LETTERS}{SIGNS}]")
+    TOGETHER = 400
+    LETTER, DIGIT, SIGN, BLANK = range(4)
+    CLASS = np.full(256, SIGN, np.uint8)
+    CLASS[[9, 10, 13, 32]] = BLANK
+    CLASS[0x30:0x3A] = DIGIT
+    CLASS[0x41:0x5B] = CLASS[0x61:0x7B] = CLASS[0x80:] = LETTER
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -136,35 +200,139 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         split = self.tokenizer.pre_tokenizer
-        self.splits = (
-            type(split) is ByteLevel and split.use_regex and not split.add_prefix_space and self.tokenizer.normalizer is None
-        )
-        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
+        plain = type(split) is ByteLevel and split.use_regex and not split.add_prefix_space
+        self.splits = plain and self.tokenizer.normalizer is None
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.table = PieceTable(self.kind)
+        newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else None
+
+    def _raw(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("H" if self.kind == "<u2" else "I", x.ids).tobytes() for x in found]
+        return [np.array(x.ids, self.kind) for x in found]
+
+    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of pieces; visible ones are encoded many at a time, with line ends between.
+
+        A line end is a piece of its own there, and its id is in no visible piece.
+        """
+        if self.newline is None:
+            return self._raw(pieces)
+        ids: dict[str, np.ndarray] = {}
+        visible = [x for x in pieces if not x.isspace()]
+        groups = [visible[i : i + self.TOGETHER] for i in range(0, len(visible), self.TOGETHER)]
+        for group, found in zip(groups, self._raw(["\n".join(g) for g in groups]), strict=True):
+            cuts = np.flatnonzero(found == self.newline)
+            if len(cuts) != len(group) - 1:
+                ids.update(zip(group, self._raw(group), strict=True))
+                continue
+            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(found)]
+            ids.update(zip(group, [found[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
+        rest = [x for x in pieces if x not in ids]
+        ids.update(zip(rest, self._raw(rest), strict=True))
+        return [ids[x] for x in pieces]
+
+    def _whole(self, texts: Texts) -> np.ndarray:
+        """Which texts the tokenizer must split itself."""
+        out = np.full(len(texts), not self.splits)
+        if not self.splits or not len(texts.data):
+            return out
+        data, after = texts.data, np.append(texts.data[1:], 0)
+        odd = (data < 0x20) & (self.CLASS[data] != self.BLANK) | (data == 0x7F) | (data == 0xC2) | (data > 0xC9)
+        # The multiplication and division signs, and what lies beyond the Latin letters.
+        odd |= (data == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (data == 0xC9) & (after > 0x8F)
+        at = [np.flatnonzero(odd)]
+        raw = data.tobytes()
+        for special in self.special:
+            place = raw.find(special)
+            while place >= 0:
+                at.append(np.array([place]))
+                place = raw.find(special, place + 1)
+        out[np.searchsorted(texts.offsets, np.concatenate(at), "right") - 1] = True
+        return out
+
+    def _starts(self, texts: Texts) -> np.ndarray:
+        """Where the pieces of texts begin; each ends where the next begins.
+
+        Letters, digits and signs form runs, each with the blank before it. White space before a
+        run leaves its last character to it if that is a blank, and else as a piece of its own.
+        """
+        data = texts.data
+        kind = self.CLASS[data]
+        new = np.ones(len(data), bool)
+        new[1:] = kind[1:] != kind[:-1]
+        edges = texts.offsets[:-1][np.diff(texts.offsets) > 0]
+        new[edges] = True
+        start = np.flatnonzero(new)
+        end = np.append(start[1:], len(data))
+        kind = kind[start]
+        leads = np.zeros(len(data) + 1, bool)
+        leads[edges] = True
+        leads[-1] = True
+        follows = ~leads[start]  # the run before is in the same text
+        white = kind == self.BLANK
+        before = np.append(False, white[:-1]) & follows  # white space before the run
+        takes = before & ~white & (data[start - 1] == 0x20)
+        gives = np.append(takes[1:], False)
+        goes_on = np.append(follows[1:], False)
+        out = np.zeros(len(data) + 1, bool)
+        out[(start - takes)[~white]] = True
+        out[start[white & (end - start > gives)]] = True
+        out[end[white & ~gives & goes_on & (end - start > 1)] - 1] = True
+        # An apostrophe that begins a piece takes certain letters after it.
+        mark = (kind == self.SIGN) & (end - start == 1) & (data[start] == 0x27) & ~takes & goes_on
+        mark = np.flatnonzero(mark & np.append(kind[1:] == self.LETTER, False))
+        if len(mark):
+            padded = np.append(data, [0, 0])
+            one, two = padded[end[mark]], padded[end[mark] + 1]
+            two = np.where(end[mark + 1] - end[mark] > 1, two, 0)
+            pair = ((one == 0x72) | (one == 0x76)) & (two == 0x65) | (one == 0x6C) & (two == 0x6C)
+            size = np.where(np.isin(one, [0x73, 0x74, 0x6D, 0x64]), 1, np.where(pair, 2, 0))
+            mark, size = mark[size > 0], size[size > 0]
+            out[end[mark]] = False
+            # The rest of the letters is a piece of its own, unless nothing is left.
+            out[end[mark] + size] = True
+        return np.flatnonzero(out[:-1])
+
+    def encode_block(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin and end."""
+        whole = self._whole(texts)
+        if whole.any():
+            return self._mixed(texts, whole)
+        if not len(texts.data):
+            return np.zeros(0, self.kind), np.zeros(len(texts) + 1, np.int64)
+        start = self._starts(texts)
+        end = np.append(start[1:], len(texts.data))
+        key = hash_ranges(texts.data, start, end) | np.uint64(1)
+        if self.table.entries > self.table.MOST:
+            self.table.clear()
+        slot = self.table.find(key)
+        lost = np.flatnonzero(slot < 0)
+        if len(lost):
+            new, at = np.unique(key[lost], return_index=True)
+            at = lost[at]
+            raw = texts.data.tobytes()
+            pieces = [raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+            self.table.add(new, self._pieces(pieces))
+            slot[lost] = self.table.find(key[lost])
+        ids, count = self.table.gather(slot)
+        sums = np.concatenate([[0], np.cumsum(count)])
+        return ids, sums[np.searchsorted(start, texts.offsets)]
+
+    def _mixed(self, texts: Texts, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = [texts.data[texts.offsets[i] : texts.offsets[i + 1]] for i in range(len(texts))]
+        rest = [p for p, w in zip(parts, whole, strict=True) if not w]
+        sizes = np.cumsum([0] + [len(p) for p in rest])
+        ids, edges = self.encode_block(Texts(np.concatenate([np.zeros(0, np.uint8), *rest]), sizes))
+        split = iter([ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
+        own = iter(self._raw([p.tobytes().decode() for p, w in zip(parts, whole, strict=True) if w]))
+        found = [next(own) if w else next(split) for w in whole]
+        return np.concatenate([np.zeros(0, self.kind), *found]), np.cumsum([0] + [len(x) for x in found])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.known) > self.REMEMBERED:
-            self.known = {}
-        known, new, whole = self.known, set(), []
-        split: list[list[str] | None] = []
-        for text in texts:
-            if not self.splits or self.OTHER.search(text) or any(s in text for s in self.special):
-                split.append(None)
-                whole.append(text)
-            else:
-                pieces = self.PIECE.findall(text)
-                split.append(pieces)
-                new.update(set(pieces).difference(known))
-        asked = list(new)
-        known.update(zip(asked, self._raw(asked), strict=True))
-        rest = iter(self._raw(whole))
-        found = (next(rest) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in split)
-        return [np.frombuffer(ids, self.kind) for ids in found]
+        ids, edges = self.encode_block(texts_of(pa.array(texts, pa.string())))
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -178,25 +346,33 @@ def _shards(path: str, end_id: int):
 
         part, number, start = TaskContext.get().partitionId(), 0, 0
         code = encoder(path)
-        stop = np.array([end_id], code.kind)
         held: list[np.ndarray] = []
-        names: list = []
+        ends: list[np.ndarray] = []
+        names: list[pa.Array] = []
         size = 0
 
         def shard() -> pa.RecordBatch:
-            columns = [[part], [number], [start], [size], [names], [Shard.of(held, code.kind).to_bytes()]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in SHARD_SCHEMA.split(", ")])
-
-        for batch, _ in blocks(batches, "text"):
-            texts = batch.column("text").fill_null("").to_pylist()
-            for name, ids in zip(batch.column("doc_id").to_pylist(), code.encode(texts), strict=True):
-                held.append(np.concatenate([ids, stop]))
-                names.append(name)
-                size += len(ids) + 1
-                if size >= SHARD_IDS or len(held) >= SHARD_DOCUMENTS:
-                    yield shard()
-                    number, start, held, names, size = number + 1, start + size, [], [], 0
+            payload = Shard(np.concatenate(held), EliasFano.of(np.concatenate(ends))).to_bytes()
+            ids = pa.concat_arrays(names)
+            ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            place = [pa.array([part], pa.int32()), pa.array([number], pa.int32())]
+            columns = [*place, pa.array([start]), pa.array([size]), ids, pa.array([payload])]
+            return pa.record_batch(columns, [x.split()[0] for x in SHARD_SCHEMA.split(", ")])
+
+        for batch, texts in blocks(batches, "text", ENCODED_BYTES):
+            ids, edges = code.encode_block(texts)
+            edges = edges + np.arange(len(edges))
+            out = np.empty(len(ids) + len(texts), code.kind)
+            last = np.zeros(len(out), bool)
+            last[edges[1:] - 1] = True
+            out[last], out[~last] = end_id, ids
+            held.append(out)
+            ends.append(size + edges[1:])
+            names.append(batch.column("doc_id").cast(pa.int64()))
+            size += len(out)
+            if size >= SHARD_IDS or sum(map(len, names)) >= SHARD_DOCUMENTS:
+                yield shard()
+                number, start, held, ends, names, size = number + 1, start + size, [], [], [], 0
         if held:
             yield shard()
 
@@ -209,7 +385,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
     Each text is encoded whole, without the tokenizer's special frame, and followed by end_id.
     A null text is empty and yields end_id alone; a null doc_id comes first; rows that share a
     doc_id are ordered by text. The default folder lies in the shared folder of the session.
-    A shard ends with the document that fills it, so tasks hold one shard and one document.
+    A shard ends with the block of documents that fills it, so tasks hold one shard and one block.
     """
     spark = docs.sparkSession
     path = path or f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
@@ -227,7 +403,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = Shard.from_bytes(payload.as_buffer())
             ends = shard.ends.values()
             starts = np.concatenate([[0], ends[:-1]])
-            sums = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            bounds = zip(starts.tolist(), ends.tolist(), strict=True)
+            sums = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in bounds]
             yield pa.record_batch(
                 {
                     "part": pa.array(np.full(len(ends), part.as_py(), np.int32)),
