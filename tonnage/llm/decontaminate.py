@@ -229,7 +229,8 @@ def _rows(items: tuple[tuple[int, str], ...]):
             for doc, found in enumerate(_leaks(index, batch.column("text").fill_null("").to_pylist())):
                 for item in sorted({index.windows[n].item for n in found}):
                     spans = [found[n] for n in index.by_item[item] if n in found]
-                    row = (doc, index.ids[item], len(spans), len(index.by_item[item]), min(a for a, _ in spans), max(b for _, b in spans))
+                    start, end = min(a for a, _ in spans), max(b for _, b in spans)
+                    row = (doc, index.ids[item], len(spans), len(index.by_item[item]), start, end)
                     for column, value in zip(columns.values(), row, strict=True):
                         column.append(value)
             names = batch.column("doc_id").take(pa.array(columns.pop("doc"), pa.int64()))

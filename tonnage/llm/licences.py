@@ -193,7 +193,8 @@ class Scanner:
                     for chain in mine[-4:]:
                         # A match may begin inside the chain, in the text and in the template alike.
                         over = max(chain.end - start, chain.of_end - of_start, 0)
-                        if over < length and start - chain.end <= GAP and stop > chain.end and of_end > chain.of_end:
+                        onward = stop > chain.end and of_end > chain.of_end
+                        if onward and over < length and start - chain.end <= GAP:
                             chain.covered += length - over
                             chain.end, chain.of_end = stop, of_end
                             break
@@ -219,6 +220,10 @@ COLUMNS = {
     "spans": "array<struct<label: string, start: long, end: long, covered: double>>",
 }
 
+_SPAN = [("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("covered", pa.float64())]
+_TYPES = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+ARROW = {c: _TYPES.get(k, pa.list_(pa.struct(_SPAN))) for c, k in COLUMNS.items()}
+
 
 def _scan(templates: tuple, phrases: tuple):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,18 +242,27 @@ def _scan(templates: tuple, phrases: tuple):
             for i in range(count):
                 notices = scan.notices(runs[i]) if i in runs else []
                 spans = [
-                    {"label": scan.labels[t], "start": a, "end": b, "covered": share} for t, a, b, share in notices if share >= COVERED
+                    {"label": scan.labels[t], "start": a, "end": b, "covered": share}
+                    for t, a, b, share in notices
+                    if share >= COVERED
                 ]
                 places, named = [p for p, _ in base[i]], {x for _, x in base[i]}
+                labels = named | {s["label"] for s in spans}
                 best = max([1.0] if named else [share for *_, share in notices], default=0.0)
                 row = (
-                    int(first[i + 1] - first[i]), len(places), min(places, default=None), max(places, default=None),
-                    ",".join(sorted(named)), ",".join(sorted(named | {s["label"] for s in spans})), min(best, 1.0), spans,
+                    int(first[i + 1] - first[i]),
+                    len(places),
+                    min(places, default=None),
+                    max(places, default=None),
+                    ",".join(sorted(named)),
+                    ",".join(sorted(labels)),
+                    min(best, 1.0),
+                    spans,
                 )
                 for column, value in zip(out.values(), row, strict=True):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("covered", pa.float64())])))
-            yield pa.record_batch({"doc_id": batch.column("doc_id")} | {c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds, strict=True)})
+            columns = {c: pa.array(v, ARROW[c]) for c, v in out.items()}
+            yield pa.record_batch({"doc_id": batch.column("doc_id")} | columns)
 
     return rows
 

@@ -84,6 +84,10 @@ def filled(sketches: np.ndarray) -> np.ndarray:
     return out
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _sketches(size: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "text"):
@@ -95,8 +99,10 @@ def _sketches(size: int):
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
-                    "digest": pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary()),
-                    "sketch": pa.array([a.tobytes() + b.tobytes() for a, b in zip(full, used, strict=True)], pa.binary()),
+                    "digest": pa.array([_digest(x) for x in sets], pa.binary()),
+                    "sketch": pa.array(
+                        [a.tobytes() + b.tobytes() for a, b in zip(full, used, strict=True)], pa.binary()
+                    ),
                 }
             )
 
@@ -164,9 +170,8 @@ def _promising(percent: int):
 def _likely(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that may reach the threshold by their sketches."""
     for side in "ab":
-        pairs = pairs.join(
-            nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side
-        )
+        own = [F.col(a).alias(b) for a, b in (("node", side), ("n", f"n_{side}"), ("sketch", f"sketch_{side}"))]
+        pairs = pairs.join(nodes.select(*own), side)
     return stage(pairs.mapInArrow(_promising(percent), "a long, b long"))
 
 
@@ -202,7 +207,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     usable = sketches.where("doc_id is not null and n_shingles > 0")
     least = F.min(F.struct("doc_id", "n_shingles", "sketch"))
     nodes = usable.groupBy("digest").agg(least.alias("least"))
-    nodes = stage(nodes.select("digest", F.col("least.doc_id").alias("node"), F.col("least.n_shingles").alias("n"), "least.sketch"))
+    node, n = F.col("least.doc_id").alias("node"), F.col("least.n_shingles").alias("n")
+    nodes = stage(nodes.select("digest", node, n, "least.sketch"))
     width = 2 * ROWS
     numbers = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)))
     bands = (
@@ -243,11 +249,13 @@ def _between_components(docs: DataFrame, shared: DataFrame, found: DataFrame, si
     set and pair nothing. Of the others the rarer come first, so few sets meet at a shingle. A
     pair also needs t shingles that other components have, and t from the shared one on.
     """
-    placed = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = shared.join(found, "node", "left")
+    placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = stage(placed.join(mixed.where("low < high").select("key"), "key").select("node", "component").distinct())
     sets = _sets_of(docs, open_, size)
-    single = sets.join(open_, "node").select("node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    single = sets.join(open_, "node")
+    single = single.select("node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     rarity = single.groupBy("shingle").agg(
         F.count("*").alias("sets"), F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -259,12 +267,12 @@ def _between_components(docs: DataFrame, shared: DataFrame, found: DataFrame, si
     )
     # Place of a shingle in its set's order: the n - size(common) others come before it.
     length = F.expr(f"size(common) - (n * {percent} + 99) div 100 + 1")
-    first = stage(
-        ordered.where(length > 0)
-        .select("node", "component", "n", F.size("common").alias("c"), F.posexplode(F.slice("common", 1, length)))
-        .select("node", "component", "n", "c", (F.col("n") - F.col("c") + F.col("pos")).alias("place"), F.col("col.shingle").alias("shingle"))
-    )
-    left, right = (first.select("shingle", *[F.col(x).alias(f"{x}_{side}") for x in ("node", "component", "n", "c", "place")]) for side in "ab")
+    columns = ["node", "component", "n", "c", "place"]
+    first = ordered.where(length > 0).withColumn("c", F.size("common"))
+    first = first.select(*columns[:-1], F.posexplode(F.slice("common", 1, length)))
+    first = first.withColumn("place", F.col("n") - F.col("c") + F.col("pos"))
+    first = stage(first.select(*columns, "col.shingle"))
+    left, right = (first.select("shingle", *[F.col(x).alias(f"{x}_{side}") for x in columns]) for side in "ab")
     enough = f"(n_a + n_b) * {percent} <= least(c_a, c_b, n_a - place_a, n_b - place_b) * {100 + percent}"
     pairs = left.join(right, "shingle").where(f"component_a > component_b and {enough}")
     pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())

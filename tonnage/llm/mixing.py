@@ -46,7 +46,12 @@ def sizes(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sizes, "doc_id long, source string, key long, size long")
 
 
-def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, most: int = MOST_COPIES) -> DataFrame:
+def targets(
+    totals: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    percent: int = SHARE_PERCENT,
+    most: int = MOST_COPIES,
+) -> DataFrame:
     """source and source_size with target, its share of percent of all sizes.
 
     Sources in code-point order, null last, weigh weights in turn. A target stops at most times
@@ -96,13 +101,16 @@ def mixture(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     keys = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id")]
     lined = stage(sizes(docs).repartitionByRange(*keys).withColumn("part", F.spark_partition_id()))
     goals = stage(targets(lined.groupBy("source").agg(F.sum("size").alias("source_size")), **how))
+    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
     parts = lined.groupBy("source", "part").agg(F.count("*").alias("rows"))
-    before = F.sum("rows").over(W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    parts = parts.select(F.col("source").alias("of"), F.col("part").alias("in"), F.coalesce(before, F.lit(0)).alias("before"))
+    parts = parts.select(F.col("source").alias("of"), F.col("part").alias("in"), before)
     goals = goals.withColumnRenamed("source", "of")
-    placed = lined.withColumn("at", F.row_number().over(W.partitionBy("part", "source").orderBy("size", "doc_id")))
-    placed = placed.join(parts, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).drop("of", "in")
-    placed = placed.join(goals, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    within = W.partitionBy("part", "source").orderBy("size", "doc_id")
+    placed = lined.withColumn("at", F.row_number().over(within))
+    same = F.col("source").eqNullSafe(F.col("of"))
+    placed = placed.join(parts, same & (F.col("part") == F.col("in"))).drop("of", "in")
+    placed = placed.join(goals, same).drop("of")
     placed = stage(placed.withColumn("last", F.col("before") + F.col("at")).drop("before", "at", "part"))
     tries = [F.sum(F.col("size") * _copies(seed, F.lit(k))) for k in range(OFFSETS)]
     errors = [F.struct(F.abs(t - F.first("target")).alias("error"), F.lit(k).alias("turn")) for k, t in enumerate(tries)]

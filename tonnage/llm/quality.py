@@ -170,7 +170,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int
         return _sums(w[column] * value, np.concatenate([[0], ends]))
 
     used = ~held
-    balance = np.where(good == 1, 0.5 / max(good[used].sum(), 1), 0.5 / max((1 - good[used]).sum(), 1)) * used
+    shares = 0.5 / max((1 - good[used]).sum(), 1), 0.5 / max(good[used].sum(), 1)
+    balance = np.where(good == 1, shares[1], shares[0]) * used
     weights, bias = np.zeros(size), 0.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
@@ -220,14 +221,18 @@ def _judge(model: Model, least: float):
             failed = (words < MIN_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED_PERCENT * words)
             good = model.probability(texts)
             columns = {k: pa.array(v.astype(np.int64)) for k, v in counts.items()}
-            columns |= {"base_failed": pa.array(failed), "quality": pa.array(good), "kept": pa.array(~failed & (good >= least))}
+            columns |= {"base_failed": pa.array(failed), "quality": pa.array(good)}
+            columns["kept"] = pa.array(~failed & (good >= least))
             names = batch.schema.names
             yield pa.record_batch({c: batch.column(c) for c in names} | columns)
 
     return rows
 
 
-ADDED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean"
+ADDED = (
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "base_failed boolean, quality double, kept boolean"
+)
 
 
 def judge_quality(docs: DataFrame, model: Model, least: float = KEEP) -> DataFrame:

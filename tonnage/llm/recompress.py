@@ -163,7 +163,9 @@ def window_keys(hashes: np.ndarray, levels: list[Level], size: int) -> np.ndarra
     return window_hashes(hashes, width, 5)[place] >> _U(16)
 
 
-def repeat_symbols(level: Level, rounds: range, report: tuple[int, ...], size: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def repeat_symbols(
+    level: Level, rounds: range, report: tuple[int, ...], size: int
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Go on for some rounds; the symbols of at least size words after each round of report.
 
     Such a symbol stands for its words alone, so two texts that hold it share all of them.

@@ -121,7 +121,9 @@ def _marked(texts: Texts) -> np.ndarray:
     start, end, _ = find_words(texts, HEX_BYTE)
     at = np.concatenate([at, start[end - start >= LEAST_HEX]])
     data = texts.data
-    at = np.concatenate([at, np.flatnonzero((data[:-3] == 65) & (data[1:-2] == 75) & (data[2:-1] == 73) & (data[3:] == 65))]) if len(data) > 3 else at
+    if len(data) > 3:
+        key = (data[:-3] == 65) & (data[1:-2] == 75) & (data[2:-1] == 73) & (data[3:] == 65)
+        at = np.concatenate([at, np.flatnonzero(key)])
     marks[np.searchsorted(texts.offsets, at, "right") - 1] = True
     return marks
 
@@ -144,7 +146,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for column, value in zip(out.values(), row, strict=True):
                 column.append(value)
         types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
-        yield pa.record_batch({"doc_id": batch.column("doc_id")} | {c: pa.array(v, k) for (c, v), k in zip(out.items(), types, strict=True)})
+        columns = {c: pa.array(v, k) for (c, v), k in zip(out.items(), types, strict=True)}
+        yield pa.record_batch({"doc_id": batch.column("doc_id")} | columns)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:

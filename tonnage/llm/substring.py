@@ -22,7 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonnage.llm import recompress as R
-from tonnage.llm.words import Texts, blocks, find_words, sequence_hashes, texts_of, whole_windows, window_hashes, words_of
+from tonnage.llm.words import (
+    Texts,
+    blocks,
+    find_words,
+    sequence_hashes,
+    texts_of,
+    whole_windows,
+    window_hashes,
+    words_of,
+)
 from tonnage.sources.staging import stage, staged
 
 WINDOW = 13

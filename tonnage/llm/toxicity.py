@@ -124,7 +124,8 @@ class Lexicon:
 
 def training_rows(labels: DataFrame) -> DataFrame:
     """Labels that may be learned from: those whose crc32(doc_id as text) mod 3 is not 1."""
-    return labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).select("doc_id", "toxic").distinct()
+    usable = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out())
+    return usable.select("doc_id", "toxic").distinct()
 
 
 def held_out():
@@ -146,7 +147,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch(batch)
 
     for batch, _ in blocks(batches, "text"):
-        for text, toxic in zip(batch.column("text").fill_null("").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+        texts = batch.column("text").fill_null("").to_pylist()
+        for text, toxic in zip(texts, batch.column("toxic").to_pylist(), strict=True):
             counts[int(toxic)].update(entries_of(fold(text)))
         if len(counts[0]) + len(counts[1]) > 200_000:
             yield flush()
@@ -184,10 +186,12 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> L
     if not all(sizes):
         return Lexicon({}, constant)
     order = F.xxhash64("doc_id")
-    sample = usable.where("toxic = 0").orderBy(order).limit(most).unionByName(usable.where("toxic = 1").orderBy(order).limit(most))
+    sample, toxic_sample = (usable.where(f"toxic = {x}").orderBy(order).limit(most) for x in (0, 1))
+    sample = sample.unionByName(toxic_sample)
     texts = stage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
     clean, toxic = (texts.where(f"toxic = {x}").count() for x in (0, 1))
-    counts = texts.mapInArrow(_candidates, "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = texts.mapInArrow(_candidates, "entry string, clean long, toxic long").groupBy("entry")
+    counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = stage(counts.where(f"toxic >= {LEAST_DOCUMENTS} or clean >= {LEAST_DOCUMENTS}"))
     ratio = (F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1))
     strong = counts.where((F.col("toxic") >= LEAST_DOCUMENTS) & (ratio >= float(np.exp(LEAST_WEIGHT))))
@@ -195,8 +199,9 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> L
     # Clean words and beginnings that start like a strong entry: its exceptions.
     starts = strong.select("entry").where("entry not like '% '").withColumnRenamed("entry", "start")
     begins = counts.withColumn("start", F.explode(F.array(*[F.substring("entry", 1, n + 1) for n in BEGINNINGS])))
-    softer = begins.where((F.col("clean") >= LEAST_DOCUMENTS) & (ratio < float(np.exp(LEAST_WEIGHT / 2))) & (F.col("entry") != F.col("start")))
-    softer = softer.join(F.broadcast(starts), "start").select(*counts.columns).distinct().orderBy(F.desc("clean"), "entry").limit(MOST_ENTRIES)
+    mild = (F.col("clean") >= LEAST_DOCUMENTS) & (ratio < float(np.exp(LEAST_WEIGHT / 2)))
+    softer = begins.where(mild & (F.col("entry") != F.col("start"))).join(F.broadcast(starts), "start")
+    softer = softer.select(*counts.columns).distinct().orderBy(F.desc("clean"), "entry").limit(MOST_ENTRIES)
     kept = _kept_entries(strong.collect() + softer.collect(), clean, toxic)
     kept |= {f" {x} ": 0.0 for x in EXCEPTIONS}
     lexicon = Lexicon(kept)
@@ -235,7 +240,8 @@ def _scores(lexicon: Lexicon):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _ in blocks(batches, "text"):
             texts = batch.column("text").fill_null("").to_pylist()
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(list(map(lexicon.score, texts)), pa.float64())})
+            scores = pa.array(list(map(lexicon.score, texts)), pa.float64())
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": scores})
 
     return rows
 
@@ -247,6 +253,5 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = PREDICT
     itself, so repeated rows get equal scores. Other columns are ignored.
     """
     scored = docs.select("doc_id", "text").mapInArrow(_scores(lexicon), "doc_id long, score double")
-    return scored.select(
-        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-    )
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", predicted)

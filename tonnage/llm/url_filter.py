@@ -62,7 +62,10 @@ SITE_RULES = (
 )
 WORD_RULES = tuple(
     host_word_rule("block", word)
-    for word in ("bet", "betting", "bets", "casino", "escort", "gambling", "jackpot", "loan", "loans", "lottery", "pharmacy", "pill", "pills", "poker", "porn", "sex", "slots", "torrent", "viagra", "warez", "xxx")
+    for word in (
+        "bet betting bets casino escort gambling jackpot loan loans lottery pharmacy pill pills poker porn "
+        "sex slots torrent viagra warez xxx"
+    ).split()
 )
 
 

@@ -90,7 +90,9 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(data, offsets - offsets[0])
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+def blocks(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """Cut batches into runs of rows whose texts hold at most limit bytes, or one row."""
     for batch in batches:
         texts = texts_of(batch.column(column))
