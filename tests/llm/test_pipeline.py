@@ -53,7 +53,7 @@ def test_stages_one_by_one(spark, folder, tmp_path):
     assert set(map(str, mixed)) <= set(map(str, clean)) and max(np.unique(list(map(str, mixed)), return_counts=True)[1]) <= 2
     found = mixture(steps[3]).collect()
     assert len(mixed) == sum(r.copies for r in found)
-    assert sum(len(r[1].split()) for r in mixed) == sum(r.size * r.copies for r in found)
+    assert sum(len(r[1].encode().split()) for r in mixed) == sum(r.size * r.copies for r in found)
 
     tokenizer, at, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, []
     for r in sorted(mixed, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
