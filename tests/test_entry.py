@@ -39,3 +39,15 @@ def test_flagship(spark):
     assert driver.entry(spark).columns == [
         "region", "supplysector", "subsector", "stub_technology", "year", "cost_input", "cost",
     ]
+
+
+def test_fact_tables_are_read_once(spark, monkeypatch):
+    from tonnage.sources import staging
+
+    monkeypatch.setattr(staging, "_staged", [])
+    scans = {}
+    for name in ("filter_missing", "unmatched_keys", "rollup_sum"):
+        text = driver.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+        scans[name] = text.count("Relation [")
+    assert scans == {"filter_missing": 1, "unmatched_keys": 2, "rollup_sum": 2}
+    assert len(staging._staged) == 1  # both parts of rollup_sum read what was staged from one scan
