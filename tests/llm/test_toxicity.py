@@ -15,10 +15,12 @@ def test_folding():
 
 def test_longest_entries_and_exceptions():
     lexicon = Lexicon({" scum ": 4.0, " pond scum ": 0.0, " foul": 3.0, " foulard ": 0.0})
-    assert lexicon.weight(fold("Scum, scum.")) == 8.0
-    assert lexicon.weight(fold("pond scum")) == 0.0
-    assert lexicon.weight(fold("fouls foulard")) == 3.0
-    assert Lexicon({}).weight(fold("scum")) == 0.0
+    assert lexicon.hits(fold("Scum, scum.")) == [(4.0, 0.0)] * 2
+    assert lexicon.hits(fold("pond scum")) == []
+    assert lexicon.hits(fold("fouls foulard")) == [(3.0, 0.0)]
+    lexicon = Lexicon({" scum ": 4.0}, certain={" scum ": 0.98})
+    assert lexicon.score("fine " * 5000 + "scum") == 0.98 and lexicon.score("fine") < 0.5
+    assert Lexicon({}).hits(fold("scum")) == []
 
 
 @pytest.fixture

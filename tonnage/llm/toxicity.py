@@ -4,7 +4,8 @@ Folding lower-cases, maps look-alike letters and digits or signs used as letters
 letters, and turns everything else into blanks. Lexicon entries are whole words and beginnings
 of words whose weights (log-odds of a toxic label) are learned from labelled documents. Longer
 words that begin like an entry but are clean, and given phrases, are exceptions. A document's
-score is a calibrated function of the weights it collects and of their share of its length.
+score is a calibrated function of the weights it collects and of their share of its length,
+but at least the certainty of an entry that clean documents all but never hold.
 """
 
 from __future__ import annotations
@@ -27,9 +28,14 @@ SAMPLE_DOCUMENTS = 3000
 PREDICT = 0.7
 #: Beginnings of words that may become entries, by length.
 BEGINNINGS = (4, 5, 6, 7, 8)
-#: Toxic documents that an entry must occur in, and its least log-odds.
+#: Toxic documents that an entry must occur in, at least and as a share, and its least log-odds.
 LEAST_DOCUMENTS = 4
+LEAST_SHARE = 0.01
 LEAST_WEIGHT = 2.5
+#: Share of a beginning's toxic documents from which a longer entry stands for it.
+SPECIFIC = 0.9
+#: Share of toxic ones among the documents with an entry from which one hit is enough.
+CERTAIN = 0.95
 MOST_ENTRIES = 5000
 
 # Letters of other scripts that look like Latin ones.
@@ -73,14 +79,18 @@ def entries_of(folded: str) -> set[str]:
 
 @dataclass
 class Lexicon:
-    """Entries with weights, exceptions of weight 0, and the line from a text's features to log-odds."""
+    """Entries with weights, exceptions of weight 0, and the line from a text's features to log-odds.
+
+    certain has the share of toxic documents among those with an entry, where it is high.
+    """
 
     weights: dict[str, float]
     line: tuple[float, ...] = (-2.0, 0.0, 0.0)
+    certain: dict[str, float] = field(default_factory=dict)
     _automaton: object = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {"weights": self.weights, "line": self.line, "_automaton": None}
+        return self.__dict__ | {"_automaton": None}
 
     def automaton(self):
         if self._automaton is None:
@@ -88,38 +98,41 @@ class Lexicon:
 
             self._automaton = ahocorasick.Automaton()
             for entry, weight in self.weights.items():
-                self._automaton.add_word(entry, (len(entry), weight))
+                self._automaton.add_word(entry, (len(entry), weight, self.certain.get(entry, 0.0)))
             if self.weights:
                 self._automaton.make_automaton()
         return self._automaton
 
-    def weight(self, folded: str) -> float:
-        """The weights of the longest entries at each place; an exception phrase covers its words."""
+    def hits(self, folded: str) -> list[tuple[float, float]]:
+        """Weight and certainty of the longest entry at each place; an exception phrase covers its words."""
         if not self.weights:
-            return 0.0
-        longest: dict[int, tuple[int, float]] = {}
-        covered = -1
-        for end, (length, weight) in self.automaton().iter(folded):
-            start = end - length + 1
-            if length > longest.get(start, (0, 0.0))[0]:
-                longest[start] = (length, weight)
-        total = 0.0
+            return []
+        longest: dict[int, tuple[int, float, float]] = {}
+        for end, entry in self.automaton().iter(folded):
+            start = end - entry[0] + 1
+            if start not in longest or entry[0] > longest[start][0]:
+                longest[start] = entry
+        found, covered = [], -1
         for start in sorted(longest):
-            length, weight = longest[start]
+            length, weight, certain = longest[start]
             if weight == 0.0:
                 covered = max(covered, start + length - 1)
             elif start >= covered:
-                total += weight
-        return total
+                found.append((weight, certain))
+        return found
 
-    def features(self, text: str) -> tuple[float, float]:
-        """Collected weight, and its share of the text's length in words, both on a log scale."""
+    def features(self, text: str) -> tuple[float, float, float]:
+        """Collected weight, its share of the text's length in words, both on a log scale; the best certainty."""
         folded = fold(text)
-        total = self.weight(folded)
-        return float(np.log1p(total)), float(np.log1p(100 * total / (folded.count(" ") + 1)))
+        hits = self.hits(folded)
+        total = sum(w for w, _ in hits)
+        share = 100 * total / (folded.count(" ") + 1)
+        return float(np.log1p(total)), float(np.log1p(share)), max((c for _, c in hits), default=0.0)
 
     def score(self, text: str) -> float:
-        return float(1 / (1 + np.exp(-np.clip(np.dot(self.line, (1.0, *self.features(text))), -30, 30))))
+        total, share, certain = self.features(text)
+        odds = np.clip(np.dot(self.line, (1.0, total, share)), -30, 30)
+        return max(float(1 / (1 + np.exp(-odds))), certain)
 
 
 def training_rows(labels: DataFrame) -> DataFrame:
@@ -156,13 +169,23 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept_entries(rows: list, clean: int, toxic: int) -> dict[str, float]:
-    """Entries that say more than their own beginnings do, and clean words that begin like one."""
+    """Entries that say more than their own beginnings do, and clean words that begin like one.
+
+    A beginning whose toxic documents nearly all hold one longer entry gives way to that.
+    """
+    toxic_in = {r.entry: r.toxic for r in rows}
+    too_short = {
+        x for r in rows for n in range(2, len(r.entry))
+        if (x := r.entry[:n]) in toxic_in and r.toxic >= SPECIFIC * toxic_in[x]
+    }
     weight = {
         r.entry: float(np.log((r.toxic + 0.5) / (toxic + 1)) - np.log((r.clean + 0.5) / (clean + 1))) for r in rows
     }
     kept: dict[str, float] = {}
     for entry in sorted(weight, key=lambda x: (len(x.strip()), not x.endswith(" "), x)):
         beginnings = [x for n in range(2, len(entry)) if (x := entry[:n]) in kept]
+        if entry in too_short:
+            continue
         if weight[entry] >= LEAST_WEIGHT:
             if not any(kept[x] for x in beginnings):
                 kept[entry] = weight[entry]
@@ -194,7 +217,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> L
     counts = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = stage(counts.where(f"toxic >= {LEAST_DOCUMENTS} or clean >= {LEAST_DOCUMENTS}"))
     ratio = (F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1))
-    strong = counts.where((F.col("toxic") >= LEAST_DOCUMENTS) & (ratio >= float(np.exp(LEAST_WEIGHT))))
+    enough = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)
+    strong = counts.where((F.col("toxic") >= enough) & (ratio >= float(np.exp(LEAST_WEIGHT))))
     strong = stage(strong.orderBy(F.desc(ratio), "entry").limit(MOST_ENTRIES))
     # Clean words and beginnings that start like a strong entry: its exceptions.
     starts = strong.select("entry").where("entry not like '% '").withColumnRenamed("entry", "start")
@@ -202,9 +226,13 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> L
     mild = (F.col("clean") >= LEAST_DOCUMENTS) & (ratio < float(np.exp(LEAST_WEIGHT / 2)))
     softer = begins.where(mild & (F.col("entry") != F.col("start"))).join(F.broadcast(starts), "start")
     softer = softer.select(*counts.columns).distinct().orderBy(F.desc("clean"), "entry").limit(MOST_ENTRIES)
-    kept = _kept_entries(strong.collect() + softer.collect(), clean, toxic)
+    rows = strong.collect()
+    kept = _kept_entries(rows + softer.collect(), clean, toxic)
     kept |= {f" {x} ": 0.0 for x in EXCEPTIONS}
-    lexicon = Lexicon(kept)
+    # Counts of the sample, brought to the sizes of all labels.
+    ups = sizes[0] / clean, sizes[1] / toxic
+    certain = {r.entry: ups[1] * r.toxic / (ups[1] * r.toxic + ups[0] * (r.clean + 0.5) + 1) for r in rows}
+    lexicon = Lexicon(kept, certain={x: share for x, share in certain.items() if x in kept and share >= CERTAIN})
     rows = sorted(tuple(r) for r in texts.mapInArrow(_features(lexicon), "toxic int, a double, b double").collect())
     x, y = np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], float)
     importance = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1)) * len(y)
@@ -225,13 +253,8 @@ def _features(lexicon: Lexicon):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _ in blocks(batches, "text"):
             found = [lexicon.features(t) for t in batch.column("text").fill_null("").to_pylist()]
-            yield pa.record_batch(
-                {
-                    "toxic": batch.column("toxic").cast(pa.int32()),
-                    "a": pa.array([a for a, _ in found], pa.float64()),
-                    "b": pa.array([b for _, b in found], pa.float64()),
-                }
-            )
+            columns = {c: pa.array([x[i] for x in found], pa.float64()) for i, c in enumerate("ab")}
+            yield pa.record_batch({"toxic": batch.column("toxic").cast(pa.int32())} | columns)
 
     return rows
 
