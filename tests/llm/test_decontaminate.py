@@ -81,3 +81,16 @@ def test_empty_tables(documents, benchmark_table):
     assert find_leaks(documents([]), benchmark_table).collect() == []
     assert find_leaks(documents(corpus()), benchmark_table.where("false")).collect() == []
     assert drop_leaks(documents(corpus()), benchmark_table.where("false")).count() == len(corpus())
+
+
+def test_passages_at_any_offset(items):
+    index, item = D.Index(tuple(items)), items[5][1]
+    starts = range(len(item) - 50 + 1)
+    # Every passage of 50 characters counts, and belongs to its own text even at the text's edges.
+    texts = [t for s in starts for t in ("#" * 9, item[s : s + 50], "%" * 60 + item[s : s + 50] + "%" * 60)]
+    found = D._leaks(index, texts)
+    assert not any(found[::3])
+    for start, alone, inside in zip(starts, found[1::3], found[2::3], strict=True):
+        for hits, at in ((alone, 0), (inside, 60)):
+            assert (5, start) in {(index.windows[n].item, index.windows[n].start) for n in hits}
+            assert hits[index.of_item(5)[start]] == (at, at + 50)

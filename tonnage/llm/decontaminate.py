@@ -1,16 +1,16 @@
 """Documents that repeat passages of a benchmark, by the q-gram lemma.
 
-Benchmark items are cut into overlapping windows. A passage that differs from a window of w
-characters by at most e edits shares at least w - q + 1 - q * e of its q-grams, and these lie
-on neighbouring diagonals (place in the document minus place in the item). So first the places
-are found where enough q-grams of any item stand together; there, shared q-grams are counted by
-item window and overlapping band of diagonals; and bands with enough of them are verified by
-an alignment inside the band.
+A window of a benchmark item begins at each of its characters. A passage that differs from a
+window of w characters by at most e edits shares at least w - q + 1 - q * e of its q-grams, and
+these lie on neighbouring diagonals (place in the document minus place in the item). So first the
+places are found where enough q-grams of any item stand together; there, shared q-grams are lined
+up by item, overlapping band of diagonals and place in the item; and every window with enough of
+them in a band is verified by an alignment inside the band.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,7 +23,6 @@ from tonnage.llm.words import blocks, mix
 
 Q = 8
 WINDOW = 50
-STEP = 25
 #: Edits allowed as a percentage of a window.
 EDIT_PERCENT = 6
 #: Items with fewer characters say too little to mark a document.
@@ -33,6 +32,8 @@ ITEM_CHARACTERS = 1 << 20
 #: Longer texts are searched in overlapping pieces.
 PIECE = 1 << 19
 TABLE_BITS = 24
+#: Windows aligned at once.
+ALIGNED = 1 << 12
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
 
@@ -65,25 +66,43 @@ class Window:
     length: int
     edits: int
 
-    @property
-    def needed(self) -> int:
-        return self.length - Q + 1 - Q * self.edits
+
+class Windows(Sequence):
+    """The windows of all items, numbered on from item to item; made when asked for."""
+
+    def __init__(self, sizes: list[int]):
+        size = np.array(sizes, np.int64)
+        self.length = np.minimum(size, WINDOW)
+        self.edits = self.length * EDIT_PERCENT // 100
+        self.grams = self.length - Q + 1
+        self.needed = self.grams - Q * self.edits
+        self.count = np.where(size < LEAST_ITEM, 0, size - self.length + 1)
+        self.first = np.concatenate([[0], np.cumsum(self.count)]).astype(np.int64)
+
+    def __len__(self) -> int:
+        return int(self.first[-1])
+
+    def __getitem__(self, number: int) -> Window:
+        if not 0 <= number < len(self):
+            raise IndexError(number)
+        item = int(np.searchsorted(self.first, number, "right")) - 1
+        return Window(item, number - int(self.first[item]), int(self.length[item]), int(self.edits[item]))
 
 
 class Index:
-    """The q-grams of some items, and the windows that hold each place of an item."""
+    """The q-grams of some items, and their windows."""
 
     def __init__(self, items: tuple[tuple[int, str], ...]):
         self.ids = [i for i, _ in items]
         self.points = [code_points(t) for _, t in items]
-        self.windows: list[Window] = []
+        self.windows = Windows([len(p) for p in self.points])
+        # The items one after the other, to take many windows at once.
+        self.text = np.concatenate([np.zeros(0, np.uint32), *self.points])
+        self.begin = np.cumsum([0] + [len(p) for p in self.points])
         codes, item, place = [], [], []
         for number, points in enumerate(self.points):
-            if len(points) < LEAST_ITEM:
+            if not self.windows.count[number]:
                 continue
-            length = min(WINDOW, len(points))
-            starts = sorted({*range(0, len(points) - length + 1, STEP), len(points) - length})
-            self.windows += [Window(number, s, length, length * EDIT_PERCENT // 100) for s in starts]
             grams = gram_codes(points)
             codes.append(grams)
             item.append(np.full(len(grams), number))
@@ -95,22 +114,13 @@ class Index:
         self.place = np.concatenate([np.zeros(0, np.int64), *place])[order]
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[(self.codes >> _U(64 - TABLE_BITS)).astype(np.int64)] = True
-        self.fewest = min((w.needed for w in self.windows), default=0)
-        self.most_edits = max((w.edits for w in self.windows), default=0)
-        self.by_item: dict[int, list[int]] = {}
-        for number, window in enumerate(self.windows):
-            self.by_item.setdefault(window.item, []).append(number)
-        self.start = np.array([w.start for w in self.windows], np.int64)
-        self.needed = np.array([w.needed for w in self.windows], np.int64)
-        # The windows that hold a gram whole: up to three, as the last one may lie across two others.
-        self.holders = np.full((len(self.codes), 3), -1)
-        held = {}
-        for number, window in enumerate(self.windows):
-            for at in range(window.start, window.start + window.length - Q + 1):
-                held.setdefault((window.item, at), []).append(number)
-        for entry, key in enumerate(zip(self.item.tolist(), self.place.tolist(), strict=True)):
-            numbers = held.get(key, ())
-            self.holders[entry, : len(numbers)] = numbers
+        used = self.windows.count > 0
+        self.fewest = int(self.windows.needed[used].min(initial=WINDOW))
+        self.most_edits = int(self.windows.edits[used].max(initial=0))
+
+    def of_item(self, item: int) -> range:
+        """Numbers of an item's windows."""
+        return range(int(self.windows.first[item]), int(self.windows.first[item + 1]))
 
     def _dense(self, codes: np.ndarray) -> np.ndarray:
         """Places whose gram may be an item's and which stand among enough such places."""
@@ -140,56 +150,70 @@ class Index:
         at, entry = self._hits(gram_codes(points))
         # Bands of width diagonals that overlap by half: diagonals as near as the edits share one.
         half = self.most_edits + 1
-        holder = self.holders[entry].T.ravel()
-        at, place = np.tile(at, 3), np.tile(self.place[entry], 3)
-        at, place, holder = at[holder >= 0], place[holder >= 0], holder[holder >= 0]
-        band = (at - place) // half
-        band, place, holder = np.concatenate([band, band - 1]), np.tile(place, 2), np.tile(holder, 2)
-        order = np.lexsort((place, band, holder))
-        band, place, holder = band[order], place[order], holder[order]
-        fresh = np.ones(len(band), bool)
-        fresh[1:] = (band[1:] != band[:-1]) | (holder[1:] != holder[:-1])
-        distinct = fresh.copy()
-        distinct[1:] |= place[1:] != place[:-1]
-        first = np.flatnonzero(fresh)
-        count = np.add.reduceat(distinct, first, dtype=np.int64) if len(first) else first
-        good = first[count >= self.needed[holder[first]]] if len(first) else first
+        item, place = np.tile(self.item[entry], 2), np.tile(self.place[entry], 2)
+        band = (at - self.place[entry]) // half
+        band = np.concatenate([band, band - 1])
+        order = np.lexsort((place, band, item))
+        item, band, place = item[order], band[order], place[order]
+        distinct = np.ones(len(place), bool)
+        distinct[1:] = (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (place[1:] != place[:-1])
+        item, band, place = item[distinct], band[distinct], place[distinct]
+        # A gram and the needed-th from it on, both inside one window: so is what lies between.
+        gram = np.arange(len(place))
+        last = gram + self.windows.needed[item] - 1
+        gram, last = gram[last < len(place)], last[last < len(place)]
+        same = (item[last] == item[gram]) & (band[last] == band[gram])
+        same &= place[last] - place[gram] < self.windows.grams[item[gram]]
+        gram, last = gram[same], last[same]
+        item, band = item[gram], band[gram]
+        low = np.maximum(place[last] - self.windows.grams[item] + 1, 0)
+        high = np.minimum(place[gram], self.windows.count[item] - 1) + 1
+        again = (item[1:] == item[:-1]) & (band[1:] == band[:-1])
+        low[1:] = np.where(again, np.maximum(low[1:], high[:-1]), low[1:])
+        many = np.maximum(high - low, 0)
+        start = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]])[: len(low)], many) + np.arange(many.sum())
+        item, band = np.repeat(item, many), np.repeat(band, many)
         found = []
-        for number, diagonal in zip(holder[good].tolist(), (band[good] * half).tolist(), strict=True):
-            if span := self._verify(points, self.windows[number], diagonal, 2 * half):
-                found.append((number, *span))
+        for length in np.unique(self.windows.length[item]).tolist():
+            mine = np.flatnonzero(self.windows.length[item] == length)
+            for cut in range(0, len(mine), ALIGNED):
+                some = mine[cut : cut + ALIGNED]
+                held, begin, end = self._align(points, length, item[some], start[some], band[some] * half, 2 * half)
+                number = self.windows.first[item[some]] + start[some]
+                found += zip(number[held].tolist(), begin.tolist(), end.tolist(), strict=True)
         return found
 
-    def _verify(self, points: np.ndarray, window: Window, diagonal: int, width: int) -> tuple[int, int] | None:
-        """The passage on diagonals [diagonal, diagonal + width) nearest to the window, if near enough."""
-        low = max(window.start + diagonal - window.edits, 0)
-        text = points[low : max(window.start + window.length + diagonal + width + window.edits, 0)]
-        wanted = self.points[window.item][window.start : window.start + window.length]
-        for shift in range(width):
-            at = window.start + diagonal + shift
-            if at >= 0 and np.array_equal(points[at : at + window.length], wanted):
-                return at, at + window.length
-        if not len(text):
-            return None
-        # Row i holds the least edits between the first i characters and a passage that ends at
-        # each place; start is where that passage begins.
-        place = np.arange(len(text) + 1)
-        row, start = np.zeros(len(text) + 1, np.int64), place.copy()
-        far = 1 << 20
-        for i, character in enumerate(wanted):
-            change = row[:-1] + (text != character)
-            drop = row[1:] + 1
-            best = np.minimum(change, drop)
-            begin = np.where(change <= drop, start[:-1], start[1:])
-            row, start = np.concatenate([[i + 1], best]), np.concatenate([[0], begin])
-            # Characters of the text that the window lacks: carry the best value to the right.
-            packed = np.minimum.accumulate((row - place) * far + place)
-            source = packed % far
-            row, start = row[source] + place - source, start[source]
-            if row.min() > window.edits:
-                return None
-        end = int(np.argmin(row))
-        return (low + int(start[end]), low + end) if row[end] <= window.edits else None
+    def _align(
+        self, points: np.ndarray, length: int, item: np.ndarray, start: np.ndarray, diagonal: np.ndarray, width: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which windows have a passage near enough on diagonals [diagonal, diagonal + width), and the nearest.
+
+        All windows have one length. An alignment of few edits that meets the band leaves it by
+        as many diagonals at most, so only those are filled in.
+        """
+        edits = length * EDIT_PERCENT // 100
+        lanes = width + 2 * edits
+        base = start + diagonal - edits
+        wanted = self.text[self.begin[item] + start + np.arange(length)[:, None]]
+        at = base + np.arange(length + lanes)[:, None]
+        text = points[np.clip(at, 0, len(points) - 1)]
+        text[(at < 0) | (at >= len(points))] = np.iinfo(np.uint32).max
+        # Per lane the least edits between the window's first characters and a passage that ends
+        # there, times far, plus the lane in which that passage begins.
+        far = 1 << lanes.bit_length()
+        best = np.repeat(np.arange(lanes, dtype=np.int32)[:, None], len(item), axis=1)
+        for i in range(length):
+            change = best + (text[i : i + lanes] != wanted[i]) * np.int32(far)
+            np.minimum(change[:-1], best[1:] + np.int32(far), out=change[:-1])
+            # Characters of the text that the window lacks: more than the edits need not be exact.
+            for _ in range(edits):
+                np.minimum(change[1:], change[:-1] + np.int32(far), out=change[1:])
+            best = change
+        lane = np.argmin(best, axis=0)
+        least = best[lane, np.arange(len(item))]
+        held = least // far <= edits
+        begin, end = base + least % far, base + length + lane
+        return held, np.clip(begin, 0, len(points))[held], np.clip(end, 0, len(points))[held]
 
 
 @lru_cache(maxsize=2)
@@ -215,9 +239,10 @@ def _leaks(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int]]]:
     gap = "\x00" * (overlap + WINDOW)
     begin = np.cumsum([0] + [len(p) + len(gap) for p in pieces[:-1]])
     for number, start, end in index.find(code_points(gap.join(pieces))):
-        piece = int(np.searchsorted(begin, start, "right")) - 1
-        move = shift[piece] - int(begin[piece])
-        out[owner[piece]].setdefault(number, (start + move, end + move))
+        # A passage may count characters of the gap as changed ones; its middle lies in the text.
+        piece = int(np.searchsorted(begin, (start + end) // 2, "right")) - 1
+        start, end = max(start - int(begin[piece]), 0), min(end - int(begin[piece]), len(pieces[piece]))
+        out[owner[piece]].setdefault(number, (start + shift[piece], end + shift[piece]))
     return out
 
 
@@ -228,9 +253,9 @@ def _rows(items: tuple[tuple[int, str], ...]):
             columns: dict[str, list] = {c: [] for c in ("doc", "item_id", "windows", "of_windows", "start", "end")}
             for doc, found in enumerate(_leaks(index, batch.column("text").fill_null("").to_pylist())):
                 for item in sorted({index.windows[n].item for n in found}):
-                    spans = [found[n] for n in index.by_item[item] if n in found]
+                    spans = [found[n] for n in index.of_item(item) if n in found]
                     start, end = min(a for a, _ in spans), max(b for _, b in spans)
-                    row = (doc, index.ids[item], len(spans), len(index.by_item[item]), start, end)
+                    row = (doc, index.ids[item], len(spans), len(index.of_item(item)), start, end)
                     for column, value in zip(columns.values(), row, strict=True):
                         column.append(value)
             names = batch.column("doc_id").take(pa.array(columns.pop("doc"), pa.int64()))
@@ -265,10 +290,11 @@ def item_blocks(benchmark: DataFrame, characters: int = ITEM_CHARACTERS) -> Iter
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows doc_id, item_id, windows, of_windows, start, end: which documents hold passages of which items.
 
-    A document holds a passage if it matches a window of 50 characters of the item (the whole
+    A document holds a passage if it matches any 50 neighbouring characters of the item (the whole
     item, if shorter, from 24 on) with at most 6 edits in 100; letters A-Z count as lower-case
-    and any white space as a blank. windows of the item's of_windows windows were found, between
-    the characters start and end of the text. Null texts hold nothing; a row without doc_id is
+    and any white space as a blank. Such a window begins at each character of the item that 49
+    others follow; windows of the item's of_windows were found, between the characters start and
+    end of the text. Null texts hold nothing; a row without doc_id is
     reported with a null one; repeated rows are reported each. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
