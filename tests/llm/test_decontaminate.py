@@ -94,3 +94,15 @@ def test_passages_at_any_offset(items):
         for hits, at in ((alone, 0), (inside, 60)):
             assert (5, start) in {(index.windows[n].item, index.windows[n].start) for n in hits}
             assert hits[index.of_item(5)[start]] == (at, at + 50)
+
+
+def test_upper_case_beyond_ascii():
+    item = "Où l'été s'achève, dès l'aube, à Évora; ñandúes y pingüinos, Ærø, Łódź, λόγος και Ωκεανός, съешь ещё"
+    copy = item.upper()
+    index = D.Index(((1, item),))
+    assert len(copy) == len(item) and sum(a != b and a > "z" for a, b in zip(item, copy, strict=True)) > 20
+    whole, mixed = D._leaks(index, [copy, "x" * 70 + copy.swapcase()])
+    assert [whole[n] for n in index.of_item(0)] == [(n, n + 50) for n in range(len(item) - 49)]
+    assert len(mixed) == len(whole)
+    # One code point stays one, also where a language's upper case has two letters.
+    assert len(code_points("İıßẞſΣςµ\t𐐀😀")) == 11 and plain("ςσΣ ſsS ıIi ßẞ 𐐀") == "σσσ sss iii ßß 𐐨"

@@ -38,12 +38,26 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
 
 
+@lru_cache(maxsize=1)
+def _folded() -> np.ndarray:
+    """For each code point the one it counts as; the planes beyond the first two hold no cased letters."""
+    table = np.arange(1 << 17, dtype=np.uint32)
+    for point in range(len(table)):
+        # By way of upper case, so that forms which share one, such as the two small sigmas, are equal.
+        upper = chr(point).upper()
+        lower = (upper if len(upper) == 1 else chr(point)).lower()
+        # The capital I with a dot is the only letter of which lower case makes two.
+        table[point] = ord(lower[0])
+    table[0x09:0x0E] = 0x20
+    return table
+
+
 def code_points(text: str) -> np.ndarray:
-    """Code points with A-Z lower-cased and white space as blanks."""
+    """Code points with letters lower-cased one by one and white space as blanks."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
-    upper = (points >= 0x41) & (points <= 0x5A)
-    points[upper] += 0x20
-    points[(points >= 0x09) & (points <= 0x0D)] = 0x20
+    table = _folded()
+    low = points < len(table)
+    points[low] = table[points[low]]
     return points
 
 
@@ -291,8 +305,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows doc_id, item_id, windows, of_windows, start, end: which documents hold passages of which items.
 
     A document holds a passage if it matches any 50 neighbouring characters of the item (the whole
-    item, if shorter, from 24 on) with at most 6 edits in 100; letters A-Z count as lower-case
-    and any white space as a blank. Such a window begins at each character of the item that 49
+    item, if shorter, from 24 on) with at most 6 edits in 100; letters of any script count as
+    lower-case and any white space as a blank. Such a window begins at each character of the item that 49
     others follow; windows of the item's of_windows were found, between the characters start and
     end of the text. Null texts hold nothing; a row without doc_id is
     reported with a null one; repeated rows are reported each. Other columns are ignored.
