@@ -108,3 +108,15 @@ def test_literals_reach_names_over_others():
 def test_harmless_literals():
     for text in ('token_type = "Bearer12345"', "url: http://example.org/a1b2c3", 'pwd == "N0tassigned1"', "credential: your_credential_here", "name = 'S3cr3t-Valu3'"):
         assert literals(text) == []
+
+
+def test_placeholders_are_whole_values():
+    kept = ["xT9bQ2mVr7Lp0sKdW4", "p@ss$W0rd!9a", "Test8sdf7QWER", "myS3cr3tValu3", "your9Kd7Qw2Lp", ".h1dd3nQ8x", "100%Kd7Qw{2Lp", "a<b9Kd7>Qw2", "$2b$12$KIXQw9Zr", "${DB_PASS:-hunter2XkQ9}"]
+    for value in kept:
+        assert literals(f'db_passphrase = "{value}"') == [value]
+    # Beside a reference, what the literal adds itself counts.
+    assert literals('pwd = "Kd7Qw2Lp${SALT}9aZ"') == ["Kd7Qw2Lp${SALT}9aZ"]
+    dropped = ["xxxxxxxx", "XXXX-XXXX-XXXX", "********", "........", "changeme", "CHANGE_ME", "your_access_key_here", "my-secret-token", "undefined", "example.password"]
+    dropped += ["${DB_PASSWORD_2}", "$DB_PASSWORD_2", "$(cat /run/key1)", "%(db_pass1)s", "{{ vault.key1 }}", "${{ secrets.KEY1 }}", "<your key 1>", "{password1}", "%PASSWORD1%", "Bearer ${API_TOKEN1}", "Bearer $API_TOKEN1", "Bearer {token}"]
+    for value in dropped:
+        assert literals(f'db_passphrase = "{value}"') == []

@@ -3,7 +3,8 @@
 The lexer reads source code and configuration as pairs of a name and an expression of literals
 and names. Values known from earlier pairs replace names, so a literal that reaches a sensitive
 name over other names is judged by that name. A literal's score is how sensitive the name is
-times how much the literal looks like a secret.
+times how much the literal looks like a secret; one that is a placeholder or a reference as a
+whole scores 0.
 """
 
 from __future__ import annotations
@@ -38,7 +39,24 @@ SENSITIVE = {
 # Words that make a key a secret one, and words that make a name harmless.
 KEY_OWNERS = {"api", "access", "private", "secret", "encryption", "signing", "ssh", "master", "account", "auth", "client"}
 HARMLESS = {"type", "count", "max", "min", "length", "size", "limit", "name", "field", "label", "url", "uri", "path", "file", "public", "expires", "expiry", "hint"}
-PLACEHOLDER = re.compile(r"(?i:^(?:x+|\*+|\.+|your|my|change_?me|example|sample|dummy|test|none|null|true|false|todo|undefined|redacted)|[<>{}$%])")
+# Words that stand for a value, and words that may follow them.
+STAND_INS = {"your", "my", "changeme", "change", "me", "example", "sample", "dummy", "test", "none", "null", "true", "false", "todo", "undefined", "redacted"}
+FOLLOWERS = STAND_INS | set(SENSITIVE) | KEY_OWNERS | HARMLESS | {"key", "keys", "here", "value", "goes", "the", "a", "an", "id", "user", "username", "app", "db", "database", "string", "this", "in", "it", "to", "is"}
+
+
+def _either(words: set[str]) -> str:
+    return "|".join(sorted(words, key=lambda w: (-len(w), w)))
+
+
+#: A whole value of filling characters, or of a word that stands for a value and words after it.
+PLACEHOLDER = re.compile(rf"(?i:[x*._ -]+|[_. -]*(?:{_either(STAND_INS)})(?:[_. -]*+(?>{_either(FOLLOWERS)}))*+[_. -]*)")
+#: Values taken from elsewhere, by their full syntax: ${name}, $(command), %(name)s, {{name}}, <% name %>; $NAME
+#: as a word; {name} and <name> without digits, or as the whole value, as %NAME% is.
+REFERENCE = re.compile(
+    r"""\$?\{\{[^{}]*+\}\}|[$\#]\{(?:[\w./\[\]\x20]|:(?![-=?+]))*+\}|\$\([^()]*+\)|%\([^()]*+\)[sd]|<%[^<>%]*+%>"""
+    r"""|(?:\A|(?<=\s))\$[A-Z_][A-Z0-9_]*+(?=\s|\Z)|\{[A-Za-z_.]*+\}|<[A-Za-z][A-Za-z_\x20.:-]*+>"""
+    r"""|\A(?:\{[\w.]*+\}|<[A-Za-z][\w\x20.:-]*+>|%[A-Z_][A-Z0-9_]*+%|%[sd])\Z"""
+)
 
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]{0,80}"
 LITERAL = r""""(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'"""
@@ -73,9 +91,21 @@ def sensitivity(name: str) -> float:
     return 0.3 * most if HARMLESS & set(words) else most
 
 
+def own_part(literal: str) -> str:
+    """What a literal gives itself: nothing if a placeholder, else without references to other values.
+
+    Beside a reference only pieces with a digit count, as the rest is the frame of a template.
+    """
+    if PLACEHOLDER.fullmatch(literal):
+        return ""
+    pieces = REFERENCE.split(literal)
+    return literal if len(pieces) == 1 else "".join(p for p in pieces if any(c.isdigit() for c in p))
+
+
 def secrecy(literal: str) -> float:
     """How much a literal looks like a secret, 0 to 1: long, varied, and no placeholder."""
-    if len(literal) < LEAST_ASSIGNED or PLACEHOLDER.search(literal) or literal.count(" ") > 2:
+    literal = own_part(literal)
+    if len(literal) < LEAST_ASSIGNED or literal.count(" ") > 2:
         return 0.0
     shares = [n / len(literal) for n in Counter(literal).values()]
     entropy = -sum(p * math.log2(p) for p in shares)
