@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from samples import corpus, prose
 
@@ -120,3 +121,26 @@ def test_placeholders_are_whole_values():
     dropped += ["${DB_PASSWORD_2}", "$DB_PASSWORD_2", "$(cat /run/key1)", "%(db_pass1)s", "{{ vault.key1 }}", "${{ secrets.KEY1 }}", "<your key 1>", "{password1}", "%PASSWORD1%", "Bearer ${API_TOKEN1}", "Bearer $API_TOKEN1", "Bearer {token}"]
     for value in dropped:
         assert literals(f'db_passphrase = "{value}"') == []
+
+
+def test_no_length_is_too_long():
+    rng = random.Random(4)
+    key = "".join(rng.choices("abcXYZ0189", k=9000))
+    assert literals(f'access_key = "{key}"\npwd: {key}\n') == [key, key]
+    assert literals(f'{"long_" * 40}passphrase = "S3cr3t-Valu3"') == ["S3cr3t-Valu3"]
+    assert literals(f'pwd{" " * 40}={" " * 40}"S3cr3t-Valu3"{" " * 20}+{" " * 20}"An0ther1"') == ["S3cr3t-Valu3", "An0ther1"]
+    parts = [f"pArt{i}" for i in range(100)]
+    assert literals("passphrase = " + " + ".join(f'"{p}"' for p in parts)) == parts
+    chain = 'k0 = "pArt0"\n' + "".join(f'k{i} = k{i - 1} + "pArt{i}"\n' for i in range(1, 100))
+    assert literals(chain + "pwd = k99\npassphrase = k98 + k99") == parts and literals(chain + "pwd = k49") == parts[:50]
+    # A nested setting, however deep, is no value of the name above it.
+    assert literals("credentials:\n" + " " * 12 + "pwd: S3cr3t-Valu3\n") == ["S3cr3t-Valu3"]
+    # Two names that share literals count each of them once.
+    assert literals('a = "S3cr"\nb = a + "xxxxxx"\nc = a + "xxxxxx"\npwd = b + c') == literals('a = "S3cr"\npwd = a')
+
+
+def test_time_follows_the_text():
+    for text in ("token = token + 'pArt1'\n" * 20000, 'pwd = "' * 60000, "pwd" + " " * 400000 + "x", "a\n" * 200000, 'p="\\"' * 80000, "pwd:\n" * 80000, "pwd = my" + "secretkey" * 40000):
+        begin = time.perf_counter()
+        literal_spans(text)
+        assert time.perf_counter() - begin < 20

@@ -14,6 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,11 +59,15 @@ REFERENCE = re.compile(
     r"""|\A(?:\{[\w.]*+\}|<[A-Za-z][\w\x20.:-]*+>|%[A-Z_][A-Z0-9_]*+%|%[sd])\Z"""
 )
 
-NAME = r"[A-Za-z_][A-Za-z0-9_.-]{0,80}"
-LITERAL = r""""(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'"""
-OPERAND = rf"(?:{LITERAL}|[A-Za-z0-9_][A-Za-z0-9_./+=-]{{0,4096}})"
+# Repeats are possessive: they take all there is and never give back, so no length needs a bound.
+NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+LITERAL = r""""(?:[^"\\\n]++|\\.)*+"|'(?:[^'\\\n]++|\\.)*+'"""
+OPERAND = rf"(?:{LITERAL}|[A-Za-z0-9_][A-Za-z0-9_./+=-]*+)"
+GIVES = r"(?:=>|:=|=(?![=>])|:(?![:=/]))"
+# A name on a later line that is itself given a value is no value.
+GAP = rf"""(?:[^\S\n]*+(?!\n)|\s*+(?!["']?{NAME}["']?[^\S\n]*+{GIVES}))"""
 PAIR = re.compile(
-    rf"""(?<![A-Za-z0-9_.-])["']?(?P<name>{NAME})["']?\s{{0,8}}(?:=>|:=|=(?![=>])|:(?![:=/]))\s{{0,8}}(?P<value>{OPERAND}(?:\s{{0,8}}\+\s{{0,8}}{OPERAND})*)"""
+    rf"""(?<![A-Za-z0-9_.-])["']?(?P<name>{NAME})["']?\s*+{GIVES}{GAP}(?P<value>{OPERAND}(?:\s*+\+\s*+{OPERAND})*+)"""
 )
 PARTS = re.compile(OPERAND)
 HEX_BYTE = np.zeros(256, bool)
@@ -102,42 +107,91 @@ def own_part(literal: str) -> str:
     return literal if len(pieces) == 1 else "".join(p for p in pieces if any(c.isdigit() for c in p))
 
 
-def secrecy(literal: str) -> float:
-    """How much a literal looks like a secret, 0 to 1: long, varied, and no placeholder."""
-    literal = own_part(literal)
-    if len(literal) < LEAST_ASSIGNED or literal.count(" ") > 2:
+def secrecy(counts: Counter[str]) -> float:
+    """How much the characters of a literal look like a secret, 0 to 1: many and varied."""
+    size = counts.total()
+    if size < LEAST_ASSIGNED or counts[" "] > 2:
         return 0.0
-    shares = [n / len(literal) for n in Counter(literal).values()]
+    shares = [n / size for n in counts.values()]
     entropy = -sum(p * math.log2(p) for p in shares)
-    kinds = sum(bool(re.search(k, literal)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, 0.25 * min(entropy / 3.0, 2.0) + 0.15 * kinds + 0.02 * min(len(literal), 20))
+    letters = "".join(counts)
+    kinds = sum(bool(re.search(k, letters)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return min(1.0, 0.25 * min(entropy / 3.0, 2.0) + 0.15 * kinds + 0.02 * min(size, 20))
+
+
+@dataclass(eq=False, slots=True)
+class Value:
+    """What a name holds: literals of its own and the values of other names; characters once asked for."""
+
+    places: list[tuple[int, int]]
+    of: list[Value]
+    counts: Counter[str] | None = None
+    score: float = 0.0
+
+
+NOTHING = Value([], [])
+
+
+def _characters(text: str, value: Value) -> Counter[str]:
+    """Characters of the literals of a value, each literal once."""
+    chain = []
+    while value.counts is None and len(value.of) == 1:
+        chain.append(value)
+        value = value.of[0]
+    if value.counts is None:
+        counts: Counter[str] = Counter()
+        stack, seen = [value], set()
+        while stack:
+            part = stack.pop()
+            if id(part) not in seen:
+                seen.add(id(part))
+                stack += part.of
+                for a, b in part.places:
+                    counts.update(own_part(text[a:b]))
+        value.counts = counts
+    counts = value.counts.copy() if chain else value.counts
+    for left in range(len(chain) - 1, -1, -1):
+        for a, b in chain[left].places:
+            counts.update(own_part(text[a:b]))
+        # Others may use the last names of a chain, or any: keep some on the way.
+        if left < 2 or left % 64 == 0:
+            chain[left].counts = counts.copy()
+    return counts
 
 
 def literal_spans(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that an assignment gives to a sensitive name."""
-    values: dict[str, list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], float] = {}
+    values: dict[str, Value] = {}
+    order: list[Value] = []
     for pair in PAIR.finditer(text):
         name = pair["name"].rpartition(".")[2].lower()
         places: list[tuple[int, int]] = []
+        of: dict[int, Value] = {}
         for part in PARTS.finditer(text, pair.start("value"), pair.end("value")):
             quoted = part[0][0] in "\"'"
             word = part[0].rpartition(".")[2].lower()
             if quoted:
                 places.append((part.start() + 1, part.end() - 1))
             elif word in values:
-                places += values[word]
+                of[id(values[word])] = values[word]
             elif any(c.isdigit() for c in part[0]):
                 places.append(part.span())
-        places = list(dict.fromkeys(places))[:16]
-        values[name] = places
-        level = sensitivity(pair["name"])
-        if level and places:
-            # A literal put together from several is as secret as the whole is.
-            whole = secrecy("".join(text[a:b] for a, b in places))
-            for place in places:
-                best[place] = max(best.get(place, 0.0), level * whole)
-    return [(a, b, score) for (a, b), score in sorted(best.items()) if score >= REPORT and b > a]
+        of.pop(id(NOTHING), None)
+        if not places and not of:
+            values[name] = NOTHING
+            continue
+        value = values[name] = Value(places, list(of.values()))
+        order.append(value)
+        # A literal put together from several is as secret as the whole is.
+        if level := sensitivity(pair["name"]):
+            value.score = level * secrecy(_characters(text, value))
+    # A value is made of earlier ones only, so from the last on each is done before its parts.
+    found: list[tuple[int, int, float]] = []
+    for value in reversed(order):
+        for part in value.of:
+            part.score = max(part.score, value.score)
+        found += [(a, b, value.score) for a, b in value.places if value.score >= REPORT and b > a]
+    return sorted(found)
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
