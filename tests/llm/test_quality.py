@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from samples import corpus, prose
 
+from tonnage.llm import quality
 from tonnage.llm.quality import fit, judge_quality, keep_good, train
+from tonnage.llm.words import Texts
 
 
 def brute(text):
@@ -76,3 +78,18 @@ def test_training_does_not_depend_on_row_order(labelled):
     docs, labels = labelled
     a, b = train(docs, labels), train(docs.repartition(5), labels.repartition(3))
     assert np.array_equal(a.weights, b.weights) and (a.slope, a.intercept) == (b.slope, b.intercept)
+
+
+def test_words_and_character_grams_of_two_sizes_count():
+    raw = np.frombuffer(b"ab cde", np.uint8)
+    assert [len(bucket) for bucket, _ in quality._grams(Texts(raw, np.array([0, 6])))] == [2, 1, 4, 3]
+
+
+def test_fit_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(rng.integers(0, 4 << quality.BITS, n), rng.random(n)) for n in rng.integers(0, 40, 60)] + [(np.zeros(0, int), np.zeros(0))] * 2
+    good = np.arange(62) % 2
+    whole = fit(rows, good)
+    monkeypatch.setattr(quality, "FIT_FEATURES", 50)
+    parts = fit(rows, good)
+    assert np.allclose(whole.weights, parts.weights, atol=1e-4) and np.isclose(whole.slope, parts.slope, rtol=1e-3)

@@ -37,8 +37,10 @@ MIN_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 WORD_SIZES = (1, 2)
-CHARACTER_SIZES = (3,)
+CHARACTER_SIZES = (3, 4)
 BITS = 14
+#: The fit goes over its rows in parts of about this many features.
+FIT_FEATURES = 1 << 20
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 NOT_NEWLINE = np.arange(256) != 10
@@ -163,11 +165,20 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int
         held[order[good[order] == kind][::5]] = True
     lengths = np.array([len(a) for a, _ in rows])
     ends = np.cumsum(lengths)
-    column = np.concatenate([a for a, _ in rows]).astype(np.int32)
-    value = np.concatenate([b for _, b in rows]).astype(np.float32)
+    column = np.concatenate([a for a, _ in rows]).astype(np.int32, copy=False)
+    value = np.concatenate([b for _, b in rows]).astype(np.float32, copy=False)
+    edges = np.concatenate([[0], ends])
+    cuts = np.unique(np.append(np.searchsorted(edges, np.arange(0, edges[-1], FIT_FEATURES)), [0, len(rows)]))
+    parts = [(a, b, slice(edges[a], edges[b])) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def raw(w: np.ndarray) -> np.ndarray:
-        return _sums(w[column] * value, np.concatenate([[0], ends]))
+        return np.concatenate([_sums(w[column[s]] * value[s], edges[a : b + 1] - edges[a]) for a, b, s in parts])
+
+    def gradient(error: np.ndarray) -> np.ndarray:
+        sums = np.zeros(size)
+        for a, b, s in parts:
+            sums += np.bincount(column[s], np.repeat(error[a:b], lengths[a:b]) * value[s], size)
+        return sums
 
     used = ~held
     shares = 0.5 / max((1 - good[used]).sum(), 1), 0.5 / max(good[used].sum(), 1)
@@ -177,7 +188,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(raw(weights) + bias, -30, 30)))
         error = (p - good) * balance
-        slope = np.append(np.bincount(column, np.repeat(error, lengths) * value, size) + 1e-7 * weights, error.sum())
+        slope = np.append(gradient(error) + 1e-7 * weights, error.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         move = step * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
