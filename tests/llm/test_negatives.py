@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from tonnage.llm import gnat, negatives
+from tonnage.llm.gnat import NONE, NUMBER_BITS, WIDE, Queries, Tree
+from tonnage.llm.negatives import mine_negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int, row string, cell string, rank string, positives string"
+
+
+@pytest.fixture
+def table(spark):
+    def make(rows):
+        return spark.createDataFrame([(i, v, n, "r", "c", "k", "p") for i, v, n in rows], SCHEMA)
+
+    return make
+
+
+def brute(rows):
+    good = [(i, [math.floor(256 * float(np.float32(c))) for c in v], n) for i, v, n in rows if n is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    out = []
+    for at, (anchor, x, label) in enumerate(good):
+        if anchor is None or anchor % 50:
+            continue
+        scored = [(-sum(a * b for a, b in zip(x, y, strict=True)), i is None, i, n) for m, (i, y, n) in enumerate(good) if m != at and len(y) == len(x)]
+        scored.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        for p, _, positive, _ in [s for s in scored if s[3] == label][:5]:
+            fits = [s for s in scored if s[3] != label and 50 * -p <= 100 * -s[0] <= 95 * -p]
+            out += [(anchor, positive, rank, s[2], -p, -s[0]) for rank, s in enumerate(fits[:3], 1)]
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(map(tuple, df.select(names).collect()), key=str)
+
+
+def odd_rows():
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.integers(-4, 5, 5) / 8).tolist(), int(rng.integers(0, 3))) for i in range(600)]
+    rows += [(1000 + i, [0.5, 0.5, 0.5, 0.0, 0.125], i % 4) for i in range(150)]
+    rows += [(50, rows[50][1], 1), (None, rows[7][1], 0), (None, rows[9][1], 1), (2000, None, 1), (2050, [0.5] * 5, None)]
+    rows += [(2100, [None] * 5, 1), (2150, [float("nan")] * 5, 1), (2200, [float("-inf")] * 5, 1), (2250, [0.0] * 5, 2)]
+    rows += [(2300, [0.5, 0.5], 1), (2301, [0.5, 0.25], 1), (2302, [0.25, 0.25], 2), (2350, [], 1), (2400, [], 1), (2450, [], 2)]
+    rows += [(2500, [3.0] * 5, 9), (-50, [-0.25] * 5, 1)]
+    return rows
+
+
+def test_against_brute_force(table, monkeypatch):
+    rows = odd_rows()
+    # Several cells, blocks and batches.
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", 80)
+    monkeypatch.setattr(negatives, "BATCH_QUERIES", 5)
+    assert rows_of(mine_negatives(table(rows).repartition(3))) == brute(rows)
+
+
+def test_one_block(table):
+    rows = odd_rows()
+    assert rows_of(mine_negatives(table(rows))) == brute(rows)
+
+
+def test_empty_tables(table):
+    assert mine_negatives(table([])).collect() == []
+    assert mine_negatives(table([(0, None, 1), (50, [0.5], None)])).collect() == []
+    assert mine_negatives(table([(0, [0.5], 1)])).collect() == []
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_tree_against_brute_force(monkeypatch, same):
+    monkeypatch.setattr(gnat, "LEAF", 8)
+    rng = np.random.default_rng(4 + same)
+    for trial in range(12):
+        # Clusters, copies and a spread of norms.
+        centres = rng.normal(size=(6, 7)) * rng.integers(1, 60, (6, 1))
+        x = np.floor(centres[rng.integers(0, 6, 300)] + rng.normal(size=(300, 7)) * 4).astype(np.int64)
+        x[rng.integers(0, 300, 40)] = x[0]
+        label = rng.integers(0, 3, 300)
+        some = rng.integers(0, 300, 40)
+        score = x[some] @ x.T
+        low = np.sort(score, axis=1)[:, [50, 200]] - 1
+        high = np.stack([low[:, 0] + 300, np.full(40, WIDE)], axis=1)
+        low[3] = WIDE
+        queries = Queries(x[some], label[some], some, low, high, same, 4)
+        Tree(x, label).search(queries)
+        for q in range(40):
+            for w in range(2):
+                fits = [(-s, i) for i, s in enumerate(score[q].tolist()) if i != some[q] and (label[i] == label[some[q]]) == same and low[q, w] <= s <= high[q, w]]
+                keys = np.sort(queries.best[q, w][queries.best[q, w] != NONE])[::-1]
+                got = [(-(k >> NUMBER_BITS), (1 << NUMBER_BITS) - 1 - (k & ((1 << NUMBER_BITS) - 1))) for k in keys.tolist()]
+                assert got == sorted(fits)[:4], (trial, q, w)
+
+
+def test_ranges_leave_subtrees_out():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 8)) * 300
+    x = np.floor(centres[np.arange(4000) % 20] + rng.normal(size=(4000, 8)) * 5).astype(np.int64)
+    label = np.arange(4000) % 7
+    some = np.arange(40)
+    score = x[some] @ x.T
+    top = np.sort(score, axis=1)[:, -100]
+    tree = Tree(x, label)
+    queries = Queries(x[some], label[some], some, top[:, None], np.full((40, 1), WIDE), False, 3)
+    tree.search(queries)
+    assert tree.compared < 40 * 4000 / 3
+    assert (queries.best != NONE).all()
+
+
+def test_scores_too_large_stop_the_search():
+    x = np.array([[1 << 24], [1 << 23]])
+    with pytest.raises(OverflowError):
+        Tree(x, np.zeros(2)).search(Queries(x, np.zeros(2), np.arange(2), np.zeros((2, 1), int), np.ones((2, 1), int), True, 1))

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonnage.llm.decontaminate import find_leaks
+from tonnage.llm.lexical import ranked_search
 from tonnage.llm.licences import scan_licences
 from tonnage.llm.minhash import near_duplicates
 from tonnage.llm.mixing import mixture
+from tonnage.llm.negatives import mine_negatives
 from tonnage.llm.quality import judge_quality, train
 from tonnage.llm.secret_scan import scan_secrets
 from tonnage.llm.ship import workers_find_library
 from tonnage.llm.substring import remove_repeats
 from tonnage.llm.tokens import read_documents, write_tokens
+from tonnage.llm.topk import top_k
 from tonnage.llm.toxicity import learn, score_toxicity
 from tonnage.llm.url_filter import SITE_RULES, WORD_RULES, judge_urls, rule_table
 
@@ -214,3 +217,87 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_secret_scans")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
+
+
+@query(
+    "op11_ranked_search",
+    r"""
+    with places as (
+      select d.rowid as place, d.doc_id, unnest(regexp_extract_all(translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+      from (select row_number() over () as rowid, doc_id, text from documents) d
+    ), sizes as (
+      select place, doc_id, count(*) as n from places group by place, doc_id
+    ), whole as (
+      select cast(count(*) as bigint) as documents, cast(sum(n) as bigint) as occurrences from sizes
+    ), asked as (
+      select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+      from benchmark
+    ), held as (
+      select place, term, count(*) as tf from places where term in (select term from asked) group by place, term
+    ), weights as (
+      select term, cast(floor(1000 * ln((2.0::double * max(documents) + 2) / (2 * count(*) + 1))) as bigint) as weight
+      from held, whole group by term
+    ), scores as (
+      select a.item_id, h.place, s.doc_id,
+        sum(w.weight * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (10 + (90 * s.n * documents) // occurrences)))) as score
+      from asked a join weights w on a.term = w.term join held h on a.term = h.term
+        join sizes s on h.place = s.place, whole
+      group by a.item_id, h.place, s.doc_id
+    )
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, cast(score as bigint) as score
+    from scores where score > 0
+    qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op12_exact_top_k",
+    """
+    with rows as (
+      select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as x from embeddings
+      where embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    ), scored as (
+      select q.vec_id as query_id, r.vec_id, cast(list_inner_product(q.x, r.x) as bigint) as score
+      from rows q join rows r on q.vec_id % 100 = 0 and q.vec_id <> r.vec_id
+    )
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+    from scored qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    with rows as (
+      select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as x from embeddings
+      where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    ), scored as (
+      select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_inner_product(a.x, r.x) as bigint) as score
+      from rows a join rows r on a.vec_id % 50 = 0 and a.vec_id <> r.vec_id
+    ), positives as (
+      select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+    ), negatives as (
+      select p.*, s.vec_id as negative_id, s.score as negative_score,
+        cast(row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as integer) as rank
+      from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+        and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+    )
+    select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+    """,
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved))
