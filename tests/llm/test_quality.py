@@ -82,7 +82,23 @@ def test_training_does_not_depend_on_row_order(labelled):
 
 def test_words_and_character_grams_of_two_sizes_count():
     raw = np.frombuffer(b"ab cde", np.uint8)
-    assert [len(bucket) for bucket, _ in quality._grams(Texts(raw, np.array([0, 6])))] == [2, 1, 4, 3]
+    for cuts, counts in (([0, 6], [[2], [1], [4], [3]]), ([0, 3, 3, 6], [[1, 0, 1], [0, 0, 0], [1, 0, 1], [0, 0, 0]])):
+        found = [(end - begin).tolist() for _, begin, end in quality._grams(Texts(raw, np.array(cuts)))]
+        assert found == counts
+
+
+def test_scores_do_not_depend_on_neighbours_or_slabs(monkeypatch):
+    texts = [prose(i, n).encode() for i, n in enumerate((1, 90, 0, 400, 2, 30))]
+    weights = np.random.default_rng(1).normal(size=4 << quality.BITS)
+    model = quality.Model(weights, 2.0, 0.1)
+
+    def scores(parts):
+        return model.probability(Texts(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0] + [len(p) for p in parts])))
+
+    together = scores(texts)
+    assert np.allclose(together, [scores([t])[0] for t in texts])
+    monkeypatch.setattr(quality, "SLAB", 7)
+    assert np.array_equal(together, scores(texts))
 
 
 def test_fit_in_parts(monkeypatch):

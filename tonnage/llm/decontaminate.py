@@ -230,11 +230,6 @@ class Index:
         return held, np.clip(begin, 0, len(points))[held], np.clip(end, 0, len(points))[held]
 
 
-@lru_cache(maxsize=2)
-def _index(items: tuple[tuple[int, str], ...]) -> Index:
-    return Index(items)
-
-
 def _leaks(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int]]]:
     """For each text the windows it holds, each with a passage [start, end).
 
@@ -262,7 +257,7 @@ def _leaks(index: Index, texts: list[str]) -> list[dict[int, tuple[int, int]]]:
 
 def _rows(items: tuple[tuple[int, str], ...]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(items)
+        index = Index(items)
         for batch, _ in blocks(batches, "text", 1 << 20):
             columns: dict[str, list] = {c: [] for c in ("doc", "item_id", "windows", "of_windows", "start", "end")}
             for doc, found in enumerate(_leaks(index, batch.column("text").fill_null("").to_pylist())):
@@ -280,7 +275,7 @@ def _rows(items: tuple[tuple[int, str], ...]):
 
 def _clean(items: tuple[tuple[int, str], ...]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(items)
+        index = Index(items)
         for batch, _ in blocks(batches, "text", 1 << 20):
             found = _leaks(index, batch.column("text").fill_null("").to_pylist())
             yield batch.filter(pa.array([not x for x in found], pa.bool_()))

@@ -21,6 +21,7 @@ from tonnage.llm.words import (
     Words,
     blocks,
     find_words,
+    give_back_memory,
     hash_ranges,
     mix,
     texts_of,
@@ -28,6 +29,7 @@ from tonnage.llm.words import (
     window_hashes,
     words_of,
 )
+from tonnage.sources.staging import staged
 
 #: Labelled documents used for fitting and calibration, at most.
 SAMPLE_DOCUMENTS = 3000
@@ -38,7 +40,10 @@ MOST_REPEATED_PERCENT = 50
 
 WORD_SIZES = (1, 2)
 CHARACTER_SIZES = (3, 4)
+#: The buckets of all families together are numbered by 16 bits.
 BITS = 14
+#: Character n-grams are hashed for so many places at a time.
+SLAB = 1 << 18
 #: The fit goes over its rows in parts of about this many features.
 FIT_FEATURES = 1 << 20
 SYMBOLS = np.zeros(256, bool)
@@ -93,32 +98,40 @@ def base_counts(texts: Texts) -> dict[str, np.ndarray]:
     }
 
 
-def _grams(texts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each family of n-grams, the bucket of each gram and where each text's grams begin.
+def _character_buckets(data: np.ndarray, size: int, number: int) -> np.ndarray:
+    """The bucket of the size bytes from each place on, worked out a slab at a time."""
+    out = np.empty(max(len(data) - size + 1, 0), np.int32)
+    for low in range(0, len(out), SLAB):
+        high = min(low + SLAB, len(out))
+        code = np.zeros(high - low, np.uint32)
+        for i in range(size):
+            code = (code << np.uint32(8)) | data[low + i : high + i]
+        out[low:high] = (mix(code.astype(_U) + _U(size)) >> _U(64 - BITS)).astype(np.int32) + (number << BITS)
+    return out
+
+
+def _grams(texts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Family by family the bucket of the gram at each place, and from where to where each text's grams begin.
 
     Character n-grams run over UTF-8 bytes, so a letter beyond ASCII counts as two or more.
+    Only one family is held at a time. Grams that span two texts lie outside all ranges.
     """
     words = words_of(texts)
-    families = []
-    for size in WORD_SIZES:
-        at = whole_windows(words.first, size)
-        families.append((window_hashes(words.hash, size, 31)[at], np.searchsorted(at, words.first)))
-    for size in CHARACTER_SIZES:
-        at = whole_windows(texts.offsets, size)
-        code = np.zeros(len(at), np.uint32)
-        for i in range(size):
-            code = (code << np.uint32(8)) | texts.data[at + i]
-        families.append((mix(code.astype(_U) + _U(size)), np.searchsorted(at, texts.offsets)))
-    for number, (hashes, edges) in enumerate(families):
-        yield (hashes >> _U(64 - BITS)).astype(np.int64) + (number << BITS), edges
+    for number, size in enumerate(WORD_SIZES):
+        bucket = (window_hashes(words.hash, size, 31) >> _U(64 - BITS)).astype(np.int32) + (number << BITS)
+        yield bucket, words.first[:-1], np.maximum(words.first[1:] - size + 1, words.first[:-1])
+    del words, bucket
+    for number, size in enumerate(CHARACTER_SIZES, len(WORD_SIZES)):
+        bucket = _character_buckets(texts.data, size, number)
+        yield bucket, texts.offsets[:-1], np.maximum(texts.offsets[1:] - size + 1, texts.offsets[:-1])
 
 
 def features(texts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text the buckets it fills and the share each has among the grams of its family."""
     parts: list[list] = [[] for _ in range(len(texts))]
-    for bucket, edges in _grams(texts):
+    for bucket, begin, end in _grams(texts):
         for i, part in enumerate(parts):
-            found, count = np.unique(bucket[edges[i] : edges[i + 1]], return_counts=True)
+            found, count = np.unique(bucket[begin[i] : end[i]], return_counts=True)
             part.append((found, count / max(count.sum(), 1)))
     return [(np.concatenate([a for a, _ in p]), np.concatenate([b for _, b in p])) for p in parts]
 
@@ -133,8 +146,13 @@ class Model:
 
     def probability(self, texts: Texts) -> np.ndarray:
         raw = np.zeros(len(texts))
-        for bucket, edges in _grams(texts):
-            raw += _sums(self.weights[bucket], edges) / np.maximum(np.diff(edges), 1)
+        for bucket, begin, end in _grams(texts):
+            some = np.flatnonzero(end > begin)
+            if len(some):
+                # Every second sum is that of a range; the last place only ends one.
+                places = np.stack([begin[some], end[some]], 1).ravel()
+                sums = np.add.reduceat(np.append(self.weights[bucket], 0.0), places)[::2]
+                raw[some] += sums / (end - begin)[some]
         return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.intercept, -30, 30)))
 
 
@@ -165,7 +183,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int
         held[order[good[order] == kind][::5]] = True
     lengths = np.array([len(a) for a, _ in rows])
     ends = np.cumsum(lengths)
-    column = np.concatenate([a for a, _ in rows]).astype(np.int32, copy=False)
+    column = np.concatenate([a for a, _ in rows])
     value = np.concatenate([b for _, b in rows]).astype(np.float32, copy=False)
     edges = np.concatenate([[0], ends])
     cuts = np.unique(np.append(np.searchsorted(edges, np.arange(0, edges[-1], FIT_FEATURES)), [0, len(rows)]))
@@ -202,7 +220,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             {
                 "doc_id": batch.column("doc_id"),
                 "quality": batch.column("quality").cast(pa.int32()),
-                "buckets": pa.array([a.astype("<i4").tobytes() for a, _ in found], pa.binary()),
+                "buckets": pa.array([a.astype("<u2").tobytes() for a, _ in found], pa.binary()),
                 "shares": pa.array([b.astype("<f4").tobytes() for _, b in found], pa.binary()),
             }
         )
@@ -211,17 +229,23 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> Model:
     """Fit a model on at most most labelled documents, those whose doc_id hashes lowest.
 
-    Their features, some 20 kB a document, are what the driver holds for the fit.
-    Labels other than 0 and 1 and labels without a document are left out.
+    Their features, some 15 kB a document, are what the driver holds for the fit; they come
+    file by file. Labels other than 0 and 1 and labels without a document are left out.
     """
     usable = labels.select("doc_id", "quality").where("quality in (0, 1) and doc_id is not null").distinct()
     sample = usable.orderBy(F.xxhash64("doc_id"), "quality").limit(most)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = rows.mapInArrow(_sampled, "doc_id long, quality int, buckets binary, shares binary").toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("buckets", "ascending")])
-    pairs = zip(found["buckets"], found["shares"], strict=True)
-    features_ = [(np.frombuffer(a.as_buffer(), "<i4"), np.frombuffer(b.as_buffer(), "<f4")) for a, b in pairs]
-    return fit(features_, np.asarray(found["quality"], np.int64))
+    with staged(rows.mapInArrow(_sampled, "doc_id long, quality int, buckets binary, shares binary")) as features_:
+        found = sorted(tuple(map(_plain, r)) for r in features_.toLocalIterator())
+    good = np.array([r[1] for r in found], np.int64)
+    model = fit([(np.frombuffer(r[2], "<u2"), np.frombuffer(r[3], "<f4")) for r in found], good)
+    del found
+    give_back_memory()
+    return model
+
+
+def _plain(value):
+    return bytes(value) if isinstance(value, bytearray) else value
 
 
 def _judge(model: Model, least: float):

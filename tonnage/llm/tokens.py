@@ -359,22 +359,26 @@ def _shards(path: str, end_id: int):
             columns = [*place, pa.array([start]), pa.array([size]), ids, pa.array([payload])]
             return pa.record_batch(columns, [x.split()[0] for x in SHARD_SCHEMA.split(", ")])
 
-        for batch, texts in blocks(batches, "text", ENCODED_BYTES):
-            ids, edges = code.encode_block(texts)
-            edges = edges + np.arange(len(edges))
-            out = np.empty(len(ids) + len(texts), code.kind)
-            last = np.zeros(len(out), bool)
-            last[edges[1:] - 1] = True
-            out[last], out[~last] = end_id, ids
-            held.append(out)
-            ends.append(size + edges[1:])
-            names.append(batch.column("doc_id").cast(pa.int64()))
-            size += len(out)
-            if size >= SHARD_IDS or sum(map(len, names)) >= SHARD_DOCUMENTS:
+        try:
+            for batch, texts in blocks(batches, "text", ENCODED_BYTES):
+                ids, edges = code.encode_block(texts)
+                edges = edges + np.arange(len(edges))
+                out = np.empty(len(ids) + len(texts), code.kind)
+                last = np.zeros(len(out), bool)
+                last[edges[1:] - 1] = True
+                out[last], out[~last] = end_id, ids
+                held.append(out)
+                ends.append(size + edges[1:])
+                names.append(batch.column("doc_id").cast(pa.int64()))
+                size += len(out)
+                if size >= SHARD_IDS or sum(map(len, names)) >= SHARD_DOCUMENTS:
+                    yield shard()
+                    number, start, held, ends, names, size = number + 1, start + size, [], [], [], 0
+            if held:
                 yield shard()
-                number, start, held, ends, names, size = number + 1, start + size, [], [], [], 0
-        if held:
-            yield shard()
+        finally:
+            # The worker may go on to tasks that need no pieces.
+            code.table.clear()
 
     return rows
 

@@ -7,6 +7,7 @@ byte values, finished by a mixing function; equal words have equal hashes in eve
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -93,7 +94,10 @@ def texts_of(column: pa.Array) -> Texts:
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Cut batches into runs of rows whose texts hold at most limit bytes, or one row."""
+    """Cut batches into runs of rows whose texts hold at most limit bytes, or one row.
+
+    At the end the worker gives back what it no longer uses: it may stay idle beside others.
+    """
     for batch in batches:
         texts = texts_of(batch.column(column))
         at = 0
@@ -103,6 +107,15 @@ def blocks(
             a, b = texts.offsets[at], texts.offsets[to]
             yield batch.slice(at, to - at), Texts(texts.data[a:b], texts.offsets[at : to + 1] - a)
             at = to
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return freed memory, which the allocators would keep for this process, to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
