@@ -118,3 +118,72 @@ def test_interpolate_shrinks_a_hot_group_before_it_meets_in_one_task(spark):
     got = as_dict(out, "y", "x")
     assert got[15.0] == pytest.approx(math.sqrt(15_000))
     assert got[30.0] is None
+
+
+def test_a_grid_of_ten_thousand_points(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("k"), (F.pmod(F.col("id") * 7919, 3000) * 1.7).alias("x"), (F.col("id") % 97).cast("double").alias("y"))
+    grid = [0.5 * i - 3 for i in range(10_000)]
+    got = as_dict(interpolate(df, ["k"], "x", "y", grid), "y", "k", "x")
+    assert len(got) == 20_000
+    for k in (0, 1):
+        of = sorted((r.x, r.y) for r in df.collect() if r.k == k)
+        xs, ys = zip(*of, strict=True)
+        want = [float(np.interp(p, xs, ys)) if xs[0] <= p <= xs[-1] else None for p in grid]
+        assert [got[k, p] for p in grid] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("points", [[], [1.0], [0.0, 1.5, 2.0, 7.0], list(range(-8, 9)), list(range(16)), [float(i) / 3 for i in range(33)]])
+def test_points_below(spark, points):
+    from tonnage.operators.projection import _points_below
+
+    xs = sorted({-9.0, 0.0, 100.0, *[p + d for p in points for d in (-0.01, 0.0, 0.01)]})
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    assert as_dict(df.withColumn("n", _points_below(points, F.col("x"))), "n", "x") == {x: sum(p < x for p in points) for x in xs}
+
+
+POINTS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-3, 15).map(lambda x: x / 2))), max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(KNOTS, POINTS)
+def test_own_points_against_brute_force(spark, knots, points):
+    df = spark.createDataFrame(knots, "k string, x double, y double")
+    asked = spark.createDataFrame(points, "k string, x double")
+    found = interpolate(df, ["k"], "x", "y", asked).collect()
+    assert sorted(map(str, ((r.k, r.x) for r in found))) == sorted(map(str, set(points)))
+    for r in found:
+        at = {}
+        for g, x, y in knots:
+            if g == r.k and y is not None:
+                at.setdefault(x, []).append(y)
+        xs = sorted(at)
+        inside = r.x is not None and len(xs) >= 2 and xs[0] <= r.x <= xs[-1]
+        want = float(np.interp(r.x, xs, [sum(at[x]) / len(at[x]) for x in xs])) if inside else None
+        assert r.y == (want if want is None else pytest.approx(want)), (r, knots)
+
+
+def test_a_group_too_long_for_a_task_is_cut(spark, conf, monkeypatch):
+    """One group of 10^6 knots: its ranges are tasks of their own, and no window meets the whole group."""
+    from tonnage.operators import projection
+
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    seen = []
+    monkeypatch.setattr(projection, "stage", lambda df, keep=projection.stage: seen.append(keep(df)) or seen[-1])
+    knots = spark.range(1_000_000).select(F.lit("hot").alias("k"), (F.col("id") * 2).cast("double").alias("x"), F.sqrt("id").alias("y"))
+    points = spark.range(2000).select(F.lit("hot").alias("k"), (F.col("id") * 999 + 1).cast("double").alias("x"))
+    got = as_dict(interpolate(knots, ["k"], "x", "y", points), "y", "x")
+    sizes = [r["count"] for r in seen[0].groupBy("k", "__range").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 600_000
+    for x in (1.0, 1000.0, 999_001.0, 1_996_003.0):
+        low = math.floor(x / 2)
+        assert got[x] == pytest.approx(math.sqrt(low) + (math.sqrt(low + 1) - math.sqrt(low)) * (x / 2 - low))
+    assert len(got) == 2000 and None not in got.values()
+
+
+def test_ranges_without_knots_are_bridged(spark, conf):
+    """Many points between two knots: whole ranges hold none, and the knots are carried past them."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    knots = spark.createDataFrame([("a", 0.0, 0.0), ("a", 9999.0, 9999.0)], "k string, x double, y double")
+    points = spark.range(10_001).select(F.lit("a").alias("k"), (F.col("id") * 1.0).alias("x"))
+    got = as_dict(interpolate(knots, ["k"], "x", "y", points), "y", "x")
+    assert got.pop(10_000.0) is None and all(got[x] == pytest.approx(x) for x in got) and len(got) == 10_000

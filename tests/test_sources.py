@@ -187,3 +187,113 @@ def test_staged_size_decides_on_the_broadcast(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="1KB")
     assert "BroadcastHashJoin" not in plan(join_left(big, small, ["id"]))
     assert as_dict(join_left(big, small, ["id"]).groupBy("v").count(), "count", "v") == {1: 1000}
+
+
+def jobs_of(spark, work):
+    """What work returns, and how many jobs it ran."""
+    context = spark.sparkContext
+    group = f"count-{id(work)}"
+    context.setJobGroup(group, "counted")
+    try:
+        out = work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_thousand_files_take_two_jobs(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(1000):
+        (folder / f"{i:04}.csv").write_text(f"# note {i}\nk,v\nk,v\n# note {i},{i}\n" if i % 100 else "# note\nk,v\n")
+    table, jobs = jobs_of(spark, lambda: read_annotated(spark, str(folder), schema("cn", "k", "v"), skip=1))
+    assert jobs == 2
+    assert table.where("k = 'k' and v is null").count() == 990
+    assert table.agg(F.sum("v")).first()[0] == sum(i for i in range(1000) if i % 100)
+    assert table.count() == 1980
+
+
+def test_small_files_of_a_split_folder_keep_their_lines(spark, conf, tmp_path):
+    """Files of several blocks beside files of one, whatever the session packs together."""
+    conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1", spark__sql__files__maxPartitionNum="3")
+    want = 0
+    for i, n in enumerate((1, 3000, 0, 5, 2000)):
+        write(tmp_path / f"{i}.csv", BOM + '"a note, quoted"', "", "k , v", *[f"x,{j}" for j in range(n)], end="\n")
+        want += n
+    (tmp_path / "empty.csv").write_text("")
+    table = read_annotated(spark, str(tmp_path), schema("cn", "k", "v"), skip=2)
+    assert table.count() == want and table.where("k <> 'x' or v is null").count() == 0
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == "1"
+    assert spark.conf.get("spark.sql.files.maxPartitionNum") == "3"
+
+
+def test_headers_may_be_spelled_differently_but_not_be_others(spark, tmp_path):
+    write(tmp_path / "a.csv", 'k,"v"', "a,1")
+    write(tmp_path / "b.csv", BOM + '"k" , v ', "b,2")
+    spec = schema("cn", "k", "v")
+    assert rows(read_annotated(spark, str(tmp_path), spec)) == [("a", 1.0), ("b", 2.0)]
+    for other in ("k", "k,v,w", "v,k", ""):
+        write(tmp_path / "c.csv", other, "c,3")
+        with pytest.raises(ValueError, match="one header.*c.csv"):
+            read_annotated(spark, str(tmp_path), spec)
+    (tmp_path / "n").mkdir()
+    write(tmp_path / "n" / "b.csv", "# note", "k,v", "a,1")
+    write(tmp_path / "n" / "c.csv", "# only")
+    with pytest.raises(ValueError, match="1 of 2 files end before"):
+        read_annotated(spark, str(tmp_path / "n"), spec, skip=1)
+
+
+def parts_of(path):
+    return [p.read_text() for p in sorted(path.glob("part-*"))]
+
+
+def test_parts_are_sorted_as_a_whole(spark, conf, frame, tmp_path):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = frame([((i * 7919) % 500 or None, f"r{i}") for i in range(500)], "k int, name string").repartition(6)
+    write_csv(df, str(tmp_path / "one"), notes=["# n"], order=["k", "name"], one_head=True)
+    parts = parts_of(tmp_path / "one")
+    lines = "".join(parts).splitlines()
+    assert len([p for p in parts if p]) > 2 and lines[:3] == ["# n", '"k","name"', 'NA,"r0"']
+    assert [int(x.split(",")[0]) for x in lines[3:]] == list(range(1, 500))
+    write_csv(df, str(tmp_path / "each"), order=["k"])
+    parts = [p.splitlines() for p in parts_of(tmp_path / "each") if p]
+    assert {p[0] for p in parts} == {'"k","name"'}
+    assert [int(x.split(",")[0]) for p in parts for x in p[1:] if not x.startswith("NA")] == list(range(1, 500))
+
+
+def test_a_table_without_rows_still_has_a_head(frame, tmp_path):
+    write_csv(frame([], "k int"), str(tmp_path / "out"), order=["k"], one_head=True)
+    assert "".join(parts_of(tmp_path / "out")) == '"k"\n'
+    with pytest.raises(ValueError, match="order"):
+        write_csv(frame([], "k int"), str(tmp_path / "x"), one_head=True)
+    with pytest.raises(ValueError, match="no column"):
+        write_csv(frame([], "k int"), str(tmp_path / "x"), order=["z"])
+
+
+def test_only_partitions_at_hand_are_replaced(spark, frame, tmp_path):
+    from tonnage.sources import read_partitions, write_partitions
+
+    path = str(tmp_path / "table")
+    first = frame([("007", 2000, 1.0), ("007", 2001, 2.0), (None, 2000, 3.0), ("b c/d", 2000, 4.0)], "code string, year int, v double")
+    again = frame([("007", 2001, 9.0), ("007", 2001, 8.0), (None, 2000, 7.0), ("x", 2002, 6.0)], "code string, year int, v double")
+    write_partitions(first, path, ["code", "year"])
+    for _ in range(2):
+        write_partitions(again, path, ["code", "year"])
+        assert rows(read_partitions(spark, path, first.schema)) == rows(
+            frame([("007", 2000, 1.0), ("007", 2001, 9.0), ("007", 2001, 8.0), (None, 2000, 7.0), ("b c/d", 2000, 4.0), ("x", 2002, 6.0)], "code string, year int, v double")
+        )
+    with pytest.raises(Exception, match="empty text"):
+        write_partitions(frame([("", 1)], "code string, v int"), path, ["code"])
+    with pytest.raises(ValueError, match="not all"):
+        write_partitions(frame([("a", 1)], "code string, v int"), path, ["code", "v"])
+
+
+def test_a_partition_has_few_files_and_a_hot_one_is_split(spark, conf, tmp_path):
+    from tonnage.sources import write_partitions
+
+    # Keys that share a shuffle partition with the hot one would be split with it.
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB", spark__sql__shuffle__partitions="200")
+    df = spark.range(0, 200_000, 1, 12).select(F.when(F.col("id") % 50 == 0, F.col("id") % 400).otherwise(1).alias("k"), F.rand(3).alias("v"))
+    write_partitions(df, str(tmp_path / "t"), ["k"])
+    files = {p.name: len(list(p.glob("part-*"))) for p in (tmp_path / "t").iterdir() if p.is_dir()}
+    assert files.pop("k=1") > 3 and max(files.values()) <= 3

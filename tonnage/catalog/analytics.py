@@ -21,6 +21,7 @@ from tonnage.catalog.totals import (
 )
 from tonnage.functions import factor, if_else, is_in, not_in, r_divide, recode
 from tonnage.operators import (
+    add_sums,
     across,
     allocate,
     apply_coefficients,
@@ -31,9 +32,11 @@ from tonnage.operators import (
     convert_each,
     derive_units,
     discard,
+    fit_line,
     interpolate,
     keep,
     loglog_project,
+    loglog_sums,
     median_scalar,
     per_capita,
     price,
@@ -487,6 +490,47 @@ def loglog_projection(t: Tables) -> DataFrame:
     return rounded(projected_by_type(t), 8, "value")
 
 
+FIT_SQL = """
+SELECT p_type AS type, l_returnflag AS flag,
+       regr_slope(ln(l_extendedprice), ln(l_quantity - 1)) FILTER (l_quantity > 1) AS b,
+       regr_intercept(ln(l_extendedprice), ln(l_quantity - 1)) FILTER (l_quantity > 1) AS a,
+       regr_r2(ln(l_extendedprice), ln(l_quantity - 1)) FILTER (l_quantity > 1) AS r2,
+       COUNT(*) FILTER (l_quantity > 1) AS n, COUNT(*) FILTER (l_quantity <= 1) AS n_left_out
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL"""
+
+
+def price_of_quantity(t: Tables) -> DataFrame:
+    """Sums for the line of log price on log quantity by type and flag, added up from years.
+
+    Quantities of 1 become 0, which has no logarithm.
+    """
+    kinds = keep(t.part, "p_partkey", "p_type")
+    lines = keep(t.lineitem, "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+    lines = lines.join(kinds, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_type").alias("type"), F.col("l_returnflag").alias("flag"), F.year("l_shipdate").alias("year"),
+        (F.col("l_quantity") - 1).alias("amount"), F.col("l_extendedprice").alias("paid"),
+    )
+    by_year = loglog_sums(lines, ["type", "flag", "year"], "amount", "paid")
+    return add_sums(by_year, ["type", "flag"])
+
+
+@query(f"SELECT type, flag, round(a, 6) AS a, round(b, 6) AS b, round(r2, 6) AS r2, n, n_left_out FROM ({FIT_SQL})")
+def loglog_fit(t: Tables) -> DataFrame:
+    return rounded(fit_line(price_of_quantity(t), ["type", "flag"]), 6, "a", "b", "r2")
+
+
+@query(f"""
+SELECT p_partkey AS part, flag, round(exp(a + b * ln(p_size)), 4) AS price
+FROM part JOIN ({FIT_SQL}) ON p_type = type
+""")
+def loglog_fit_project(t: Tables) -> DataFrame:
+    """Fitted coefficients, a table, applied to the rows of their type."""
+    fitted = stage(fit_line(price_of_quantity(t), ["type", "flag"]))
+    parts = t.part.select(F.col("p_partkey").alias("part"), F.col("p_type").alias("type"), F.col("p_size").alias("size"))
+    rows = loglog_project(parts, "size", fitted, "flag", "price", on=["type"])
+    return rounded(keep(rows, "part", "flag", "price"), 4, "price")
+
+
 BASE_SQL = f"""
 SELECT region, type, CASE WHEN region = 2 AND type = 'PROMO' THEN NULL
        WHEN region = 3 AND type = 'LARGE' THEN 'nan'::DOUBLE ELSE share END AS base
@@ -571,6 +615,35 @@ def interpolate_dense(t: Tables) -> DataFrame:
     return rounded(interpolate(known, ["nation"], "x", "y", range(-1500, 11000, 500)), 6, "y")
 
 
+@query("""
+WITH knots AS (
+  SELECT c_nationkey AS nation, floor(c_acctbal) AS x, AVG(c_custkey * 1.0::DOUBLE) AS y
+  FROM customer WHERE c_nationkey <> 24 GROUP BY ALL),
+spans AS (
+  SELECT *, lead(x) OVER w AS next_x, lead(y) OVER w AS next_y, COUNT(*) OVER (PARTITION BY nation) AS n
+  FROM knots WINDOW w AS (PARTITION BY nation ORDER BY x)),
+points AS (
+  SELECT DISTINCT c_nationkey AS nation, floor(o_totalprice / 40) AS x
+  FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT points.nation, points.x,
+       round(CASE WHEN n < 2 THEN NULL WHEN points.x = spans.x THEN y
+             ELSE y + (next_y - y) * ((points.x - spans.x) / (next_x - spans.x)) END, 6) AS y
+FROM points LEFT JOIN spans ON points.nation = spans.nation
+ AND points.x >= spans.x AND (points.x < next_x OR (next_x IS NULL AND points.x = spans.x))
+""")
+def interpolate_own_points(t: Tables) -> DataFrame:
+    """Each nation at the order sizes of its customers; one nation without knots."""
+    known = t.customer.where(F.col("c_nationkey") != 24).select(
+        F.col("c_nationkey").alias("nation"),
+        F.floor("c_acctbal").cast("double").alias("x"),
+        F.col("c_custkey").cast("double").alias("y"),
+    )
+    of = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation"))
+    sizes = t.orders.join(of, F.col("o_custkey") == F.col("c_custkey"))
+    points = sizes.select("nation", F.floor(F.col("o_totalprice") / 40).cast("double").alias("x"))
+    return rounded(interpolate(known, ["nation"], "x", "y", points), 6, "y")
+
+
 # Costs
 
 PRICE_SQL = """

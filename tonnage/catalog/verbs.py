@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonnage.catalog.registry import Tables, query
@@ -55,7 +55,7 @@ from tonnage.operators import (
     with_group_median,
     year_table,
 )
-from tonnage.sources import read_annotated, stage, write_csv
+from tonnage.sources import read_annotated, read_partitions, stage, write_csv, write_partitions
 from tonnage.sources.schemas import schema
 from tonnage.sources.staging import shared_folder
 
@@ -527,25 +527,99 @@ def pivot(t: Tables) -> DataFrame:
 # Files
 
 
-@query("""
+PARTS_SQL = """
 SELECT CAST(p_partkey AS INTEGER) AS key,
        CASE WHEN p_partkey % 5 = 0 THEN '#' ELSE '' END || p_name || ', "' || p_brand || '"' AS name,
        CASE WHEN p_size % 7 <> 0 THEN p_type END AS kind,
        CASE WHEN p_size % 11 <> 0 THEN round(p_retailprice, 2) END AS price
-FROM part
-""")
-def csv_round_trip(t: Tables) -> DataFrame:
-    """A table written as annotated CSV parts to the shared folder, and read back."""
+FROM part"""
+
+PARTS = schema("iccn", "key", "name", "kind", "price")
+PART_NOTES = ["# parts", '"# sizes, types"']
+
+
+def annotated_parts(t: Tables) -> DataFrame:
+    """Texts with commas, quotes and signs of notes, and missing texts and numbers."""
     name = F.concat(
         F.when(F.col("p_partkey") % 5 == 0, F.lit("#")).otherwise(F.lit("")),
         F.col("p_name"), F.lit(', "'), F.col("p_brand"), F.lit('"'),
     )
-    parts = t.part.select(
+    return t.part.select(
         F.col("p_partkey").cast("int").alias("key"),
         name.alias("name"),
         F.when(F.col("p_size") % 7 != 0, F.col("p_type")).alias("kind"),
         F.when(F.col("p_size") % 11 != 0, F.round("p_retailprice", 2)).alias("price"),
     )
-    folder = f"{shared_folder(t.spark)}/csv-{uuid.uuid4().hex}"
-    write_csv(parts, folder, {"price": "retail price"}, ["# parts", '"# sizes, types"'])
-    return read_annotated(t.spark, folder, schema("iccn", "key", "name", "kind", "price"), skip=2)
+
+
+def new_folder(t: Tables, kind: str) -> str:
+    return f"{shared_folder(t.spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query(PARTS_SQL)
+def csv_round_trip(t: Tables) -> DataFrame:
+    """A table written as annotated CSV parts to the shared folder, and read back."""
+    folder = new_folder(t, "csv")
+    write_csv(annotated_parts(t), folder, {"price": "retail price"}, PART_NOTES)
+    return read_annotated(t.spark, folder, PARTS, skip=len(PART_NOTES))
+
+
+@query(PARTS_SQL)
+def csv_many_files(t: Tables) -> DataFrame:
+    """The same from 48 files, each with notes and a header of its own."""
+    folder = new_folder(t, "csv")
+    write_csv(annotated_parts(t).repartition(48, "key"), folder, {"price": "retail price"}, PART_NOTES)
+    return read_annotated(t.spark, folder, PARTS, skip=len(PART_NOTES))
+
+
+@query(f"""
+SELECT row_number() OVER (ORDER BY price NULLS FIRST, key) AS place, key, price FROM ({PARTS_SQL})
+""")
+def csv_sorted_parts(t: Tables) -> DataFrame:
+    """Parts of CSV sorted as a whole, read back as the one text they make together, with each line's place.
+
+    The lines of a part are numbered in its own task, and the parts by a table of their sizes.
+    """
+    folder = new_folder(t, "csv")
+    write_csv(annotated_parts(t), folder, notes=PART_NOTES, order=["price", "key"], one_head=True)
+    lines = t.spark.read.text(folder).select(
+        "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    lines = stage(lines)
+    sizes = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select("file", F.coalesce(earlier, F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("file").orderBy("start", "id"))
+    placed = lines.withColumn("within", within).join(before, "file")
+    # The notes and the header come first, whatever the part.
+    place = F.col("before") + F.col("within") - (len(PART_NOTES) + 1)
+    rows = placed.select(place.alias("place"), "value").where(F.col("place") > 0)
+    fields = F.from_csv("value", "key INT, name STRING, kind STRING, price DOUBLE", {"escape": '"', "nullValue": "NA"})
+    return rows.select("place", fields.alias("r")).select("place", "r.key", "r.price")
+
+
+LINE_YEARS_SQL = """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag,
+       l_linestatus AS status, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+FROM lineitem GROUP BY ALL"""
+
+
+@query(f"""
+SELECT year, flag, status, CASE WHEN year >= 1998 AND flag IS DISTINCT FROM 'A' THEN -quantity ELSE quantity END AS quantity
+FROM ({LINE_YEARS_SQL})
+""")
+def parquet_replace_partitions(t: Tables) -> DataFrame:
+    """A table kept by year and flag; a second job replaces some combinations as a whole, one with a missing flag."""
+    rows = t.lineitem.select(
+        F.year("l_shipdate").alias("year"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"),
+        F.col("l_linestatus").alias("status"),
+        F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
+    )
+    rows = stage(rows.groupBy("year", "flag", "status").agg(F.sum("quantity").cast("double").alias("quantity")))
+    folder = new_folder(t, "parquet")
+    write_partitions(rows, folder, ["year", "flag"])
+    later = rows.where((F.col("year") >= 1998) & ~F.col("flag").eqNullSafe("A"))
+    write_partitions(later.withColumn("quantity", -F.col("quantity")), folder, ["year", "flag"])
+    return read_partitions(t.spark, folder, rows.schema)

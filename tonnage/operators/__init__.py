@@ -27,7 +27,8 @@ from tonnage.operators.joins import (
     rows_without_match,
     unmatched_keys,
 )
-from tonnage.operators.projection import cap_and_hold, interpolate, loglog_project, per_capita
+from tonnage.operators.fitting import add_sums, fit_line, fit_loglog, loglog_sums
+from tonnage.operators.projection import cap_and_hold, interpolate, interpolate_at, loglog_project, per_capita
 from tonnage.operators.relational import (
     across,
     bind_rows,
@@ -58,6 +59,7 @@ from tonnage.operators.shares import (
 
 __all__ = [
     "across",
+    "add_sums",
     "allocate",
     "apply_coefficients",
     "bind_rows",
@@ -71,18 +73,22 @@ __all__ = [
     "discard",
     "distinct_rows",
     "drop_incomplete",
+    "fit_line",
+    "fit_loglog",
     "flag_missing",
     "group_centre",
     "group_mean",
     "group_median",
     "group_sum",
     "interpolate",
+    "interpolate_at",
     "join_checked",
     "join_full",
     "join_inner",
     "join_left",
     "keep",
     "loglog_project",
+    "loglog_sums",
     "longer",
     "median_scalar",
     "mutate",
