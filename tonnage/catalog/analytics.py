@@ -21,6 +21,7 @@ from tonnage.catalog.totals import (
 )
 from tonnage.functions import factor, if_else, is_in, not_in, r_divide, recode
 from tonnage.operators import (
+    add_sketches,
     add_sums,
     across,
     allocate,
@@ -30,10 +31,12 @@ from tonnage.operators import (
     compare_sources,
     convert,
     convert_each,
+    convert_to,
     derive_units,
     discard,
     fit_line,
     interpolate,
+    join_left,
     keep,
     loglog_project,
     loglog_sums,
@@ -42,11 +45,13 @@ from tonnage.operators import (
     price,
     ratio_to,
     recode_and_sum,
+    quantile_sketches,
     rename,
     residual,
     rollup_sum,
     scale_by,
     share_of_total,
+    sketched_quantile,
     split_by_fractions,
     split_by_percent,
     split_by_share,
@@ -54,6 +59,7 @@ from tonnage.operators import (
     tidy_measures,
     weighted_rollup,
 )
+from tonnage.operators.sketches import RANK_ERROR
 from tonnage.sources import stage
 
 # Reshaping and shares
@@ -435,6 +441,22 @@ def unit_per_row(t: Tables) -> DataFrame:
     return rounded(convert_each(stock, "value", factors), 2, "value")
 
 
+@query(f"""
+SELECT nation, flag, CASE WHEN nation % 7 <> 6 THEN 'Mt/EJ' END AS unit,
+       round(CASE WHEN nation % 7 = 6 THEN NULL
+             WHEN flag = 'A' THEN value * 1e-9 / 3.6e-12 WHEN flag = 'R' THEN value * 1e-6 / 1e-12
+             ELSE value * 1e-6 * (908 / 1000.0::DOUBLE) / 1.0551e-12 END / 1e6, 2) AS value
+FROM ({line_totals_sql("nation", "flag", measure="l_quantity")})
+""")
+def unit_paths(t: Tables) -> DataFrame:
+    """Amounts per energy in a unit of each row's own, some in none, over several steps above and below the stroke."""
+    units = {"A": "kg/kWh", "N": "short t/kBtu", "R": "t/MJ"}
+    unit = F.when(F.col("nation") % 7 != 6, recode("flag", units))
+    stock = line_totals(t, "nation", "flag", measure="l_quantity").withColumn("unit", unit)
+    rows = convert_to(stock, "value", "Mt/EJ", also=list(units.values()))
+    return rounded(rows.withColumn("value", F.col("value") / 1e6), 2, "value")
+
+
 # Projection
 
 PER_HEAD_SQL = f"""
@@ -644,6 +666,29 @@ def interpolate_own_points(t: Tables) -> DataFrame:
     return rounded(interpolate(known, ["nation"], "x", "y", points), 6, "y")
 
 
+@query("""
+SELECT o_orderpriority AS priority, COUNT(*) AS n,
+       COUNT(*) FILTER (o_orderstatus = 'P') AS n_missing, TRUE AS near
+FROM orders GROUP BY ALL
+""")
+def sketched_medians(t: Tables) -> DataFrame:
+    """Medians of orders by priority from sketches of each month, with missing prices left out.
+
+    near tells whether the share of smaller values lies within the stated error of a half.
+    """
+    price = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    orders = t.orders.select(F.col("o_orderpriority").alias("priority"), F.trunc("o_orderdate", "month").alias("month"), price.alias("price"))
+    months = stage(quantile_sketches(orders, ["priority", "month"], "price"))
+    medians = sketched_quantile(add_sketches(months, ["priority"]), 0.5, "median", strict=False)
+    rows = join_left(orders, keep(medians, "priority", "median"), ["priority"])
+    below, equal = F.count_if(F.col("price") < F.col("median")), F.count_if(F.col("price") == F.col("median"))
+    known = F.count("price")
+    near = (below <= known * (0.5 + RANK_ERROR)) & (below + equal >= known * (0.5 - RANK_ERROR))
+    return rows.groupBy("priority").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("price").isNull()).alias("n_missing"), near.alias("near")
+    )
+
+
 # Costs
 
 PRICE_SQL = """

@@ -8,6 +8,7 @@ from tonnage.operators.aggregate import (
     with_group_median,
 )
 from tonnage.operators.coefficients import (
+    convert_to,
     apply_coefficients,
     blend,
     compare_sources,
@@ -45,6 +46,7 @@ from tonnage.operators.relational import (
     wider,
     year_table,
 )
+from tonnage.operators.sketches import add_sketches, quantile_sketches, sketched_quantile
 from tonnage.operators.shares import (
     allocate,
     child_shares,
@@ -59,6 +61,7 @@ from tonnage.operators.shares import (
 
 __all__ = [
     "across",
+    "add_sketches",
     "add_sums",
     "allocate",
     "apply_coefficients",
@@ -69,6 +72,7 @@ __all__ = [
     "compare_sources",
     "convert",
     "convert_each",
+    "convert_to",
     "derive_units",
     "discard",
     "distinct_rows",
@@ -94,6 +98,7 @@ __all__ = [
     "mutate",
     "per_capita",
     "price",
+    "quantile_sketches",
     "quoted",
     "ratio_to",
     "recode_and_sum",
@@ -103,6 +108,7 @@ __all__ = [
     "rows_without_match",
     "scale_by",
     "share_of_total",
+    "sketched_quantile",
     "split_by_fractions",
     "split_by_percent",
     "split_by_share",

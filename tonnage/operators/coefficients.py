@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonnage.functions import label, r_divide, recode
+from tonnage.functions import factor, factors_to, listed_units, label, r_divide, recode
 from tonnage.operators.aggregate import group_mean, group_sum
 from tonnage.operators.joins import Keys, join_inner, join_left
 from tonnage.operators.relational import keep, quoted, require, split_missing, wider
@@ -118,6 +118,32 @@ def convert(
     return out if unit is None else out.withColumn("unit", F.lit(unit))
 
 
+def convert_to(
+    df: DataFrame,
+    measure: str,
+    to_unit: str,
+    unit_column: str = "unit",
+    also: Sequence[str] = (),
+    strict: bool = True,
+) -> DataFrame:
+    """Each row from its own unit into one unit, over the steps that the factors need.
+
+    Rows may be in any listed unit that measures the same as to_unit, or in one of also: units
+    with a stroke, such as kg/kW, that are converted part by part. A row without a unit has no
+    value in the new one. A row in another unit stops the job when its value is read; unless
+    strict, it has no value either, and keeps its unit.
+    """
+    units = factors_to(to_unit) if "/" not in to_unit or to_unit in listed_units() else {to_unit: 1.0}
+    units |= {u: factor(u, to_unit) for u in also}
+    rows = convert_each(df, measure, {u: (to_unit, f) for u, f in units.items()}, unit_column)
+    if not strict:
+        return rows
+    other = F.concat(F.lit(f"no factor to {to_unit} for a row in "), quoted(unit_column))
+    kind = rows.schema[measure].dataType
+    fine = quoted(unit_column).isNull() | (quoted(unit_column) == to_unit)
+    return rows.withColumn(measure, F.when(fine, quoted(measure)).otherwise(F.raise_error(other).cast(kind)))
+
+
 def convert_each(
     df: DataFrame, measure: str, factors: Mapping[str, tuple[str, float]], unit_column: str = "unit"
 ) -> DataFrame:
