@@ -134,6 +134,35 @@ def test_scans_and_exchanges(spark, conf, tmp_path):
     assert plan(join_inner(grouped, right, ["k"])).count("Exchange hash") == 3
 
 
+def test_keys_proved_unique_are_not_counted(spark, tmp_path, frame):
+    """Sides that were grouped by the keys are read once each, and the four errors still raise."""
+    from tonnage.operators.joins import proved_unique
+
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(50).selectExpr("id as k", "id % 5 as m", "id * 2 as v").write.parquet(a)
+    spark.range(90).selectExpr("id % 60 as k", "id % 5 as n", "id as w").write.parquet(b)
+    left, right = spark.read.parquet(a), spark.read.parquet(b)
+    sums = right.groupBy("k").agg(F.sum("w").alias("w"))
+    assert proved_unique(sums, ["k"]) and proved_unique(sums, ["k", "w"]) and not proved_unique(sums, ["w"])
+    assert proved_unique(sums.where("w > 3").withColumnRenamed("k", "key").select("w", "key"), ["key"])
+    assert not proved_unique(right, ["k"]) and not proved_unique(right.groupBy("k", "n").count(), ["k"])
+    assert not proved_unique(sums.unionByName(sums), ["k"])
+    assert proved_unique(right.select("k", "n").distinct(), ["n", "k"])
+    assert scans(join_checked(left, sums, ["k"])) == 2
+    assert scans(join_left(left, sums, ["k"], expect="m:1")) == 2
+    assert scans(join_left(left.groupBy("k").agg(F.sum("v").alias("v")), sums, ["k"], expect="1:1")) == 2
+    assert join_checked(left, sums, ["k"]).count() == 50
+    some = sums.where("k < 40")
+    with pytest.raises(Exception, match="no match, or no value"):
+        join_checked(left, some, ["k"]).collect()
+    with pytest.raises(Exception, match="no match, or no value"):
+        join_checked(left, sums.withColumn("w", F.nullif(F.col("w"), F.lit(31))), ["k"]).collect()
+    with pytest.raises(Exception, match="more than once"):
+        join_checked(left, right, ["k"]).collect()
+    with pytest.raises(Exception, match="more than once"):
+        join_left(left, sums, {"m": "k"}, expect="1:1").collect()
+
+
 def test_unmatched_keys(left, right):
     twice = left.unionByName(left)
     assert rows(unmatched_keys(twice, right, ["k"])) == [(3, 2, "left"), (4, 1, "right")]

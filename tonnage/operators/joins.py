@@ -76,6 +76,26 @@ def _repeated_matches(df: DataFrame, keys: Sequence[str], other: DataFrame, othe
     return used.agg(F.count(F.lit(1)).alias("__used")).scalar()
 
 
+def proved_unique(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether df's plan by itself says that no two of its rows have equal keys.
+
+    So it is with keys that df was grouped by or made distinct on, also after filters, renaming
+    and joins that add no rows. Spark's optimizer works this out, without reading any data.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    output = plan.output()
+    names = {output.apply(i).exprId().id(): name for i, name in enumerate(df.columns)}
+    sets = plan.distinctKeys().iterator()
+    while sets.hasNext():
+        members, found = sets.next().iterator(), set()
+        while members.hasNext():
+            member = members.next()
+            found.add(names.get(member.exprId().id()) if member.nodeName() == "AttributeReference" else None)
+        if found <= set(keys):
+            return True
+    return False
+
+
 def _guarded(df: DataFrame, columns: Sequence[str], fine: Column, message: str) -> DataFrame:
     """df with columns that raise unless fine is true."""
     stop = F.raise_error(F.lit(message))
@@ -95,9 +115,13 @@ def _check_expectation(
         raise ValueError(f"expect is m:m, m:1 or 1:1, not {expect}")
     if expect == "m:m":
         return joined
-    fine = _repeated_matches(right, list(pairs.values()), left, list(pairs)) == 0
+    sides = [(right, list(pairs.values()), left, list(pairs))]
     if expect == "1:1":
-        fine = fine & (_repeated_matches(left, list(pairs), right, list(pairs.values())) == 0)
+        sides.append((left, list(pairs), right, list(pairs.values())))
+    tests = [_repeated_matches(*x) == 0 for x in sides if not proved_unique(*x[:2])]
+    if not tests:
+        return joined
+    fine = reduce(lambda a, b: a & b, tests)
     fetched = [c for c in right.columns if c not in pairs.values()]
     return _guarded(joined, fetched or left.columns, fine, f"a key of {list(pairs)} occurs more than once")
 
@@ -125,7 +149,7 @@ def join_left(
     The left names of the keys survive. Other names that both sides use get a
     suffix. With expect "m:1" or "1:1" fetched values raise when they are read and a
     row of left found a key that occurs more than once; repeated keys that no row
-    asks for are fine. nulls="never" leaves missing keys without a match.
+    asks for are fine, and a side whose plan proves its keys unique is not counted. nulls="never" leaves missing keys without a match.
     """
     return _join(left, right, on, expect, suffixes, nulls, "left")
 
@@ -189,7 +213,9 @@ def join_checked(
     Each fetched value raises when its row has no match, when a row found a repeated key,
     and, unless the column is named in `may_be_missing`, when the value is missing. The
     check sits in the values, since Spark prunes one that nobody reads; columns of left
-    named in `guarded` carry it as well, for callers that compute with those.
+    named in `guarded` carry it as well, for callers that compute with those. Where right's plan
+    proves its keys unique (see `proved_unique`), each side is read once; else the key columns
+    are read again to be counted.
     """
     pairs = _key_pairs(left, right, on)
     left, right = _add_suffixes(left, right, pairs, suffixes)
@@ -197,7 +223,8 @@ def join_checked(
     fetched = [c for c in right.columns if c not in pairs.values()]
     if not fetched:
         raise ValueError("the right side has no column besides its keys")
-    repeated = _repeated_matches(right, list(pairs.values()), left, list(pairs))
+    proved = proved_unique(right, list(pairs.values()))
+    repeated = F.lit(0) if proved else _repeated_matches(right, list(pairs.values()), left, list(pairs))
     marked = _right_keys(right, pairs).withColumn(_MATCHED, F.lit(True))
     joined = left.join(marked, _same_keys(pairs), "left")
     matched = F.col(_MATCHED).isNotNull()
