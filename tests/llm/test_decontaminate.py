@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import time
+import tracemalloc
 
 import pytest
 from samples import corpus, prose
@@ -106,3 +108,63 @@ def test_upper_case_beyond_ascii():
     assert len(mixed) == len(whole)
     # One code point stays one, also where a language's upper case has two letters.
     assert len(code_points("İıßẞſΣςµ\t𐐀😀")) == 11 and plain("ςσΣ ſsS ıIi ßẞ 𐐀") == "σσσ sss iii ßß 𐐨"
+
+
+def windows_of(found):
+    return {n for n, _, _ in found}
+
+
+@pytest.mark.parametrize("hits", [50, 2000])
+def test_halves_hold_the_same_windows(items, monkeypatch, hits):
+    index = D.Index(tuple(items))
+    rng = random.Random(hits)
+    text = " ".join(rng.choice([t[rng.randrange(20):][:90] for _, t in items] + [prose(rng.randrange(99), 9)]) for _ in range(60))
+    points = code_points(text)
+    whole = index._find(points)
+    monkeypatch.setattr(D, "MOST_HITS", hits)
+    parts = index._find(points)
+    assert windows_of(parts) == windows_of(whole) and len(windows_of(whole)) > 20
+    # At a cut a passage may be reported by its part on one side, as far as the edits allow.
+    for number, start, end in set(parts) - set(whole):
+        window = index.windows[number]
+        wanted = index.points[window.item][window.start : window.start + window.length]
+        assert edit_distance(points[start:end].tolist(), wanted.tolist()) <= window.edits
+
+
+@pytest.mark.parametrize("unit", ["-", "ab "])
+def test_long_stretches_are_cut_without_loss(unit):
+    run = (unit * 450)[:450]
+    items = ((1, "Fill in the form below: " + run[:150] + " and sign it at the end of the page."), (2, "abc " * 30), (3, run[:60]))
+    index = D.Index(items)
+    text = prose(5, 40) + " form below: " + run + " and sign it at the end of the page. " + prose(6, 30) + run[1:] + "x" + run
+    points = code_points(text)
+    short, place = D.shortened(points)
+    assert len(short) < len(points) - 400 and (points[place] == short).all()
+    whole = index._find(points)
+    assert windows_of(index.find(points)) == windows_of(whole) and whole
+    for number, start, end in index.find(points):
+        window = index.windows[number]
+        wanted = index.points[window.item][window.start : window.start + window.length]
+        assert abs((end - start) - len(wanted)) <= window.edits
+        assert edit_distance(points[start:end].tolist(), wanted.tolist()) <= window.edits
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, above = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, above[j] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_time_and_memory_follow_a_repetitive_text():
+    """Half a million characters of one stretch, and a phrase that text and item repeat."""
+    index = D.Index(((1, "form: " + "-" * 150 + " sign"), (2, "now and then " * 14)))
+    for text, item in (("-" * 500_000, 0), ("now and then " * 600, 1)):
+        tracemalloc.start()
+        start = time.time()
+        found = D._leaks(index, [text])[0]
+        assert time.time() - start < 60 and tracemalloc.get_traced_memory()[1] < 500e6
+        tracemalloc.stop()
+        assert {index.windows[n].item for n in found} == {item}

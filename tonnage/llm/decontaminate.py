@@ -34,6 +34,11 @@ PIECE = 1 << 19
 TABLE_BITS = 24
 #: Windows aligned at once.
 ALIGNED = 1 << 12
+#: A stretch that repeats so few characters over and over is cut down to this length, where it is longer.
+PERIODS = range(1, 9)
+STRETCH = 256
+#: Places of a text times places of items that are lined up at once; texts with more are halved.
+MOST_HITS = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5
 
@@ -73,6 +78,32 @@ def gram_codes(points: np.ndarray) -> np.ndarray:
     return mix(codes)
 
 
+def shortened(points: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """points without the inside of long stretches of one short period, and where each that is left stood.
+
+    What is cut out is a multiple of the period, and what stays is several times as long as a window
+    with its edits, so every passage of a window's length that was there still is, and no other.
+    """
+    place = None
+    for period in PERIODS:
+        if len(points) <= STRETCH:
+            break
+        # Stretches run between two characters that differ from the one a period before.
+        other = np.flatnonzero(points[period:] != points[:-period])
+        edges = np.concatenate([[-1], other, [len(points) - period]])
+        length = np.diff(edges) - 1
+        long = np.flatnonzero(length > STRETCH)
+        if not len(long):
+            continue
+        keep = np.ones(len(points), bool)
+        for i in long.tolist():
+            start = int(edges[i]) + 1 + STRETCH // 2
+            keep[start : start + (int(length[i]) - STRETCH) // period * period] = False
+        place = np.flatnonzero(keep) if place is None else place[keep]
+        points = points[keep]
+    return points, place
+
+
 @dataclass
 class Window:
     item: int
@@ -149,19 +180,37 @@ class Index:
         np.add.at(edges, begin + span, -1)
         return np.flatnonzero(likely & (np.cumsum(edges)[: len(codes)] > 0))
 
-    def _hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the text and entries of the index that share a gram."""
+    def _shared(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the text whose gram items hold, and the first and the number of its entries in the index."""
         at = self._dense(codes)
         low = np.searchsorted(self.codes, codes[at], "left")
-        many = np.searchsorted(self.codes, codes[at], "right") - low
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        return np.repeat(at, many), entry
+        return at, low, np.searchsorted(self.codes, codes[at], "right") - low
 
     def find(self, points: np.ndarray) -> list[tuple[int, int, int]]:
-        """Rows (window, start, end): windows that the text holds within their edits, and where."""
+        """Rows (window, start, end): windows that the text holds within their edits, and where.
+
+        A window that a text holds often is reported at some of its places, at one at least.
+        """
         if not self.windows or len(points) < Q:
             return []
-        at, entry = self._hits(gram_codes(points))
+        points, place = shortened(points)
+        found = self._find(points)
+        if place is None:
+            return found
+        # Inside a stretch the characters go on as they would have without the cut.
+        place = np.append(place, place[-1] + 1)
+        return [(n, int(place[a]), int(place[a]) + b - a) for n, a, b in found]
+
+    def _find(self, points: np.ndarray) -> list[tuple[int, int, int]]:
+        at, low, many = self._shared(gram_codes(points))
+        overlap = WINDOW + 8 * (self.most_edits + 2)
+        if many.sum() > MOST_HITS and len(points) > 8 * overlap:
+            middle = len(points) // 2
+            right = self._find(points[middle - overlap :])
+            shift = middle - overlap
+            return self._find(points[: middle + overlap]) + [(n, a + shift, b + shift) for n, a, b in right]
+        entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        at = np.repeat(at, many)
         # Bands of width diagonals that overlap by half: diagonals as near as the edits share one.
         half = self.most_edits + 1
         item, place = np.tile(self.item[entry], 2), np.tile(self.place[entry], 2)
