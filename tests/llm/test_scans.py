@@ -8,7 +8,7 @@ import time
 from samples import corpus, prose
 
 from tonnage.llm.licences import PHRASES, TEMPLATES, SuffixAutomaton, scan_licences
-from tonnage.llm.secret_scan import literal_spans, scan_secrets
+from tonnage.llm.secret_scan import apart, literal_spans, scan_secrets
 
 
 def test_matching_statistics_against_brute_force():
@@ -144,3 +144,28 @@ def test_time_follows_the_text():
         begin = time.perf_counter()
         literal_spans(text)
         assert time.perf_counter() - begin < 20
+
+
+def test_spans_apart_from_base_spans():
+    rng = random.Random(9)
+    for _ in range(300):
+        base = sorted((a, rng.randrange(3), a + rng.randrange(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(7))))
+        spans = [(a, a + rng.randrange(1, 9), 0.5) for a in (rng.randrange(60) for _ in range(9))]
+        assert apart(spans, base) == [x for x in spans if not any(a < x[1] and x[0] < b for a, _, b in base)]
+
+
+def test_many_base_spans_and_literals_in_one_text(documents):
+    text = "".join(f'token = "aB{i:06}zz"\npwd = "xY{i:06}kk"\n' for i in range(30_000))
+    start = time.time()
+    row = scan_secrets(documents([(1, text, "a")])).collect()[0]
+    assert time.time() - start < 60
+    assert row.n_assign == 30_000 and row.spans.count("literal") == 30_000
+
+
+def test_phrases_by_their_names():
+    def found(text):
+        return [text[a:b] for a, b, _ in literal_spans(text)]
+
+    assert found('passphrase = "correct horse battery staple9"') == ["correct horse battery staple9"]
+    assert found('seed_phrase_secret: "Ivory 7 lamp Orbit zebra 3"') == ["Ivory 7 lamp Orbit zebra 3"]
+    assert found('pwd_note = "ask the Admin for the 2 words"') == []

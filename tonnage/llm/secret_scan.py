@@ -12,9 +12,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +61,9 @@ REFERENCE = re.compile(
     r"""|\A(?:\{[\w.]*+\}|<[A-Za-z][\w\x20.:-]*+>|%[A-Z_][A-Z0-9_]*+%|%[sd])\Z"""
 )
 
+#: Names that hold several words.
+PHRASES = {"passphrase", "phrase", "mnemonic", "seed"}
+
 # Repeats are possessive: they take all there is and never give back, so no length needs a bound.
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
 LITERAL = r""""(?:[^"\\\n]++|\\.)*+"|'(?:[^'\\\n]++|\\.)*+'"""
@@ -107,10 +112,13 @@ def own_part(literal: str) -> str:
     return literal if len(pieces) == 1 else "".join(p for p in pieces if any(c.isdigit() for c in p))
 
 
-def secrecy(counts: Counter[str]) -> float:
-    """How much the characters of a literal look like a secret, 0 to 1: many and varied."""
+def secrecy(counts: Counter[str], phrase: bool = False) -> float:
+    """How much the characters of a literal look like a secret, 0 to 1: many and varied.
+
+    More than two blanks make prose of it, unless it is meant to be a phrase.
+    """
     size = counts.total()
-    if size < LEAST_ASSIGNED or counts[" "] > 2:
+    if size < LEAST_ASSIGNED or counts[" "] > 2 and not phrase:
         return 0.0
     shares = [n / size for n in counts.values()]
     entropy = -sum(p * math.log2(p) for p in shares)
@@ -184,7 +192,7 @@ def literal_spans(text: str) -> list[tuple[int, int, float]]:
         order.append(value)
         # A literal put together from several is as secret as the whole is.
         if level := sensitivity(pair["name"]):
-            value.score = level * secrecy(_characters(text, value))
+            value.score = level * secrecy(_characters(text, value), bool(PHRASES & set(name_words(pair["name"]))))
     # A value is made of earlier ones only, so from the last on each is done before its parts.
     found: list[tuple[int, int, float]] = []
     for value in reversed(order):
@@ -194,6 +202,14 @@ def literal_spans(text: str) -> list[tuple[int, int, float]]:
     return sorted(found)
 
 
+def apart(spans: list[tuple[int, int, float]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:
+    """The spans (start, end, score) that touch none of base (start, kind, end), which is in order of starts."""
+    starts = [a for a, _, _ in base]
+    # Of the base spans that begin before a span's end, one reaches it if the furthest does.
+    furthest = [0, *accumulate((b for _, _, b in base), max)]
+    return [x for x in spans if furthest[bisect_left(starts, x[1])] <= x[0]]
+
+
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{a}:{b}" for a, kind, b in sorted(spans))
 
@@ -222,7 +238,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if marks[i]:
                 text = batch.column("text")[i].as_py()
                 base = base_spans(text)
-                literals = [x for x in literal_spans(text) if not any(a < x[1] and x[0] < b for a, _, b in base)]
+                literals = apart(literal_spans(text), base)
             kinds = Counter(kind for _, kind, _ in base)
             spans = base + [(a, 3, b) for a, b, _ in literals]
             digest = hashlib.sha256(_joined(base).encode()).hexdigest()
@@ -240,6 +256,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     n_assign, n_access and n_hex count the base patterns, base_sha256 is the digest of their spans
     kind:start:end, in code points, joined by commas. spans adds, as kind literal, the literals that
     reach a sensitive name and touch no base span; top_score is the greatest of their scores, else 0.
+    A literal with more than two blanks counts as prose, unless its name asks for a phrase. Time
+    follows the length of a text.
     A null text counts as empty. Rows are scanned one by one; other columns are ignored.
     """
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, top_score double"
