@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +69,16 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         _delete(df.sparkSession, path)
 
 
+def staged_alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """What build returns, staged, while all that build staged on the way is deleted."""
+    before = set(_staged)
+    table = stage(build())
+    for path in [p for p in _staged[:-1] if p not in before]:
+        _staged.remove(path)
+        _delete(spark, path)
+    return table
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
