@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tonnage.llm.components import components
 from tonnage.llm.words import LOWER, Texts, blocks, sequence_hashes, whole_windows, window_hashes, words_of
-from tonnage.sources.staging import stage
+from tonnage.sources.staging import stage, staged_alone
 
 SHINGLE = 5
 PERCENT = 75
@@ -200,8 +200,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     A null or wordless text has an empty set, links with nothing and is kept. A row without
     doc_id links with nothing, has no component and is kept. Repeated rows get one row each.
     A doc_id that carries several texts and is the smallest in their components joins them.
-    Other columns are ignored. Shingles are compared as 64-bit hashes.
+    Other columns are ignored. Shingles are compared as 64-bit hashes. The result is staged; what
+    it was made from is deleted.
     """
+    return staged_alone(docs.sparkSession, lambda: _near_duplicates(docs, size, percent))
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketches = stage(docs.mapInArrow(_sketches(size), "doc_id long, n_shingles long, digest binary, sketch binary"))
     usable = sketches.where("doc_id is not null and n_shingles > 0")
