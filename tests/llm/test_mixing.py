@@ -74,3 +74,27 @@ def test_mix_repeats_rows(documents):
     for r in mixed.collect():
         got[(r.doc_id, r.text)] += 1
     assert sum(got.values()) == sum(copies.values()) and max(got.values()) <= 2
+
+
+def test_equal_rows_share_their_copies(spark, documents):
+    # Rates below a half took none of them, when each got the rounded mean.
+    rows = [(7, "one two three", "c")] * 900 + [(i, prose(i, 3), "c") for i in range(100, 200)]
+    rows += [(i, prose(i, 30), "ab"[i % 2]) for i in range(1000, 1040)]
+    docs = documents(rows)
+    for weights in ((5, 2, 1), (50, 50, 1)):
+        found = mixture(docs, weights=weights).collect()
+        want = sum(r.copies for r in found if r.doc_id == 7)
+        got = mix(docs, weights=weights).collect()
+        assert sum(r.doc_id == 7 for r in got) == want > 0
+        assert len(got) == sum(r.copies for r in found)
+
+
+def test_mix_with_clashing_names_and_columns_that_differ(spark):
+    names = ["doc_id", "text", "source", "key", "copies", "part", "__key", "last", "a.b"]
+    rows = [(7, "x y", "a", i % 5, i, 1, 2, 3, i) for i in range(40)] + [(i, "z", "a", 1, 1, 1, 1, 1, 1) for i in range(9)]
+    docs = spark.createDataFrame(rows, names)
+    mixed, found = mix(docs), mixture(docs).collect()
+    assert mixed.columns == names
+    got = [tuple(r) for r in mixed.collect()]
+    assert len(got) == sum(r.copies for r in found) and set(got) <= set(rows)
+    assert max(got.count(r) for r in rows) <= 2

@@ -27,6 +27,9 @@ COLUMNS = {
     "op8": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op9": "doc_id item_id",
     "op10": "doc_id size source_size target taken",
+    "op11": "item_id rank doc_id score",
+    "op12": "query_id rank vec_id score",
+    "op13": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 

@@ -3,8 +3,7 @@
 Every document of a source is due the same number of copies, the source's target over its
 size. Lined up by size, the copies due are summed, one random offset is added, and a document
 is taken once for each whole number its stretch crosses. As neighbours in line are of about
-the same size, the words taken differ from the target by about one document. Of a few offsets,
-evenly spread from a random one, the one that comes nearest to the target is used.
+the same size, the words taken differ from the target by about one document.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST_COPIES = 2
 SEED = "mix-1"
-OFFSETS = 16
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,58 +73,71 @@ def targets(
     return levels.select("source", "source_size", F.round(target, 6).alias("target"))
 
 
-def offset(source: Column, seed: str, turn: int | Column) -> Column:
-    """The offset of a source at a turn of OFFSETS: evenly spread in [0, 1) from a random one, the same in every run."""
+def offset(source: Column, seed: str) -> Column:
+    """The random offset of a source in [0, 1), the same in every run."""
     digits = F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(source, F.lit("")))), 1, 8)
-    start = F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0) + turn / F.lit(float(OFFSETS))
-    return start - F.floor(start)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def _copies(seed: str, turn: int | Column) -> Column:
-    """Whole numbers that a row's stretch of copies due crosses, moved by an offset."""
+def _copies(seed: str) -> Column:
+    """Whole numbers that a row's stretch of copies due crosses, moved by the offset of its source."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    start = offset(F.col("source"), seed, turn)
-    return F.floor(F.col("last") * rate + start) - F.floor((F.col("last") - 1) * rate + start)
+    start = offset(F.col("source"), seed)
+    return (F.floor(F.col("last") * rate + start) - F.floor((F.col("last") - 1) * rate + start)).cast("int")
+
+
+def _lined(rows: DataFrame, group: str, *order: str, count: str = "1") -> DataFrame:
+    """rows, staged, with last: the running total of count within group, lined up by order.
+
+    The range exchange deals any group over as many tasks as its rows need; what comes before a
+    task's rows is summed from one row per group and task.
+    """
+    lined = rows.repartitionByRange(F.col(group).asc_nulls_last(), *order)
+    lined = stage(lined.withColumn("part", F.spark_partition_id()))
+    earlier = W.partitionBy("of").orderBy("in").rowsBetween(W.unboundedPreceding, -1)
+    parts = lined.groupBy(F.col(group).alias("of"), F.col("part").alias("in")).agg(F.sum(F.expr(count)).alias("rows"))
+    parts = parts.select("of", "in", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    within = W.partitionBy("part", group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    placed = lined.withColumn("at", F.sum(F.expr(count)).over(within))
+    placed = placed.join(parts, F.col(group).eqNullSafe(F.col("of")) & (F.col("part") == F.col("in")))
+    return placed.withColumn("last", F.col("before") + F.col("at")).drop("of", "in", "before", "at", "part")
 
 
 def mixture(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     """doc_id, source, key, size, source_size, target and copies of each row of docs.
 
     copies is how often the mix takes the row, 0 to 2 by default. Null counts as a source of its
-    own. Rows of a source line up by size and doc_id; equal rows stand next to each other, so
+    own. Rows of a source line up by size, doc_id and key; equal rows stand next to each other, so
     the result does not depend on how docs is stored. A source without words gets no copies.
     Columns other than doc_id, source and text are ignored.
     """
-    # The range exchange deals any source over as many tasks as its rows need.
-    keys = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id")]
-    lined = stage(sizes(docs).repartitionByRange(*keys).withColumn("part", F.spark_partition_id()))
-    goals = stage(targets(lined.groupBy("source").agg(F.sum("size").alias("source_size")), **how))
-    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
-    parts = lined.groupBy("source", "part").agg(F.count("*").alias("rows"))
-    parts = parts.select(F.col("source").alias("of"), F.col("part").alias("in"), before)
+    # Staged, as the range exchange reads its rows twice: for the bounds and to deal them out.
+    sized = stage(sizes(docs))
+    goals = stage(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **how))
     goals = goals.withColumnRenamed("source", "of")
-    within = W.partitionBy("part", "source").orderBy("size", "doc_id")
-    placed = lined.withColumn("at", F.row_number().over(within))
-    same = F.col("source").eqNullSafe(F.col("of"))
-    placed = placed.join(parts, same & (F.col("part") == F.col("in"))).drop("of", "in")
-    placed = placed.join(goals, same).drop("of")
-    placed = stage(placed.withColumn("last", F.col("before") + F.col("at")).drop("before", "at", "part"))
-    tries = [F.sum(F.col("size") * _copies(seed, F.lit(k))) for k in range(OFFSETS)]
-    errors = [F.struct(F.abs(t - F.first("target")).alias("error"), F.lit(k).alias("turn")) for k, t in enumerate(tries)]
-    turns = stage(placed.groupBy("source").agg(F.array_min(F.array(*errors))["turn"].alias("turn")))
-    turns = turns.withColumnRenamed("source", "of")
-    placed = placed.join(turns, F.col("source").eqNullSafe(F.col("of")))
-    copies = _copies(seed, F.col("turn")).cast("int").alias("copies")
-    return placed.select("doc_id", "source", "key", "size", "source_size", "target", copies)
+    placed = _lined(sized, "source", "size", "doc_id", "key")
+    placed = placed.join(goals, F.col("source").eqNullSafe(F.col("of")))
+    return placed.select("doc_id", "source", "key", "size", "source_size", "target", _copies(seed).alias("copies"))
 
 
 def mix(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     """docs with all its columns, each row as often as the mixture takes it.
 
-    Rows equal in doc_id, source and text are all taken equally often, the mean of their copies.
+    Rows equal in doc_id, source and text share the copies that the mixture takes of them as evenly
+    as whole numbers allow, so the source still meets its target. Any names of columns will do.
     """
-    taken = mixture(docs, seed, **how).groupBy("key").agg(F.round(F.avg("copies")).cast("int").alias("copies"))
-    taken = stage(taken.where("copies > 0")).withColumnsRenamed({"key": "__key", "copies": "__copies"})
-    rows = docs.join(taken, row_key(docs) == F.col("__key"))
-    return rows.withColumn("__copies", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    renamed = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    rows = docs.select(*renamed, row_key(docs).alias("key"))
+    taken = mixture(docs, seed, **how).groupBy("key").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    taken = stage(taken.where("copies > 0"))
+    once = rows.join(taken.where("rows = 1").drop("rows"), "key").select(*names, F.col("copies").cast("long"))
+    # Rows that are equal in all columns are one row with a number; of the others few share a key.
+    again = rows.join(taken.where("rows > 1").select("key"), "key", "left_semi")
+    again = again.groupBy("key", *names).agg(F.count("*").alias("number"))
+    again = _lined(again.withColumn("order", F.xxhash64(*names)), "key", "order", count="number")
+    again = again.join(taken, "key")
+    upto = "(last * copies) div rows - ((last - number) * copies) div rows"
+    both = once.unionByName(again.select(*names, F.expr(upto).alias("copies")).where("copies > 0"))
+    both = both.withColumn("turn", F.explode(F.sequence(F.lit(1), "copies")))
+    return both.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
