@@ -80,6 +80,15 @@ SECRETS = [
 ]
 
 
+def test_a_match_that_jumps_ahead_blocks_no_other(documents):
+    words = [f"w{i}" for i in range(40)]
+    notice = (("own", " ".join(words)),)
+    text = " ".join(words[:10] + words[36:] + words[10:36])
+    row = scan_licences(documents([(1, text, "a"), (2, " ".join(words[10:36]), "a")]), notice, ()).orderBy("doc_id").collect()
+    assert [r.labels for r in row] == ["own", ""]
+    assert abs(row[0].score - 0.9) < 1e-9 and [(s.start, s.end) for s in row[0].spans] == [(0, 40)]
+
+
 def test_secrets_against_brute_force(documents):
     rng = random.Random(3)
     parts = ["token", "secret", "AKIA", "=", ":", " ", "'", "a1", "Z", "f" * 11, "password", "-", "\n", "é"]

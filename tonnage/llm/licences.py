@@ -135,6 +135,9 @@ class SuffixAutomaton:
 
 @dataclass
 class _Chain:
+    """The best chain that ends with one match; first is the match that it begins with."""
+
+    first: int
     start: int
     end: int
     of_end: int
@@ -183,25 +186,36 @@ class Scanner:
             yield t, a, at[a:b].tolist()
 
     def notices(self, runs: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, float]]:
-        """(template, start, end, covered share) of the best chain of each template and place."""
+        """(template, start, end, covered share) of the best chain of each template and first match.
+
+        Every match takes the best of all chains that it can go on, and leaves them as they are for
+        others. Matches come by their ends, so those within GAP of a match are the last ones.
+        """
         chains: dict[int, list[_Chain]] = {}
         for base, words in runs:
             for end, length, state in self.automaton.matches(words, LEAST_MATCH):
                 for template, of_end in self.automaton.ends[state]:
                     start, stop, of_start = base + end - length, base + end, of_end - length
                     mine = chains.setdefault(template, [])
-                    for chain in mine[-4:]:
+                    best = _Chain(len(mine), start, stop, of_end, length)
+                    for chain in reversed(mine):
+                        if start - chain.end > GAP:
+                            break
                         # A match may begin inside the chain, in the text and in the template alike.
                         over = max(chain.end - start, chain.of_end - of_start, 0)
                         onward = stop > chain.end and of_end > chain.of_end
-                        if onward and over < length and start - chain.end <= GAP:
-                            chain.covered += length - over
-                            chain.end, chain.of_end = stop, of_end
-                            break
-                    else:
-                        mine.append(_Chain(start, stop, of_end, length))
-        found = [(t, c.start, c.end, c.covered / self.sizes[t]) for t, many in chains.items() for c in many]
-        return sorted(x for x in found if x[3] > 0)
+                        covered = chain.covered + length - over
+                        if onward and over < length and covered > best.covered:
+                            best = _Chain(chain.first, chain.start, stop, of_end, covered)
+                    mine.append(best)
+        found = []
+        for template, many in chains.items():
+            longest: dict[int, _Chain] = {}
+            for chain in many:
+                if chain.first not in longest or chain.covered > longest[chain.first].covered:
+                    longest[chain.first] = chain
+            found += [(template, c.start, c.end, c.covered / self.sizes[template]) for c in longest.values()]
+        return sorted(found)
 
 
 @lru_cache(maxsize=2)
