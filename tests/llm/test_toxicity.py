@@ -45,6 +45,15 @@ def test_held_out_accuracy(labelled):
     assert sum(r.predicted == (r.doc_id % 4 == 0) for r in out) >= 0.97 * len(out)
 
 
+def test_all_entries_that_qualify_are_kept(spark, documents):
+    # 900 bad words, 90 in each toxic document in turn.
+    bad = [f"bad{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100]}x" for i in range(900)]
+    rows = [(i, prose(i, 30) + " " + " ".join(bad[i * 10 % 900 :][:90] if i % 2 else []), "a") for i in range(600)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(600)], "doc_id long, quality int, toxic int")
+    weights = learn(documents(rows), marks).weights
+    assert all(any(f" {w} ".startswith(x) and v > 0 for x, v in weights.items()) for w in bad)
+
+
 def test_held_out_labels_are_not_used(labelled):
     docs, labels = labelled
     turned = labels.selectExpr("doc_id", "quality", "if(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, 1 - toxic, toxic) as toxic")

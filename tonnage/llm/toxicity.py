@@ -36,7 +36,6 @@ LEAST_WEIGHT = 2.5
 SPECIFIC = 0.9
 #: Share of toxic ones among the documents with an entry from which one hit is enough.
 CERTAIN = 0.95
-MOST_ENTRIES = 5000
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = str.maketrans("аеіјорсухѕһԁɡӏαεικνορτυχıɩʟ", "aeijopcyxshdglaeikvoptuxiil")
@@ -198,7 +197,9 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> L
     """A lexicon from at most most labelled documents of each label, those whose doc_id hashes lowest.
 
     The line of the score is fitted on the same documents, weighted to the share of toxic labels
-    among all rows that may be learned from. With labels of one kind only, the lexicon is empty
+    among all rows that may be learned from. All entries that qualify are kept: one is in at least
+    LEAST_SHARE of the toxic sample, so there are at most 1 / LEAST_SHARE times as many as a toxic
+    document has on average. With labels of one kind only, the lexicon is empty
     and every score is that share, which is 0 without labels.
     """
     usable = training_rows(labels)
@@ -219,13 +220,13 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCUMENTS) -> L
     ratio = (F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1))
     enough = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)
     strong = counts.where((F.col("toxic") >= enough) & (ratio >= float(np.exp(LEAST_WEIGHT))))
-    strong = stage(strong.orderBy(F.desc(ratio), "entry").limit(MOST_ENTRIES))
+    strong = stage(strong)
     # Clean words and beginnings that start like a strong entry: its exceptions.
     starts = strong.select("entry").where("entry not like '% '").withColumnRenamed("entry", "start")
     begins = counts.withColumn("start", F.explode(F.array(*[F.substring("entry", 1, n + 1) for n in BEGINNINGS])))
     mild = (F.col("clean") >= LEAST_DOCUMENTS) & (ratio < float(np.exp(LEAST_WEIGHT / 2)))
     softer = begins.where(mild & (F.col("entry") != F.col("start"))).join(F.broadcast(starts), "start")
-    softer = softer.select(*counts.columns).distinct().orderBy(F.desc("clean"), "entry").limit(MOST_ENTRIES)
+    softer = softer.select(*counts.columns).distinct()
     rows = strong.collect()
     kept = _kept_entries(rows + softer.collect(), clean, toxic)
     kept |= {f" {x} ": 0.0 for x in EXCEPTIONS}
