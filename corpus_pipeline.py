@@ -6,6 +6,8 @@ tables, and works on all of them. All but the last return the columns of documen
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +18,7 @@ from tonnage.llm.quality import keep_good, train
 from tonnage.llm.queries import END_OF_TEXT, TOKENIZER, table
 from tonnage.llm.ship import workers_find_library
 from tonnage.llm.tokens import read_documents, write_tokens
-from tonnage.sources.staging import stage
+from tonnage.sources.staging import staged
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +64,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents table; each works on what the one before it wrote."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply all stages to the documents table; each works on what the one before it wrote.
+
+    What a stage wrote is deleted once the next one has written, so no more than two are kept.
+    """
+    docs, kept = table(spark, sf_dir, "documents"), ExitStack()
     for _, work in STAGES[:-1]:
-        docs = stage(work(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        written = ExitStack()
+        docs = written.enter_context(staged(work(spark, docs, sf_dir)))
+        kept.close()
+        kept = written
+    # The last stage has written its shards when it returns.
+    with kept:
+        return STAGES[-1][1](spark, docs, sf_dir)
