@@ -116,3 +116,34 @@ def test_shingles_of_short_texts():
     sets = shingle_sets(texts_of(pa.array(["", None, "a b", "A  B", "a b c d e", "a b c d e f"])), 5)
     assert [len(s) for s in sets] == [0, 0, 1, 1, 1, 2]
     assert sets[2] == sets[3]
+
+
+def test_boilerplate_below_the_threshold(documents):
+    """Very many documents that share most of their text, but not enough, and a few that do."""
+    rng = random.Random(4)
+    shared = prose(3, 100).split()
+    rows = []
+    for i in range(20_000):
+        own = [f"w{i}_{j}" for j in range(18 + i % 3)]
+        rows.append((i, " ".join(shared + own), "a"))
+    for i in range(40):
+        copy = rows[i * 37][1].split()
+        copy[-1] = f"z{i}"
+        rows.append((100_000 + i, " ".join(copy), "b"))
+    rng.shuffle(rows)
+    found = {r.doc_id: r.component_id for r in near_duplicates(documents(rows)).collect()}
+    want = {i: i for i in range(20_000)} | {100_000 + i: i * 37 for i in range(40)}
+    assert found == want
+
+
+def test_boilerplate_around_the_threshold(documents):
+    """Shared passages of several lengths, so that classes link through their smallest documents."""
+    rng = random.Random(8)
+    passages = [prose(n, 60 + 5 * n).split() for n in range(3)]
+    rows = []
+    for i in range(150):
+        body = list(passages[i % 3])
+        if i % 4 == 1:
+            body[rng.randrange(len(body))] = f"c{i % 8}"
+        rows.append((i, " ".join(body + [f"w{i}_{j}" for j in range(rng.randrange(4, 16))]), "a"))
+    assert order(run(documents(rows))) == order(brute(rows))

@@ -8,8 +8,8 @@ others, in an order that is the same for all sets.
 
 Documents with equal shingle sets become one node. In every band each node is paired with
 the band's least node, and of its pairs the most promising is checked. Links make components.
-Nodes that share a band with a node of another component are then joined exactly, by the
-rarest shingles of their sets (see _between_components), so a link that could join two
+Nodes that share a band with a node of another component are then joined exactly, class by class
+of equal shared shingles, by the rarest of these (see _between_components), so a link that could join two
 components is never left out. Only pairs inside a component go unseen.
 """
 
@@ -248,11 +248,13 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def _between_components(docs: DataFrame, shared: DataFrame, found: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between nodes that share a band, or are near others that do, in different components.
 
-    Two linked sets of n and m shingles have at least t = (n + m) * percent / (100 + percent) in
-    common. With the shingles of all sets in one order, each set's first n - n * percent / 100 + 1
-    then share one. Shingles of one component only come first in the order: they are in no other
-    set and pair nothing. Of the others the rarer come first, so few sets meet at a shingle. A
-    pair also needs t shingles that other components have, and t from the shared one on.
+    Only shingles that several components hold can join two of them, so nodes that hold the same
+    such shingles make a class, however many they are: a passage that very many documents copy is
+    one class or few. Two nodes are linked if what their classes have in common, o, reaches
+    (n + m) * percent / (100 + percent), so a class's smallest node has every link that another
+    node of it has. Classes are joined by their smallest nodes, and each other node gets the
+    partner that lets the largest nodes in: its class's smallest node if that is near enough, or
+    the smallest node of the class that reaches farthest. No component is lost by that.
     """
     placed = shared.join(found, "node", "left")
     placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -269,19 +271,70 @@ def _between_components(docs: DataFrame, shared: DataFrame, found: DataFrame, si
         single.join(rarity, "shingle")
         .groupBy("node", "component", "n")
         .agg(F.array_sort(F.collect_list(F.struct("sets", "shingle"))).alias("common"))
+        # A partner has at least percent / 100 of the node's size, so that much must be in common.
+        .where(f"100 * size(common) >= n * {percent}")
+        .select("node", "component", "n", F.expr("transform(common, x -> x.shingle)").alias("common"))
+    )
+    name = F.md5(F.array_join(F.col("common").cast("array<string>"), ","))
+    ordered = stage(ordered.withColumn("class", name))
+    least = ordered.groupBy("class").agg(
+        F.min(F.struct("n", "node")).alias("least"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
     )
+    least = stage(least.select("class", "low", "high", F.col("least.node").alias("smallest"), F.col("least.n").alias("least_n")))
+    pairs = _linked_classes(ordered, least, percent)
+    members = ordered.select("node", "class", "n", F.size("common").alias("c")).join(least, "class")
+    members = members.where("node != smallest")
+    inside = members.where(f"(n + least_n) * {percent} <= c * {100 + percent}")
+    # How large a node of a class may be to be linked with the other class's smallest one.
+    reach = pairs.select(
+        F.col("a").alias("smallest"), F.col("b").alias("other"), F.expr(f"common * {100 + percent} div {percent} - n_b").alias("reach")
+    ).unionByName(
+        pairs.select(
+            F.col("b").alias("smallest"), F.col("a").alias("other"), F.expr(f"common * {100 + percent} div {percent} - n_a").alias("reach")
+        )
+    )
+    farthest = reach.groupBy("smallest").agg(F.max(F.struct("reach", "other")).alias("far"))
+    outside = members.join(farthest, "smallest").where("n <= far.reach")
+    return stage(
+        pairs.select("a", "b")
+        .unionByName(inside.select(F.col("node").alias("a"), F.col("smallest").alias("b")))
+        .unionByName(outside.select(F.col("node").alias("a"), F.col("far.other").alias("b")))
+    )
+
+
+def _linked_classes(ordered: DataFrame, least: DataFrame, percent: int) -> DataFrame:
+    """Smallest nodes (a, b) of linked classes, their sizes and how many shingles they have in common.
+
+    Two linked sets of n and m shingles have at least t = (n + m) * percent / (100 + percent) in
+    common. With the shingles of all sets in one order, each set's first n - n * percent / 100 + 1
+    then share one. Shingles of one component only come first in the order: they are in no other
+    set and pair nothing. Of the others the rarer come first, so few sets meet at a shingle. A
+    pair also needs t shingles that other components have, and t from the shared one on; a set
+    for which even the smallest set at a shingle is too large for that does not take part there.
+    """
+    nodes = least.join(ordered.select(F.col("node").alias("smallest"), "common"), "smallest")
+    nodes = stage(nodes.select(F.col("smallest").alias("node"), F.col("least_n").alias("n"), "low", "high", "common"))
     # Place of a shingle in its set's order: the n - size(common) others come before it.
     length = F.expr(f"size(common) - (n * {percent} + 99) div 100 + 1")
-    columns = ["node", "component", "n", "c", "place"]
-    first = ordered.where(length > 0).withColumn("c", F.size("common"))
-    first = first.select(*columns[:-1], F.posexplode(F.slice("common", 1, length)))
-    first = first.withColumn("place", F.col("n") - F.col("c") + F.col("pos"))
-    first = stage(first.select(*columns, "col.shingle"))
-    left, right = (first.select("shingle", *[F.col(x).alias(f"{x}_{side}") for x in columns]) for side in "ab")
-    enough = f"(n_a + n_b) * {percent} <= least(c_a, c_b, n_a - place_a, n_b - place_b) * {100 + percent}"
-    pairs = left.join(right, "shingle").where(f"component_a > component_b and {enough}")
+    first = nodes.where(length > 0).withColumn("c", F.size("common"))
+    first = first.select("node", "n", "low", "high", "c", F.posexplode(F.slice("common", 1, length)).alias("pos", "shingle"))
+    first = stage(first.withColumn("left", F.col("c") - F.col("pos")).drop("pos", "c"))
+    sizes = first.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("n").alias("smallest_n")).where("sets > 1")
+    first = first.join(sizes, "shingle").where(f"(n + smallest_n) * {percent} <= left * {100 + percent}")
+    first = stage(first.drop("sets", "smallest_n"))
+    columns = ["node", "n", "low", "high", "left"]
+    one, two = (first.select("shingle", *[F.col(x).alias(f"{x}_{side}") for x in columns]) for side in "ab")
+    enough = f"(n_a + n_b) * {percent} <= least(left_a, left_b) * {100 + percent}"
+    apart = "least(low_a, low_b) < greatest(high_a, high_b)"
+    pairs = one.join(two, "shingle").where(f"node_a > node_b and {apart} and {enough}")
     pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
-    return _linked(pairs, sets, percent)
+    for side in "ab":
+        own = [F.col(x).alias(y) for x, y in (("node", side), ("n", f"n_{side}"), ("common", f"set_{side}"))]
+        pairs = pairs.join(nodes.select(*own), side)
+    pairs = pairs.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("set_a", "set_b")).alias("common"))
+    return stage(pairs.where(f"(n_a + n_b) * {percent} <= common * {100 + percent}"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
