@@ -15,6 +15,7 @@ from tonnage.operators import (
     longer,
     ratio_to,
     recode_and_sum,
+    source_differences,
     sum_components,
 )
 
@@ -97,3 +98,23 @@ def test_blend_leaves_out_one_pair_only(frame):
     )
     got = blend(df, {"source": "D", "m": "copper"}, ["r", "m"], "v", 2015)
     assert rows(got) == [("X", "copper", 5.0, 2015), ("X", "steel", 2.0, 2015), ("Y", "steel", None, 2015)]
+
+
+def test_differences_of_sources_found_in_the_data(frame):
+    df = frame(
+        [("X", "K", 2.0), ("X", "D", 3.0), ("X", "E", 0.0), ("Y", "K", 4.0), ("Y", "D", None), (None, "E", 5.0)],
+        "r string, source string, v double",
+    )
+    got = rows(source_differences(df, "source", "v"))
+    assert got == rows(frame(
+        [("X", "D", "E", 3.0, 0.0, -3.0, 0.0), ("X", "D", "K", 3.0, 2.0, -1.0, 2 / 3), ("X", "E", "K", 0.0, 2.0, 2.0, INF),
+         ("Y", "D", "E", None, None, None, None), ("Y", "D", "K", None, 4.0, None, None), ("Y", "E", "K", None, 4.0, None, None),
+         (None, "D", "E", None, 5.0, None, None), (None, "D", "K", None, None, None, None), (None, "E", "K", 5.0, None, None, None)],
+        "r string, a string, b string, x double, y double, d double, q double",
+    ))
+    assert source_differences(df.where("source = 'K'"), "source", "v").collect() == []
+    assert source_differences(df.limit(0), "source", "v").collect() == []
+    with pytest.raises(Exception, match="two rows"):
+        source_differences(df.unionByName(df), "source", "v").collect()
+    with pytest.raises(ValueError, match="more than 2"):
+        source_differences(df, "source", "v", most=2)

@@ -10,6 +10,7 @@ from tonnage.operators import (
     discard,
     distinct_rows,
     drop_incomplete,
+    find_names,
     keep,
     longer,
     mutate,
@@ -18,6 +19,7 @@ from tonnage.operators import (
     split_missing,
     to_numbers,
     wider,
+    wider_found,
     year_table,
 )
 
@@ -125,3 +127,14 @@ def test_distinct(frame):
     df = frame([(1, 0.5), (1, 0.5), (2, 0.5)], "a int, b double")
     assert distinct_rows(df).count() == 2
     assert as_dict(distinct_rows(df, ["b"]), "b", "b") == {0.5: 0.5}
+
+
+def test_names_found_in_the_data(spark, frame):
+    df = frame([(1, "b", 2.0), (1, "a", 3.0), (2, "b", None)], "k int, n string, v double")
+    assert find_names(df, "n", 2) == ["a", "b"]
+    wide = wider_found(df, "n", "v")
+    assert wide.columns == ["k", "a", "b"] and rows(wide) == [(1, 3.0, 2.0), (2, None, None)]
+    with pytest.raises(ValueError, match="more than 1"):
+        wider_found(df, "n", "v", most=1)
+    with pytest.raises(ValueError, match="missing"):
+        find_names(df.unionByName(frame([(3, None, 1.0)], "k int, n string, v double")), "n", 9)

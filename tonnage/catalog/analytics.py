@@ -52,6 +52,7 @@ from tonnage.operators import (
     scale_by,
     share_of_total,
     sketched_quantile,
+    source_differences,
     split_by_fractions,
     split_by_percent,
     split_by_share,
@@ -406,6 +407,20 @@ def compare_statuses(t: Tables) -> DataFrame:
     return rounded(rows, 8, "F", "O")
 
 
+@query(f"""
+WITH v AS ({line_totals_sql("region", "type", "flag")}),
+sources AS (SELECT DISTINCT flag FROM v), ids AS (SELECT DISTINCT region, type FROM v)
+SELECT ids.region, ids.type, a.flag AS source_a, b.flag AS source_b, x.value AS value_a, y.value AS value_b,
+       round(y.value - x.value, 2) AS difference, round(y.value / x.value, 8) AS ratio
+FROM ids CROSS JOIN sources a JOIN sources b ON a.flag < b.flag
+LEFT JOIN v x ON (x.region, x.type, x.flag) = (ids.region, ids.type, a.flag)
+LEFT JOIN v y ON (y.region, y.type, y.flag) = (ids.region, ids.type, b.flag)
+""", name="source_differences")
+def flag_differences(t: Tables) -> DataFrame:
+    rows = source_differences(stage(line_totals(t, "region", "type", "flag")), "flag", "value")
+    return rounded(rounded(rows, 2, "difference"), 8, "ratio")
+
+
 @query(f"""
 SELECT region, type, round(AVG(value), 8) AS value, 2015 AS year
 FROM ({REGION_INTENSITY_SQL}) WHERE NOT (status = 'O' AND type = 'PROMO') GROUP BY ALL

@@ -48,9 +48,11 @@ from tonnage.operators import (
     longer,
     mutate,
     rename,
+    repair_hints,
     share_of_total,
     unmatched_keys,
     wider,
+    wider_found,
     with_group_mean,
     with_group_median,
     year_table,
@@ -376,6 +378,40 @@ def unmatched_key_report(t: Tables) -> DataFrame:
     return unmatched_keys(orders, rich, ["customer"])
 
 
+SPOILED_SQL = """
+SELECT CASE p_partkey % 6 WHEN 0 THEN upper(p_name) || ' ' WHEN 1 THEN substr(p_name, 2)
+  WHEN 2 THEN replace(p_name, 'e', 'é') WHEN 3 THEN replace(p_name, ' ', '--') || 'x'
+  WHEN 4 THEN p_name || ' of ' || p_type ELSE p_name END AS key FROM part"""
+
+
+def _normal_sql(column: str) -> str:
+    return f"trim(regexp_replace(lower(strip_accents({column})), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""
+WITH theirs AS (SELECT DISTINCT p_name AS hint FROM part),
+lost AS (SELECT key, COUNT(*) AS n_rows FROM ({SPOILED_SQL}) WHERE key NOT IN (SELECT hint FROM theirs) GROUP BY key),
+near AS (
+  SELECT key, hint, CAST(levenshtein({_normal_sql("key")}, {_normal_sql("hint")}) AS INTEGER) AS edits
+  FROM lost, theirs),
+best AS (
+  SELECT key, MIN(hint) AS hint, edits, COUNT(*) AS n_hints FROM near WHERE edits <= 1
+  GROUP BY key, edits QUALIFY edits = MIN(edits) OVER (PARTITION BY key))
+SELECT key, n_rows, hint, edits, COALESCE(n_hints, 0) AS n_hints FROM lost LEFT JOIN best USING (key)
+""", name="repair_hints")
+def part_name_hints(t: Tables) -> DataFrame:
+    name, place = F.col("p_name"), F.col("p_partkey") % 6
+    spoiled = (
+        F.when(place == 0, F.concat(F.upper(name), F.lit(" ")))
+        .when(place == 1, F.expr("substring(p_name, 2)"))
+        .when(place == 2, F.replace(name, F.lit("e"), F.lit("é")))
+        .when(place == 3, F.concat(F.replace(name, F.lit(" "), F.lit("--")), F.lit("x")))
+        .when(place == 4, F.concat(name, F.lit(" of "), F.col("p_type")))
+        .otherwise(name)
+    )
+    return repair_hints(t.part.select(spoiled.alias("key")), t.part, {"key": "p_name"})
+
+
 # Grids
 
 
@@ -524,6 +560,15 @@ def pivot(t: Tables) -> DataFrame:
     return wider(counts, "o_orderstatus", "n", ["F", "O", "X"])
 
 
+@query(f"""
+SELECT nation, MAX(sales) FILTER (status = 'F') AS "F", MAX(sales) FILTER (status = 'O') AS "O",
+       MAX(sales) FILTER (status = 'P') AS "P"
+FROM ({order_totals_sql("nation", "status")}) GROUP BY nation
+""")
+def pivot_found(t: Tables) -> DataFrame:
+    return wider_found(stage(order_totals(t, "nation", "status")), "status", "sales")
+
+
 # Files
 
 

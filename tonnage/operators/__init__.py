@@ -17,6 +17,7 @@ from tonnage.operators.coefficients import (
     derive_units,
     ratio_to,
     recode_and_sum,
+    source_differences,
     sum_components,
 )
 from tonnage.operators.costing import median_scalar, price, residual, scale_by
@@ -35,6 +36,7 @@ from tonnage.operators.relational import (
     bind_rows,
     discard,
     drop_incomplete,
+    find_names,
     flag_missing,
     keep,
     longer,
@@ -44,8 +46,10 @@ from tonnage.operators.relational import (
     split_missing,
     to_numbers,
     wider,
+    wider_found,
     year_table,
 )
+from tonnage.operators.repair import normal_key, repair_hints
 from tonnage.operators.sketches import add_sketches, quantile_sketches, sketched_quantile
 from tonnage.operators.shares import (
     allocate,
@@ -77,6 +81,7 @@ __all__ = [
     "discard",
     "distinct_rows",
     "drop_incomplete",
+    "find_names",
     "fit_line",
     "fit_loglog",
     "flag_missing",
@@ -96,6 +101,7 @@ __all__ = [
     "longer",
     "median_scalar",
     "mutate",
+    "normal_key",
     "per_capita",
     "price",
     "quantile_sketches",
@@ -103,12 +109,14 @@ __all__ = [
     "ratio_to",
     "recode_and_sum",
     "rename",
+    "repair_hints",
     "residual",
     "rollup_sum",
     "rows_without_match",
     "scale_by",
     "share_of_total",
     "sketched_quantile",
+    "source_differences",
     "split_by_fractions",
     "split_by_percent",
     "split_by_share",
@@ -119,6 +127,7 @@ __all__ = [
     "unmatched_keys",
     "weighted_rollup",
     "wider",
+    "wider_found",
     "with_group_mean",
     "with_group_median",
     "year_table",

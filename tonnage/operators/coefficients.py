@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tonnage.functions import factor, factors_to, listed_units, label, r_divide, recode
 from tonnage.operators.aggregate import group_mean, group_sum
 from tonnage.operators.joins import Keys, join_inner, join_left
-from tonnage.operators.relational import keep, quoted, require, split_missing, wider
+from tonnage.operators.relational import find_names, keep, quoted, require, split_missing, wider
 
 
 def sum_components(df: DataFrame, keys: Sequence[str], measure: str, named: str) -> DataFrame:
@@ -167,6 +168,40 @@ def compare_sources(
     return wider(df, source, measure, sources)
 
 
+def source_differences(
+    df: DataFrame, source: str, measure: str, ids: Sequence[str] | None = None, most: int = 20
+) -> DataFrame:
+    """How far the sources of a measure lie apart: one row per id and pair of the sources that df holds.
+
+    Columns: ids (by default all others), source_a, source_b, value_a, value_b, difference
+    (b - a), ratio (b / a, as `r_divide`). Of a pair, the name that comes first is a. Where a source has no row or no value
+    for an id, what needs it is null. Two rows of one source for an id, a missing source, and more
+    than most sources are errors. One job finds the sources; the rows are aggregated once by id, into a map.
+    """
+    ids = list(ids or [c for c in df.columns if c not in (source, measure)])
+    require(df, [*ids, source, measure])
+    names = find_names(df, source, most)
+    cells = df.groupBy(*map(quoted, ids), quoted(source).alias("__source")).agg(
+        F.count(F.lit(1)).alias("__n"), F.any_value(quoted(measure)).alias("__value")
+    )
+    twice = F.raise_error(F.lit(f"two rows of one {source} for one of {ids}")).cast(df.schema[measure].dataType)
+    cells = cells.withColumn("__value", F.when(F.col("__n") == 1, F.col("__value")).otherwise(twice))
+    # A map has one entry for each source at most, and these are few.
+    values = F.map_from_entries(F.collect_list(F.struct("__source", "__value")))
+    by_id = cells.groupBy(*map(quoted, ids)).agg(values.alias("__values"))
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in combinations(names, 2)]
+    if not pairs:
+        by_id, pairs = by_id.where(F.lit(False)), [F.struct(F.lit("").alias("a"), F.lit("").alias("b"))]
+    rows = by_id.withColumn("__pair", F.explode(F.array(*pairs)))
+    a, b = (F.try_element_at("__values", F.col(f"__pair.{x}")) for x in "ab")
+    rows = rows.select(
+        *map(quoted, ids), F.col("__pair.a").alias("source_a"), F.col("__pair.b").alias("source_b"),
+        a.alias("value_a"), b.alias("value_b"),
+    )
+    x, y = F.col("value_a"), F.col("value_b")
+    return rows.withColumns({"difference": y - x, "ratio": r_divide(y, x)})
+
+
 def blend(
     df: DataFrame,
     exclude: Mapping[str, str],

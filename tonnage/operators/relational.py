@@ -126,6 +126,27 @@ def wider(
     return df.groupBy(*[quoted(c) for c in ids]).pivot(names_from, list(values)).agg(cell)
 
 
+def find_names(df: DataFrame, column: str, most: int) -> list:
+    """The distinct values of a column in order, found by one job.
+
+    More than most of them, or a missing one, are an error, so no large column reaches the driver.
+    """
+    require(df, [column])
+    found = [r[0] for r in df.select(quoted(column)).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    if None in found:
+        raise ValueError(f"{column} has missing values")
+    return sorted(found)
+
+
+def wider_found(
+    df: DataFrame, names_from: str, values_from: str, ids: Sequence[str] | None = None, most: int = 100
+) -> DataFrame:
+    """`wider` with the names that the data hold, at most so many; df is read once more to find them."""
+    return wider(df, names_from, values_from, find_names(df, names_from, most), ids)
+
+
 def across(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Every row once per value of a short literal list, with no join."""
     if column in df.columns:
