@@ -8,7 +8,7 @@ import pytest
 from samples import corpus, prose
 
 from tonnage.llm import decontaminate as D
-from tonnage.llm.decontaminate import code_points, drop_leaks, find_leaks
+from tonnage.llm.decontaminate import code_points, drop_leaks, find_leaks, unsearched_items
 
 
 def plain(text):
@@ -168,3 +168,13 @@ def test_time_and_memory_follow_a_repetitive_text():
         assert time.time() - start < 60 and tracemalloc.get_traced_memory()[1] < 500e6
         tracemalloc.stop()
         assert {index.windows[n].item for n in found} == {item}
+
+
+def test_items_not_searched_are_reported(spark):
+    texts = ["a" * 23, "b" * 24, None, "", "ü" * 23, "ü" * 24, "𝄞" * 23]
+    table = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] * 2 + [(None, "c" * 99, 0)], "item_id long, text string, characters int")
+    found = {(r.item_id, r.characters) for r in unsearched_items(table).collect()}
+    assert found == {(0, 23), (2, None), (3, 0), (4, 23), (6, 23), (None, 99)}
+    assert unsearched_items(table).count() == 6 and unsearched_items(table.limit(0)).count() == 0
+    searched = {i for i, t in enumerate(texts) if t and len(code_points(t)) >= D.LEAST_ITEM}
+    assert searched == set(range(len(texts))) - {i for i, _ in found}

@@ -25,7 +25,7 @@ Q = 8
 WINDOW = 50
 #: Edits allowed as a percentage of a window.
 EDIT_PERCENT = 6
-#: Items with fewer characters say too little to mark a document.
+#: Items with fewer characters say too little to mark a document; unsearched_items reports them.
 LEAST_ITEM = 24
 #: A pass over the documents looks for items of about this many characters together.
 ITEM_CHARACTERS = 1 << 20
@@ -353,7 +353,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lower-case and any white space as a blank. Such a window begins at each character of the item that 49
     others follow; windows of the item's of_windows were found, between the characters start and
     end of the text. Null texts hold nothing; a row without doc_id is
-    reported with a null one; repeated rows are reported each. Other columns are ignored.
+    reported with a null one; repeated rows are reported each. Other columns are ignored. Shorter
+    items are in unsearched_items.
     """
     docs = docs.select("doc_id", "text")
     schema = "doc_id long, item_id long, windows long, of_windows long, start long, end long"
@@ -363,6 +364,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
+def unsearched_items(benchmark: DataFrame) -> DataFrame:
+    """Rows item_id, characters: the items that find_leaks does not look for, and how long they are.
+
+    These are items of fewer than 24 characters, without a text (characters is null) or without an id.
+    Repeated items are reported once; other columns are ignored.
+    """
+    items = benchmark.select("item_id", F.char_length("text").cast("long").alias("characters"))
+    return items.where(f"item_id is null or characters is null or characters < {LEAST_ITEM}").distinct()
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs with all its columns, without the rows that hold a passage of an item (see find_leaks)."""
     for items in item_blocks(benchmark):
