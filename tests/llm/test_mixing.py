@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import math
 from collections import defaultdict
 
 from samples import corpus, prose
@@ -98,3 +100,21 @@ def test_mix_with_clashing_names_and_columns_that_differ(spark):
     got = [tuple(r) for r in mixed.collect()]
     assert len(got) == sum(r.copies for r in found) and set(got) <= set(rows)
     assert max(got.count(r) for r in rows) <= 2
+
+
+def test_nearest_of_16_offsets(documents):
+    # Of the 16 the one nearest to the target is used; the first alone may miss it by more.
+    rows = [(i, prose(i, 1 + i * i % 97), [*"abcdefg", None][i % 8]) for i in range(800)]
+    found, missed = mixture(documents(rows)).collect(), 0
+    for source in [*"abcdefg", None]:
+        line = sorted((r for r in found if r.source == source), key=lambda r: (r.size, r.doc_id, r.key))
+        target, rate = line[0].target, line[0].target / line[0].source_size
+        start = int(hashlib.md5(f"mix-1:{source or ''}".encode()).hexdigest()[:8], 16) / 4294967296
+        tries = []
+        for turn in range(16):
+            moved = (start + turn / 16) % 1
+            copies = [math.floor((i + 1) * rate + moved) - math.floor(i * rate + moved) for i in range(len(line))]
+            tries.append((abs(sum(r.size * c for r, c in zip(line, copies, strict=True)) - target), turn, copies))
+        assert [r.copies for r in line] == min(tries)[2]
+        missed += tries[0][0] > min(tries)[0]
+    assert missed

@@ -3,7 +3,8 @@
 Every document of a source is due the same number of copies, the source's target over its
 size. Lined up by size, the copies due are summed, one random offset is added, and a document
 is taken once for each whole number its stretch crosses. As neighbours in line are of about
-the same size, the words taken differ from the target by about one document.
+the same size, the words taken differ from the target by about one document. Of 16 offsets,
+evenly spread from a random one, the one that comes nearest to the target is used.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST_COPIES = 2
 SEED = "mix-1"
+OFFSETS = 16
 
 
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,16 +75,17 @@ def targets(
     return levels.select("source", "source_size", F.round(target, 6).alias("target"))
 
 
-def offset(source: Column, seed: str) -> Column:
-    """The random offset of a source in [0, 1), the same in every run."""
+def offset(source: Column, seed: str, turn: int | Column) -> Column:
+    """The offset of a source at a turn of OFFSETS: evenly spread in [0, 1) from a random one, the same in every run."""
     digits = F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(source, F.lit("")))), 1, 8)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
+    start = F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0) + turn / F.lit(float(OFFSETS))
+    return start - F.floor(start)
 
 
-def _copies(seed: str) -> Column:
-    """Whole numbers that a row's stretch of copies due crosses, moved by the offset of its source."""
+def _copies(seed: str, turn: int | Column) -> Column:
+    """Whole numbers that a row's stretch of copies due crosses, moved by an offset."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    start = offset(F.col("source"), seed)
+    start = offset(F.col("source"), seed, turn)
     return (F.floor(F.col("last") * rate + start) - F.floor((F.col("last") - 1) * rate + start)).cast("int")
 
 
@@ -116,8 +119,14 @@ def mixture(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     goals = stage(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), **how))
     goals = goals.withColumnRenamed("source", "of")
     placed = _lined(sized, "source", "size", "doc_id", "key")
-    placed = placed.join(goals, F.col("source").eqNullSafe(F.col("of")))
-    return placed.select("doc_id", "source", "key", "size", "source_size", "target", _copies(seed).alias("copies"))
+    placed = stage(placed.join(goals, F.col("source").eqNullSafe(F.col("of"))).drop("of"))
+    tries = [F.sum(F.col("size") * _copies(seed, F.lit(k))) for k in range(OFFSETS)]
+    errors = [F.struct(F.abs(t - F.first("target")).alias("error"), F.lit(k).alias("turn")) for k, t in enumerate(tries)]
+    turns = stage(placed.groupBy("source").agg(F.array_min(F.array(*errors))["turn"].alias("turn")))
+    turns = turns.withColumnRenamed("source", "of")
+    placed = placed.join(turns, F.col("source").eqNullSafe(F.col("of")))
+    copies = _copies(seed, F.col("turn")).alias("copies")
+    return placed.select("doc_id", "source", "key", "size", "source_size", "target", copies)
 
 
 def mix(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
