@@ -6,9 +6,11 @@ import numpy as np
 import pyarrow as pa
 from samples import corpus, prose
 
+from tonnage.llm import minhash
 from tonnage.llm.components import components
 from tonnage.llm.minhash import REGISTERS, drop_near_duplicates, estimates, filled, near_duplicates, shingle_sets, sketches_of
 from tonnage.llm.words import texts_of
+from tonnage.sources import staging
 
 
 def shingles(text):
@@ -147,3 +149,18 @@ def test_boilerplate_around_the_threshold(documents):
             body[rng.randrange(len(body))] = f"c{i % 8}"
         rows.append((i, " ".join(body + [f"w{i}_{j}" for j in range(rng.randrange(4, 16))]), "a"))
     assert order(run(documents(rows))) == order(brute(rows))
+
+
+def test_sketches_are_held_once(spark, documents, monkeypatch):
+    """Once the nodes have the sketches, those of the rows are gone."""
+    before, held, stage = set(staging._staged), [], minhash.stage
+
+    def spy(df):
+        out = stage(df)
+        held.append([p for p in staging._staged if p not in before and "sketch" in spark.read.parquet(p).columns])
+        return out
+
+    monkeypatch.setattr(minhash, "stage", spy)
+    found = near_duplicates(documents([(i, prose(i // 2, 30), "a") for i in range(40)]))
+    assert found.where("kept").count() == 20
+    assert len(held) > 5 and all(len(tables) == 1 for tables in held[2:])

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 from samples import corpus, prose
 
+from tonnage.llm import mixing
 from tonnage.llm.mixing import mix, mixture, targets
 
 
@@ -118,3 +119,22 @@ def test_nearest_of_16_offsets(documents):
         assert [r.copies for r in line] == min(tries)[2]
         missed += tries[0][0] > min(tries)[0]
     assert missed
+
+
+def test_few_repeated_rows_move_no_text(documents, conf, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="20KB")
+    rows = [(i, f"word{i} b", "ab"[i % 2]) for i in range(8000)]
+    plans, stage = [], mixing.stage
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df)
+
+    monkeypatch.setattr(mixing, "stage", spy)
+    for extra in ([], [(7, "again and again", "a")] * 40):
+        plans.clear()
+        mixed = mix(documents(rows + extra))
+        # The keys taken are too many to be broadcast, and the text is moved once for them.
+        assert "SortMergeJoin" in mixed._jdf.queryExecution().executedPlan().toString()
+        semi = [p for p in plans if "LeftSemi" in p]
+        assert semi and not any("SortMergeJoin" in p for p in semi)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tonnage.llm.components import components
 from tonnage.llm.words import LOWER, Texts, blocks, sequence_hashes, whole_windows, window_hashes, words_of
-from tonnage.sources.staging import stage, staged_alone
+from tonnage.sources.staging import stage, staged, staged_alone
 
 SHINGLE = 5
 PERCENT = 75
@@ -208,12 +208,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
-    sketches = stage(docs.mapInArrow(_sketches(size), "doc_id long, n_shingles long, digest binary, sketch binary"))
-    usable = sketches.where("doc_id is not null and n_shingles > 0")
-    least = F.min(F.struct("doc_id", "n_shingles", "sketch"))
-    nodes = usable.groupBy("digest").agg(least.alias("least"))
-    node, n = F.col("least.doc_id").alias("node"), F.col("least.n_shingles").alias("n")
-    nodes = stage(nodes.select("digest", node, n, "least.sketch"))
+    with staged(docs.mapInArrow(_sketches(size), "doc_id long, n_shingles long, digest binary, sketch binary")) as sketches:
+        rows = stage(sketches.select("doc_id", "n_shingles", "digest"))
+        usable = sketches.where("doc_id is not null and n_shingles > 0")
+        least = F.min(F.struct("doc_id", "n_shingles", "sketch"))
+        nodes = usable.groupBy("digest").agg(least.alias("least"))
+        node, n = F.col("least.doc_id").alias("node"), F.col("least.n_shingles").alias("n")
+        nodes = stage(nodes.select("digest", node, n, "least.sketch"))
     width = 2 * ROWS
     numbers = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)))
     bands = (
@@ -238,7 +239,7 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     links = links.unionByName(_between_components(docs, shared, found, size, percent))
     found = stage(components(links))
     label = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("label"))
-    labelled = sketches.select("doc_id", "n_shingles", "digest").join(label, "digest", "left")
+    labelled = rows.join(label, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("label")).otherwise(F.col("doc_id"))
     return labelled.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

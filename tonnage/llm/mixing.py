@@ -142,10 +142,12 @@ def mix(docs: DataFrame, seed: str = SEED, **how) -> DataFrame:
     taken = stage(taken.where("copies > 0"))
     once = rows.join(taken.where("rows = 1").drop("rows"), "key").select(*names, F.col("copies").cast("long"))
     # Rows that are equal in all columns are one row with a number; of the others few share a key.
-    again = rows.join(taken.where("rows > 1").select("key"), "key", "left_semi")
+    # Staged, the keys that come again show their own size, so the planner moves no text to find few or none.
+    repeated = stage(taken.where("rows > 1"))
+    again = rows.join(repeated.select("key"), "key", "left_semi")
     again = again.groupBy("key", *names).agg(F.count("*").alias("number"))
     again = _lined(again.withColumn("order", F.xxhash64(*names)), "key", "order", count="number")
-    again = again.join(taken, "key")
+    again = again.join(repeated, "key")
     upto = "(last * copies) div rows - ((last - number) * copies) div rows"
     both = once.unionByName(again.select(*names, F.expr(upto).alias("copies")).where("copies > 0"))
     both = both.withColumn("turn", F.explode(F.sequence(F.lit(1), "copies")))
